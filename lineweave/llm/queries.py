@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweave.llm import chat, secrets
+from lineweave.llm import bpe, chat, media, secrets
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -40,3 +40,20 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.scan_secrets(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op1_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.store_media(media.encode_texts(table(spark, sf_dir, "documents")))
+    return media.audio_features(stored).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("raw", 256).alias("decoded_sha256"),
+    )
