@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweave.llm import bpe, chat, media, secrets
+from lineweave.llm import bpe, chat, media, mixing, secrets
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -57,3 +57,9 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("raw", 256).alias("decoded_sha256"),
     )
+
+
+@query(mixing.ORACLE)
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
