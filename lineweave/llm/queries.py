@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweave.llm import bpe, chat, media, mixing, secrets
+from lineweave.llm import bpe, chat, media, mixing, secrets, sstable
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -63,3 +63,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query()
+def op3_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sstable.new_path(spark)
+    sstable.write_shards(table(spark, sf_dir, "documents"), path)
+    return sstable.token_rows(spark, path).withColumnRenamed("id", "doc_id")
