@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweave.llm import bpe, chat, media, mixing, secrets, sstable
+from lineweave.llm import bpe, chat, langid, media, mixing, quality, secrets, sstable
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -70,3 +70,20 @@ def op3_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sstable.new_path(spark)
     sstable.write_shards(table(spark, sf_dir, "documents"), path)
     return sstable.token_rows(spark, path).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.fold(F.col("doc_id"), 3) == 1
+    model = langid.train(docs.where(~held_out))
+    found = langid.predict(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~quality.in_fold()))
+    found = quality.predict(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", quality.in_fold().alias("held_out"), "score", F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
