@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweave.llm import bpe, chat, langid, media, mixing, quality, secrets, sstable
+from lineweave.llm import bpe, chat, jaccard, langid, media, mixing, quality, secrets, sstable
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -87,3 +87,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, labels.where(~quality.in_fold()))
     found = quality.predict(docs, model).withColumnRenamed("id", "doc_id")
     return found.select("doc_id", quality.in_fold().alias("held_out"), "score", F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+@query()
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
