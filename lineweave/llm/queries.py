@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweave.llm import bpe, chat, jaccard, langid, media, mixing, quality, secrets, sstable
+from lineweave.llm import ann, bpe, chat, jaccard, langid, media, mixing, quality, secrets, sstable
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -93,3 +93,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=90)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query()
+def op7_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
