@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from lineweave.plans import network, relational, spatial, streets  # noqa: F401  they register their queries
+from lineweave.plans.registry import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
