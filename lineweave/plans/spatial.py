@@ -1 +1,136 @@
-"""To come."""
+"""Queries of the geometric functions, on lines and polygons made from the test tables by arithmetic."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lineweave.functions import geometry as G
+from lineweave.functions.projection import to_degrees, to_feet
+from lineweave.functions.semantics import rnd
+from lineweave.functions.simplify import simplify
+from lineweave.plans.registry import query, table
+
+BENT = """l as (select o_orderkey, o_orderkey::double as x, o_totalprice % 300 + 1 as a, o_totalprice % 170 + 1 as b, o_totalprice % 90 + 1 as c,
+    sqrt((o_totalprice % 300 + 1) * (o_totalprice % 300 + 1) + (o_totalprice % 170 + 1) * (o_totalprice % 170 + 1)) as d,
+    (o_orderkey % 11) / 10.0::double as f, o_orderkey + o_custkey % 400 as px, o_totalprice % 211 as py from orders)"""
+
+
+def bent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(x, 0) to (x + a, b) to (x + a + c, b), with a share f and a point p."""
+    t, k = F.col("o_totalprice"), F.col("o_orderkey")
+    l = table(spark, sf_dir, "orders").select(  # noqa: E741
+        k, k.cast("double").alias("x"), (t % 300 + 1).alias("a"), (t % 170 + 1).alias("b"), (t % 90 + 1).alias("c"), ((k % 11) / F.lit(10.0)).alias("f"),
+        (k + F.col("o_custkey") % 400).alias("px"), (t % 211).alias("py"),
+    )
+    x, a, b, c = (F.col(n) for n in "xabc")
+    return l.withColumn("g", G.line(G.point(x, F.lit(0)), G.point(x + a, b), G.point(x + a + c, b))).withColumn("e", G.edges(F.col("g")))
+
+
+@query(
+    f"""with {BENT} select o_orderkey, round(case when f * (d + c) <= d then x + a * (f * (d + c) / d) else x + a + (f * (d + c) - d) end, 6) as px,
+        round(case when f * (d + c) <= d then b * (f * (d + c) / d) else b end, 6) as py from l"""
+)
+def interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = G.along(F.col("e"), F.col("f") * G.length(F.col("e")))
+    found = bent_lines(spark, sf_dir).select("o_orderkey", p.alias("p"))
+    return found.select("o_orderkey", rnd(F.col("p.x"), 6).alias("px"), rnd(F.col("p.y"), 6).alias("py"))
+
+
+@query(
+    f"""with {BENT} select o_orderkey, round(d + c, 6) as len, round((d * (x + a / 2) + c * (x + a + c / 2)) / (d + c), 6) as mx, round((d * b / 2 + c * b) / (d + c), 6) as my,
+        x as xmin, x + a + c as xmax, 0.0::double as ymin, b as ymax from l"""
+)
+def length_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    box = {k: v.alias(k) for k, v in G.bounds(F.col("g")).items()}
+    found = bent_lines(spark, sf_dir).select("o_orderkey", rnd(G.length(F.col("e")), 6).alias("len"), G.line_centroid(F.col("e")).alias("m"), *box.values())
+    return found.select("o_orderkey", "len", rnd(F.col("m.x"), 6).alias("mx"), rnd(F.col("m.y"), 6).alias("my"), *box)
+
+
+@query(
+    f"""with {BENT}, t as (select *, greatest(0, least(1, ((px - x) * a + py * b) / (a * a + b * b))) as s, greatest(0, least(1, (px - x - a) / c)) as u from l)
+    select o_orderkey, round(sqrt(least((x + s * a - px) * (x + s * a - px) + (s * b - py) * (s * b - py), (x + a + u * c - px) * (x + a + u * c - px) + (b - py) * (b - py))), 5) as d from t"""
+)
+def point_line_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bent_lines(spark, sf_dir).select("o_orderkey", rnd(G.point_distance(F.col("e"), F.col("px"), F.col("py")), 5).alias("d"))
+
+
+NOTCHED = """p as (select o_orderkey, o_custkey % 60 + 20.0::double as w, o_custkey % 40 + 20.0::double as h, (o_orderkey % 101) * 1.0::double as px, (o_custkey % 83) * 1.0::double as py from orders)"""
+
+
+def notched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rectangle w by h without its upper right quarter, and a point."""
+    k = F.col("o_custkey")
+    p = table(spark, sf_dir, "orders").select("o_orderkey", (k % 60 + F.lit(20.0)).alias("w"), (k % 40 + F.lit(20.0)).alias("h"), (F.col("o_orderkey") % 101 * F.lit(1.0)).alias("px"), (k % 83 * F.lit(1.0)).alias("py"))
+    w, h, o = F.col("w"), F.col("h"), F.lit(0.0)
+    ring = F.array(G.point(o, o), G.point(w, o), G.point(w, h / 2), G.point(w / 2, h / 2), G.point(w / 2, h), G.point(o, h), G.point(o, o))
+    return p.withColumn("e", G.edges(F.array(ring)))
+
+
+@query(f"with {NOTCHED} select o_orderkey, px <= w and py <= h and not (px > w / 2 and py > h / 2) as inside from p")
+def pip_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notched(spark, sf_dir).select("o_orderkey", G.covers(F.col("e"), F.col("px"), F.col("py")).alias("inside"))
+
+
+HOOKED = """p as (select o_orderkey, o_totalprice % 400 + 20 as w, o_totalprice % 310 + 10 as h, (o_totalprice % 400 + 20) * ((o_orderkey % 10) + 0.25::double) / 10.5::double as px from orders)"""
+
+
+def hooked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A block from -h to h with a court of half its width and height that opens to the left, and a transect up at px."""
+    t = F.col("o_totalprice")
+    p = table(spark, sf_dir, "orders").select("o_orderkey", (t % 400 + 20).alias("w"), (t % 310 + 10).alias("h"))
+    p = p.withColumn("px", F.col("w") * (F.col("o_orderkey") % 10 + F.lit(0.25)) / F.lit(10.5))
+    w, h, o = F.col("w"), F.col("h"), F.lit(0.0)
+    ring = F.array(G.point(o, -h), G.point(w, -h), G.point(w, h), G.point(o, h), G.point(o, h / 2), G.point(w / 2, h / 2), G.point(w / 2, -h / 2), G.point(o, -h / 2), G.point(o, -h))
+    return p.withColumn("e", G.edges(F.array(ring)))
+
+
+@query(
+    f"""with {HOOKED}, i as (select o_orderkey, case when px < w / 2 then -h else -h end as lo, case when px < w / 2 then -h / 2 else h end as hi from p union all
+    select o_orderkey, h / 2, h from p where px < w / 2)
+    select o_orderkey, round(greatest(lo, -250), 6) as lo, round(least(hi, 250), 6) as hi from i where greatest(lo, -250) < least(hi, 250)"""
+)
+def line_poly_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = G.crossing_intervals(F.col("e"), G.point(F.col("px"), F.lit(0)), G.point(F.lit(0), F.lit(1)), 250.0)
+    out = hooked(spark, sf_dir).select("o_orderkey", F.explode(found).alias("i"))
+    return out.select("o_orderkey", rnd(F.col("i.lo"), 6).alias("lo"), rnd(F.col("i.hi"), 6).alias("hi"))
+
+
+@query(
+    f"""with {BENT}, q as (select *, x + (o_orderkey % 13) * (a + c) / 11.0::double as v from l),
+    y as (select o_orderkey, case when v <= x + a then b * ((v - x) / a) else b end as s from q where v >= x and v <= x + a + c)
+    select o_orderkey, round(s - 60, 5) as s from y where abs(s - 60) <= 90"""
+)
+def line_line_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("x") + F.col("o_orderkey") % 13 * (F.col("a") + F.col("c")) / F.lit(11.0)
+    found = G.crossing_points(F.col("e"), G.point(v, F.lit(60)), G.point(F.lit(0), F.lit(1)), F.lit(90.0))
+    return bent_lines(spark, sf_dir).select("o_orderkey", F.explode(found).alias("s")).select("o_orderkey", rnd(F.col("s"), 5).alias("s"))
+
+
+@query(
+    f"""with {NOTCHED}, d as (select o_orderkey, greatest(0, px - w) as dx, greatest(0, py - h / 2) as dy, greatest(0, px - w / 2) as ex, greatest(0, py - h) as ey from p)
+    select o_orderkey, least(dx * dx + dy * dy, ex * ex + ey * ey) <= 100 as near from d"""
+)
+def line_near_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dot = G.edges(G.line(G.point(F.col("px"), F.col("py")), G.point(F.col("px"), F.col("py"))))
+    return notched(spark, sf_dir).select("o_orderkey", G.within(dot, F.col("e"), 10.0).alias("near"))
+
+
+@query()
+def douglas_peucker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zigzags of a customer's orders, simplified at three tolerances."""
+    points = F.array_sort(F.collect_list(F.struct("o_orderkey", (F.col("o_totalprice") / 1000).alias("y"))))
+    lines = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(points.alias("p"))
+    lines = lines.select("o_custkey", F.array(F.transform("p", lambda q: G.point(q["o_orderkey"], q["y"]))).alias("g"))
+    kept = [F.size(F.get(simplify(F.col("g"), t), F.lit(0))).cast("long").alias(f"n_{t}") for t in (4, 25, 50)]
+    return lines.select("o_custkey", F.size(F.get("g", F.lit(0))).cast("long").alias("n"), *kept)
+
+
+@query()
+def lcc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Degrees to feet and back, with the error in millionths of a degree."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.lit(-123.0) + F.col("o_totalprice") % 997 / 997).alias("lon"), (F.lit(45.0) + F.col("o_custkey") % 991 / 991).alias("lat"))
+    x, y = to_feet(F.col("lon"), F.col("lat"))
+    o = o.withColumns({"x": x, "y": y})
+    lon, lat = to_degrees(F.col("x"), F.col("y"))
+    return o.select("o_orderkey", rnd(F.col("x"), 2).alias("x"), rnd(F.col("y"), 2).alias("y"), rnd(F.abs(lon - F.col("lon")) * 1e6, 3).alias("off_lon"), rnd(F.abs(lat - F.col("lat")) * 1e6, 3).alias("off_lat"))
