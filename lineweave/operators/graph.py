@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that the session names; a temporary one where it names none."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lineweave-", dir="/tmp"))
-    return df.checkpoint(eager=True)
+from lineweave.operators.tables import remove, written
 
 
 def ends(edges: DataFrame, edge: str, a: str, b: str) -> DataFrame:
@@ -37,15 +29,17 @@ def components(nodes: DataFrame, pairs: DataFrame, node: str, out: str = "compon
     """Every node with the smallest node of its component, itself if it is in no pair.
 
     Smallest label of the neighbours, then the label of that label, until nothing changes: about log n rounds for a
-    chain of n. Each round ends in a checkpoint.
+    chain of n. Each round ends in a small table, which the next one replaces.
     """
-    labels = cut(nodes.select(F.col(node).alias("node")).distinct().withColumn("label", F.col("node")))
-    pairs = cut(pairs.select("x", "y").distinct())
+    labels, path = written(nodes.select(F.col(node).alias("node")).distinct().withColumn("label", F.col("node")), "labels")
+    pairs, _ = written(pairs.select("x", "y").distinct(), "pairs")
     while True:
         near = pairs.join(labels, pairs["y"] == labels["node"]).groupBy("x").agg(F.min("label").alias("m")).withColumnRenamed("x", "node")
         step = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         target = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        labels = cut(step.join(target, "label").select("node", "old", F.least("label", "further").alias("label")))
+        labels, new = written(step.join(target, "label").select("node", "old", F.least("label", "further").alias("label")), "labels")
+        remove(path)
+        path = new
         if labels.where("label <> old").isEmpty():
             return labels.select(F.col("node").alias(node), F.col("label").alias(out))
         labels = labels.select("node", "label")

@@ -1 +1 @@
-
+"""Nothing here: the measured operators are all batch, and none has a streaming form to match."""
