@@ -72,6 +72,16 @@ def encode_text(text: str, path: str) -> bytes:
     return b"".join([known[x] for x in PATTERN.findall(text)])
 
 
+def encode_stretch(text: str, start: int, end: int, path: str) -> bytes:
+    """Ids of the matches that begin from one boundary up to another, seen with the text that follows them."""
+    known, out = _pieces(path), []
+    for m in PATTERN.finditer(text, start):
+        if m.start() >= end:
+            break
+        out.append(known[m[0]])
+    return b"".join(out)
+
+
 def boundaries(text: str, last: bool) -> list[int]:
     """Starts of the matches that no text after the chunk can move; of the last chunk all, and its end.
 
@@ -117,7 +127,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "part"):
-            ids = [encode_text(part[a:b], path) for part, a, b in zip(*(batch.column(c).to_pylist() for c in ("part", "from", "to")))]
+            ids = [encode_stretch(part, a, b, path) for part, a, b in zip(*(batch.column(c).to_pylist() for c in ("part", "from", "to")))]
             keep = [batch.column(c) for c in ("id", "digest", "copies", "k")]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(ids, pa.binary())], names=["id", "digest", "copies", "k", "ids"])
 
