@@ -27,6 +27,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,12 +46,55 @@ END_ID = 2
 BLOCK, SHARD = 64 << 10, 16 << 20
 MAGIC = b"LWSST01\n"
 FOOTER = struct.Struct("<QQQQQQI8s")
-CACHED = 200_000
+CACHED = 250_000
 
 
 # ---- ids --------------------------------------------------------------------------------------------------------
 
 
+class _Unclean(Exception):
+    """A piece that begins or ends with white space, or is empty: its text isn't cut at single spaces only."""
+
+
+class _Known(dict):
+    """Ids, as bytes, of pieces after a prefix; emptied when full. Pieces are encoded by the library's own parts."""
+
+    SIGNS = ".,!?;:"
+    LATIN = "\u0250"  #: below it the letters and their mapping are settled
+
+    def __init__(self, tokenizer: Tokenizer, prefix: str):
+        self.split, self.merge, self.prefix = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize, prefix
+        self.mapped = "".join(x for x, _ in self.split(prefix))
+        self.letters = {c: self.split("a" + chr(c))[0][0][1:] for c in range(0x80, 0x250) if chr(c).isalpha()}
+        self.tokens: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        core = piece.rstrip(self.SIGNS)
+        if core.isalpha() and (piece.isascii() or max(core) < self.LATIN):  # letters, then signs: two pre-tokens
+            ids = self.token(self.mapped + (core if core.isascii() else core.translate(self.letters)))
+            if len(core) < len(piece):
+                ids += self.token(piece[len(core) :])
+        elif not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Unclean
+        else:
+            ids = b"".join([self.token(x) for x, _ in self.split(self.prefix + piece)])
+        if len(piece) <= 64:
+            if len(self) >= CACHED:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+    def token(self, mapped: str) -> bytes:
+        ids = self.tokens.get(mapped)
+        if ids is None:
+            ids = array("I", [t.id for t in self.merge(mapped)]).tobytes()
+            if len(mapped) <= 64:
+                if len(self.tokens) >= CACHED:
+                    self.tokens.clear()
+                self.tokens[mapped] = ids
+        return ids
+
+
 class _Encoder:
     """Ids of texts as bytes (unsigned 32-bit, little-endian), by the pieces between single spaces."""
 
@@ -59,27 +103,27 @@ class _Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], pieces: set[str], prefix: str) -> None:
-        if len(known) + len(pieces) > CACHED:
-            known.clear()
-        new = [p for p in pieces if p not in known]
-        for a in range(0, len(new), 10_000):
-            part = new[a : a + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast([prefix + p for p in part], add_special_tokens=False)):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
+        self.first, self.later = _Known(self.tokenizer, ""), _Known(self.tokenizer, " ")
 
-    def __call__(self, batch: list[str]) -> list[bytes]:
-        split = []
-        for t in batch:
-            pieces = t.split(" ")
-            split.append(pieces if len(t.split()) == len(t.replace("\n", " ").split(" ")) else self.INNER.split(t))
-        self._learn(self.first, {p[0] for p in split}, "")
-        self._learn(self.later, set().union(*(p[1:] for p in split)), " ")
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def one(self, text: str) -> bytes:
         first, later = self.first, self.later
-        return [first[p[0]] + b"".join([later[x] for x in p[1:]]) for p in split]
+        pieces = text.split(" ")
+        try:
+            return first[pieces[0]] + b"".join([later[x] for x in pieces[1:]])
+        except _Unclean:
+            out = []
+            for k, piece in enumerate(self.INNER.split(text)):
+                try:
+                    out.append(later[piece] if k else first[piece])
+                except _Unclean:
+                    out.append(self._whole(" " * bool(k) + piece))
+            return b"".join(out)
+
+    def __call__(self, batch: list[str]) -> list[bytes]:
+        return [self.one(t) for t in batch]
 
 
 @lru_cache(maxsize=2)
