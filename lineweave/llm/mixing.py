@@ -73,7 +73,7 @@ def with_needs(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     return sources.withColumns({"below": upto - F.col("need"), "needs": F.sum("need").over(Window.partitionBy())})
 
 
-def schedule(sources: DataFrame, block: int = BLOCK, chunk: int = 8192) -> DataFrame:
+def schedule(sources: DataFrame, block: int = BLOCK, chunk: int = 1024) -> DataFrame:
     """Rows (slot, sid, rank, block, pass, take): which words of which block each slot takes, in the order of the slots."""
     spark = sources.sparkSession
     slots = sources.agg(F.coalesce(F.max("needs"), F.lit(0))).first()[0]
