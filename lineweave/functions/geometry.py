@@ -7,6 +7,8 @@ geometries give null. Distances are in the units of the coordinates.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
 
+def bind(x: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs in there."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def line(*points: Column) -> Column:
     return F.array(F.array(*points))
 
@@ -52,10 +59,14 @@ def length(edges_: Column) -> Column:
 
 def along(edges_: Column, d: Column) -> Column:
     """The point at a distance along a line, kept between its ends."""
-    last = F.element_at(edges_, -1)
-    hit = F.coalesce(F.get(F.filter(edges_, lambda e: e["at"] + e["len"] >= d), F.lit(0)), last)
-    t = F.when(hit["len"] > 0, F.least(F.greatest((d - hit["at"]) / hit["len"], F.lit(0.0)), F.lit(1.0))).otherwise(F.lit(0.0))
-    return point(hit["x1"] + (hit["x2"] - hit["x1"]) * t, hit["y1"] + (hit["y2"] - hit["y1"]) * t)
+    hit = F.coalesce(F.get(F.filter(edges_, lambda e: e["at"] + e["len"] >= d), F.lit(0)), F.try_element_at(edges_, F.lit(-1)))
+
+    def on(s: Column) -> Column:
+        e = s["e"]
+        t = F.when(e["len"] > 0, F.least(F.greatest((s["d"] - e["at"]) / e["len"], F.lit(0.0)), F.lit(1.0))).otherwise(F.lit(0.0))
+        return bind(t, lambda t: point(e["x1"] + (e["x2"] - e["x1"]) * t, e["y1"] + (e["y2"] - e["y1"]) * t))
+
+    return bind(F.struct(hit.alias("e"), d.alias("d")), on)
 
 
 def line_centroid(edges_: Column) -> Column:
@@ -80,9 +91,13 @@ def _offset(x: Column, y: Column, c: Column, u: Column) -> Column:
 
 def _place(e: Column, c: Column, u: Column) -> Column:
     """Where along the line through c in direction u an edge crosses it."""
-    a, b = _offset(e["x1"], e["y1"], c, u), _offset(e["x2"], e["y2"], c, u)
-    t = a / (a - b)
-    return (e["x1"] + t * (e["x2"] - e["x1"]) - c["x"]) * u["x"] + (e["y1"] + t * (e["y2"] - e["y1"]) - c["y"]) * u["y"]
+    sides = F.struct(_offset(e["x1"], e["y1"], c, u).alias("a"), _offset(e["x2"], e["y2"], c, u).alias("b"))
+
+    def at(s: Column) -> Column:
+        t = s["a"] / (s["a"] - s["b"])
+        return (e["x1"] + t * (e["x2"] - e["x1"]) - c["x"]) * u["x"] + (e["y1"] + t * (e["y2"] - e["y1"]) - c["y"]) * u["y"]
+
+    return bind(sides, at)
 
 
 def crossing_intervals(edges_: Column, c: Column, u: Column, half: float) -> Column:
@@ -94,11 +109,12 @@ def crossing_intervals(edges_: Column, c: Column, u: Column, half: float) -> Col
     """
     side = lambda e, k: _offset(e[f"x{k}"], e[f"y{k}"], c, u) >= 0
     places = F.array_sort(F.transform(F.filter(edges_, lambda e: side(e, 1) != side(e, 2)), lambda e: _place(e, c, u)))
-    pairs = F.transform(
-        F.filter(F.sequence(F.lit(0), F.greatest(F.size(places) - 2, F.lit(0)), F.lit(2)), lambda i: i + 1 < F.size(places)),
-        lambda i: F.struct(F.greatest(F.get(places, i), F.lit(-half)).alias("lo"), F.least(F.get(places, i + 1), F.lit(half)).alias("hi")),
-    )
-    return F.filter(pairs, lambda p: p["hi"] > p["lo"])
+
+    def paired(p: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(p) - 2, F.lit(0)), F.lit(2)), lambda i: i + 1 < F.size(p))
+        return F.transform(firsts, lambda i: F.struct(F.greatest(F.get(p, i), F.lit(-half)).alias("lo"), F.least(F.get(p, i + 1), F.lit(half)).alias("hi")))
+
+    return F.filter(bind(places, paired), lambda p: p["hi"] > p["lo"])
 
 
 def crossing_points(edges_: Column, c: Column, u: Column, half: Column) -> Column:
@@ -106,7 +122,7 @@ def crossing_points(edges_: Column, c: Column, u: Column, half: Column) -> Colum
     a = lambda e, k: _offset(e[f"x{k}"], e[f"y{k}"], c, u)
     hits = F.filter(edges_, lambda e: (a(e, 1) * a(e, 2) <= 0) & (a(e, 1) != a(e, 2)))
     places = F.array_sort(F.transform(hits, lambda e: _place(e, c, u)))
-    apart = F.filter(places, lambda s, i: (i == 0) | (s - F.get(places, i - 1) > 1e-6))
+    apart = bind(places, lambda p: F.filter(p, lambda s, i: (i == 0) | (s - F.get(p, i - 1) > 1e-6)))
     return F.filter(apart, lambda s: F.abs(s) <= half)
 
 
