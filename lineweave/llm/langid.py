@@ -34,18 +34,20 @@ SAMPLE = 400  #: documents that each language is learnt from, in expectation
 LANGUAGES = 256  #: at most; the most frequent ones
 ROUNDS, PRIOR, UNKNOWN = 4, 0.05, 1e-7
 LONGEST = 64  #: characters of a word that are scored at once; longer words are cut there
-CACHED = 250_000
+CACHED = 400_000
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
+_SIDE = LONGEST + 1  #: places in a word
 
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> tuple[dict[str, int], int]:
-    """The vocabulary's ordinary pieces, numbered, and the length of the longest."""
+    """The vocabulary's ordinary pieces, numbered, with -1 for what only begins a piece; and the count of pieces."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
     found = [p for p in found if p == p.lower()]
-    return {p: i for i, p in enumerate(found)}, max(map(len, found))
+    begun = {p[:n]: -1 for p in found for n in range(1, len(p))}
+    return begun | {p: i for i, p in enumerate(found)}, len(found)
 
 
 def words_of(token: str) -> list[str]:
@@ -61,22 +63,28 @@ class Lattice:
     """All segmentations of a list of words: edges (word, from, to, piece), sorted by where they end."""
 
     def __init__(self, words: list[str], path: str):
-        vocabulary, longest = pieces(path)
-        w, a, b, p = [], [], [], []
+        vocabulary = pieces(path)[0].get
+        place, piece = [], []
+        at, to = place.append, piece.append
         for k, word in enumerate(words):
             n = len(word)
             for i in range(n):
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    x = vocabulary.get(word[i:j])
-                    if x is None:
-                        if j > i + 1:
-                            continue
-                        x = -1
-                    w.append(k), a.append(i), b.append(j), p.append(x)
-        self.n, self.lengths = len(words), np.array([len(x) for x in words])
+                here = (k * _SIDE + i) * _SIDE
+                x = vocabulary(word[i])
+                at(here + i + 1), to(-1 if x is None else x)
+                j = i + 2
+                while x is not None and j <= n:
+                    x = vocabulary(word[i:j])
+                    if x is not None and x >= 0:
+                        at(here + j), to(x)
+                    j += 1
+        self.n, self.lengths = len(words), np.array([len(x) for x in words], dtype=np.int64)
         self.width = int(self.lengths.max(initial=0)) + 1
-        order = np.argsort(b, kind="stable")
-        self.word, self.start, self.end, self.piece = (np.array(x, dtype=np.int64)[order] for x in (w, a, b, p))
+        place, piece = np.array(place, dtype=np.int64), np.array(piece, dtype=np.int64)
+        end = place % _SIDE
+        order = np.argsort(end, kind="stable")
+        self.end, self.piece, rest = end[order], piece[order], place[order] // _SIDE
+        self.word, self.start = rest // _SIDE, rest % _SIDE
         self.steps = np.searchsorted(self.end, np.arange(self.width + 1))
 
     def weights(self, probability: np.ndarray) -> np.ndarray:
@@ -109,7 +117,7 @@ class Lattice:
 
 def fit(counts: dict[str, int], path: str, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities under which the counted words, over all their segmentations, are likely."""
-    size = len(pieces(path)[0])
+    size = pieces(path)[1]
     probability = np.full(size, 1 / size)
     words = sorted(counts)
     lattices = [(Lattice(part := words[a : a + 5000], path), np.array([counts[w] for w in part], dtype=float)) for a in range(0, len(words), 5000)]
@@ -126,46 +134,60 @@ def fit(counts: dict[str, int], path: str, rounds: int = ROUNDS) -> np.ndarray:
     return probability
 
 
+class _Rows:
+    """Rows of numbers by key; emptied when full."""
+
+    def __init__(self, width: int):
+        self.at: dict[str, int] = {}
+        self.table = np.zeros((1024, width), dtype=np.float32)
+
+    def add(self, keys: list[str], rows: np.ndarray) -> None:
+        first = len(self.at)
+        while len(self.table) < first + len(keys):
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+        self.table[first : first + len(keys)] = rows
+        self.at.update(zip(keys, range(first, first + len(keys))))
+
+    def missing(self, keys: set[str]) -> list[str]:
+        new = [k for k in keys if k not in self.at]
+        if self.at and len(self.at) + len(new) > CACHED:
+            self.at, self.table = {}, self.table[:1024]
+            new = list(keys)
+        return new
+
+
 class Scorer:
-    """Log-probabilities of runs without white space under every language; those met are kept up to a bound."""
+    """Log-probabilities of runs without white space under every language; runs and words met are kept up to a bound."""
 
     def __init__(self, probabilities: np.ndarray, path: str):
-        self.probabilities, self.path, self.known = probabilities, path, {}
-        self.table = np.zeros((CACHED + 1, len(probabilities)), dtype=np.float32)
-
-    def learn(self, tokens: set[str]) -> None:
-        new = [t for t in tokens if t not in self.known]
-        if len(self.known) + len(new) > CACHED:
-            self.known.clear()
-            new = list(tokens)
-            if len(new) > len(self.table):
-                self.table = np.zeros((len(new) + 1, len(self.probabilities)), dtype=np.float32)
-        for a in range(0, len(new), 5000):
-            part = new[a : a + 5000]
-            words = [words_of(t) for t in part]
-            flat = sorted({w for ws in words for w in ws})
-            rows = np.zeros((len(part), len(self.probabilities)))
-            if flat:
-                lattice, number = Lattice(flat, self.path), {w: i for i, w in enumerate(flat)}
-                scores = np.stack([lattice.totals(p) for p in self.probabilities], axis=1)
-                of = [(i, number[w]) for i, ws in enumerate(words) for w in ws]
-                i, k = np.array(of).T
-                for c in range(rows.shape[1]):
-                    rows[:, c] = np.bincount(i, scores[k, c], len(part))
-            for t in part:
-                self.known[t] = len(self.known)
-            self.table[len(self.known) - len(part) : len(self.known)] = rows
+        self.probabilities, self.path = probabilities, path
+        self.runs, self.words = _Rows(len(probabilities)), _Rows(len(probabilities))
+
+    def learn(self, runs: set[str]) -> None:
+        new = self.runs.missing(runs)
+        words = [words_of(t) for t in new]
+        unknown = self.words.missing({w for ws in words for w in ws})
+        for a in range(0, len(unknown), 5000):
+            lattice = Lattice(part := unknown[a : a + 5000], self.path)
+            self.words.add(part, np.stack([lattice.totals(p) for p in self.probabilities], axis=1))
+        rows = np.zeros((len(new), len(self.probabilities)))
+        at = self.words.at
+        of = np.array([(i, at[w]) for i, ws in enumerate(words) for w in ws], dtype=np.int64).reshape(-1, 2)
+        for c in range(rows.shape[1]):
+            rows[:, c] = np.bincount(of[:, 0], self.words.table[of[:, 1], c], len(new))
+        self.runs.add(new, rows)
 
     def __call__(self, batch: list[str]) -> np.ndarray:
         """Log-probability of each text under each language, 0 for texts without letters."""
         tokens = [t.lower().split() for t in batch]
         self.learn(set().union(*tokens))
         at = np.cumsum([0, *map(len, tokens)])
-        every = np.fromiter((self.known[t] for ts in tokens for t in ts), dtype=np.int64, count=int(at[-1]))
-        out = np.zeros((len(batch), self.table.shape[1]))
+        known = self.runs.at
+        every = np.array([known[t] for ts in tokens for t in ts], dtype=np.int64)
+        out = np.zeros((len(batch), len(self.probabilities)))
         full = np.flatnonzero(np.diff(at))
         if len(full):
-            out[full] = np.add.reduceat(self.table[every].astype(np.float64), at[:-1][full], axis=0)
+            out[full] = np.add.reduceat(self.runs.table[every].astype(np.float64), at[:-1][full], axis=0)
         return out
 
 
