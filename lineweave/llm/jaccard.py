@@ -12,10 +12,13 @@ between different components (exact copies are one class from the start):
    n - o + k shingles, for every k. The text takes the k, and with it the prefix, for which the estimated cost (shingles'
    frequencies for probing, those over k for verification) is least. A pair then needs min(k, k') shared prefix shingles.
    Shingles that are in one text only link nothing and go no further.
-4. Texts that share a prefix shingle first meet one leader of each shingle; each verifies the leader that it meets most.
-   That joins most of a group of near copies at a cost in proportion to the group.
+4. Texts of about one size that share a prefix shingle first meet its leader, the one among them with the fewest shingles
+   of its own; each verifies the leader that it meets most. That joins most of a group of near copies to what they are
+   copies of, at a cost in proportion to the group.
+   What it differs in from the most typical leader that it meets, its home, is kept where that is little.
 5. What is left pairs texts of different components: for each shingle, those outside its largest component with all.
-   Pairs with enough shared shingles are counted, then verified on the full sets.
+   Pairs that sizes and unshared shingles rule out go at once, and so do those with one home whose differences from it
+   tell their similarity exactly. The others that share enough shingles are verified on the full sets.
 6. The links' connected components give the classes.
 
 Links inside a component that steps 4 and 5 never verify change nothing in the result. No cap drops any candidate.
@@ -120,8 +123,8 @@ def prefix(hashes: np.ndarray, classes: np.ndarray, percent: int) -> tuple[int,
     return k, hashes[first][classes[first] > 1]
 
 
-SETS = "id long, n int, k int, tokens array<long>, shingles binary"
-_SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("k", pa.int32()), ("tokens", pa.list_(pa.int64())), ("shingles", pa.binary())])
+SETS = "id long, n int, k int, rare int, tokens array<long>, shingles binary"
+_SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("k", pa.int32()), ("rare", pa.int32()), ("tokens", pa.list_(pa.int64())), ("shingles", pa.binary())])
 
 
 def _prefixes(n: int, bits: int, percent: int):
@@ -138,9 +141,10 @@ def _prefixes(n: int, bits: int, percent: int):
             classes[order[x:y]] = np.frombuffer(zlib.decompress(answer[b]), np.uint8)
         out, a = [], 0
         for i, s in zip(ids, sets):
-            k, tokens = prefix(s, classes[a : a + len(s)], percent) if len(s) else (0, s)
+            mine = classes[a : a + len(s)]
+            k, tokens = prefix(s, mine, percent) if len(s) else (0, s)
             a += len(s)
-            out.append({"id": i, "n": len(s), "k": k, "tokens": tokens.view(np.int64).tolist(), "shingles": s.astype("<u8").tobytes() if len(tokens) else None})
+            out.append({"id": i, "n": len(s), "k": k, "rare": int((mine == 1).sum()), "tokens": tokens.view(np.int64).tolist(), "shingles": s.astype("<u8").tobytes() if len(tokens) else None})
         return pa.Table.from_pylist(out, schema=_SETS)
 
     return choose
@@ -171,24 +175,71 @@ def _near(percent: int) -> str:
     return f"100 * least(n, m) >= {percent} * greatest(n, m)"
 
 
+def _possible(percent: int) -> str:
+    """Whether two set sizes allow a link when the shingles that no other text has are not shared."""
+    most = "least(n - rare, m - r)"
+    return f"100 * {most} >= {percent} * (n + m - {most})"
+
+
+HOMES = "id long, home long, hn int, gone array<long>, more array<long>, linked boolean"
+_HOMES = pa.schema([("id", pa.int64()), ("home", pa.int64()), ("hn", pa.int32()), ("gone", pa.list_(pa.int64())), ("more", pa.list_(pa.int64())), ("linked", pa.bool_())])
+FEW = 64
+
+
+def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For pairs (id, home) what the home has and the text lacks, and what the text has more, where both are few; and whether they link."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "x"):
+            rows = []
+            for i, home, x, y in zip(*(batch.column(c).to_pylist() for c in ("id", "home", "x", "y"))):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                gone, more = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+                both, few = len(y) - len(gone), len(gone) + len(more) <= FEW
+                lists = (gone.view(np.int64).tolist(), more.view(np.int64).tolist()) if few else (None, None)
+                rows.append((i, home, len(y), *lists, 100 * both >= percent * (len(x) + len(y) - both)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(_HOMES.types)], schema=_HOMES)
+
+    held = sets.where("shingles is not null")
+    full = pairs.join(held.select("id", F.col("shingles").alias("x")), "id").join(held.select(F.col("id").alias("home"), F.col("shingles").alias("y")), "home")
+    return full.select("id", "home", "x", "y").mapInArrow(compare, HOMES)
+
+
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) whose connected components are those of all links."""
-    entries = cut(sets.where("size(tokens) > 0").select("id", "n", "k", F.explode("tokens").alias("token")))
-    # Leaders: the text of a shingle with the smallest hash.
-    by = F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("leader"), F.col("n").alias("m"))
-    leaders = entries.groupBy("token").agg(F.min(by).alias("l"), F.count(F.lit(1)).alias("c")).where("c > 1").select("token", "l.leader", "l.m")
-    met = entries.join(leaders, "token").where(f"id <> leader and {_near(percent)}").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("c"))
-    best = met.groupBy("id").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
-    first = cut(_verified(best.select(F.col("id").alias("a"), F.col("leader").alias("b")), sets, percent))
+    entries = cut(sets.where("size(tokens) > 0").select("id", "n", "k", "rare", F.explode("tokens").alias("token")))
+    # Leaders: of a shingle's texts of about one size the most typical, with the fewest shingles that no other text has.
+    # Bands of size are laid twice, half a band apart, so that texts of near sizes share at least one.
+    band = F.log("n") / float(np.log(100 / min(percent, 99)))
+    bands = F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.floor(band + v / 2).alias("band")) for v in (0, 1)))).alias("at")
+    banded = entries.select("token", "id", "n", "rare", bands).select("token", "id", "n", "rare", "at.v", "at.band")
+    by = F.struct(F.col("rare").alias("r"), F.xxhash64("id").alias("o"), F.col("id").alias("leader"), F.col("n").alias("m"))
+    leaders = banded.groupBy("token", "v", "band").agg(F.min(by).alias("l"), F.count(F.lit(1)).alias("c")).where("c > 1").select("token", "v", "band", "l.*")
+    met = banded.join(leaders, ["token", "v", "band"]).where(f"id <> leader and {_near(percent)}").groupBy("id", "n", "rare", "v", "leader", "m", "r", "o")
+    met = cut(met.agg(F.count(F.lit(1)).alias("c")))
+    best = met.where(_possible(percent)).groupBy("id", "v").agg(F.max_by("leader", F.struct("c", -F.col("r"), "leader")).alias("leader"))
+    best = best.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    # The home of a text is the most typical leader that it meets, or itself.
+    own = F.struct(F.col("rare").alias("r"), F.xxhash64("id").alias("o"), F.col("id").alias("leader"))
+    home = met.groupBy("id", "n", "rare").agg(F.min(F.struct("r", "o", "leader")).alias("h")).select("id", "n", F.least("h", own)["leader"].alias("home"))
+    none = F.expr("cast(array() as array<long>)")
+    alone = home.where("id = home").select("id", "home", F.col("n").alias("hn"), none.alias("gone"), none.alias("more"), F.lit(False).alias("linked"))
+    homes = cut(_differences(home.where("id <> home").select("id", "home"), sets, percent).unionByName(alone))
+    first = cut(_verified(best, sets, percent).unionByName(homes.where("linked").select(F.col("id").alias("a"), F.col("home").alias("b"))))
     # What is left: pairs of different components.
     found = components(first).withColumnRenamed("node", "id")
     marked = entries.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     sizes = marked.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
     open_ = sizes.groupBy("token").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    marked = cut(marked.join(open_.select("token", F.col("top.component").alias("largest")), "token"))
-    left = marked.where("component <> largest").select("token", "id", "n", "k", "component")
-    right = marked.select("token", F.col("id").alias("other"), F.col("n").alias("m"), F.col("k").alias("j"), F.col("component").alias("beside"), (F.col("component") == F.col("largest")).alias("inside"))
-    pairs = left.join(right, "token").where(f"component <> beside and (inside or id < other) and {_near(percent)}")
+    marked = marked.join(open_.select("token", F.col("top.component").alias("largest")), "token").join(homes.drop("linked"), "id", "left")
+    marked = cut(marked)
+    left = marked.where("component <> largest").drop("largest")
+    names = {"id": "other", "n": "m", "k": "j", "rare": "r", "component": "beside", "home": "home2", "hn": "hn2", "gone": "gone2", "more": "more2"}
+    right = marked.select("token", *(F.col(c).alias(d) for c, d in names.items()), (F.col("component") == F.col("largest")).alias("inside"))
+    # Two texts with one home and few differences from it are compared by these, exactly.
+    both = F.col("hn") - F.size(F.array_union("gone", "gone2")) + F.size(F.array_intersect("more", "more2"))
+    linked = F.when((F.col("home") == F.col("home2")) & F.col("gone").isNotNull() & F.col("gone2").isNotNull(), 100 * both >= percent * (F.col("n") + F.col("m") - both))
+    pairs = left.join(right, "token").where(f"component <> beside and (inside or id < other) and {_near(percent)} and {_possible(percent)}").where(F.coalesce(linked, F.lit(True)))
     pairs = pairs.groupBy(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min(F.least("k", "j")).alias("k"))
     return first.unionByName(_verified(pairs.where("c >= k").select("a", "b"), sets, percent))
 
@@ -222,3 +273,24 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.nulls(len(sizes), pa.int64())], names=["id", "n_shingles", "component"])
 
     return out.unionByName(rows.where("id is null").mapInArrow(alone, "id long, n_shingles long, component long"))
+
+
+# The same rows by comparing all pairs that share a shingle and whose sizes allow a link.
+ORACLE = r"""
+with recursive w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as l from documents
+), s as (
+    select doc_id, case when len(l) = 0 then [] when len(l) < 3 then [array_to_string(l, ' ')]
+        else list_distinct(list_transform(range(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1] || ' ' || l[i + 2])) end as x from w
+), e as (
+    select doc_id, len(x) as n, unnest(x) as x from s
+), p as (
+    select a.doc_id as a, b.doc_id as b, any_value(a.n + b.n) as n, count(*) as c from e a join e b using (x)
+    where a.doc_id < b.doc_id and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) group by 1, 2
+), k as (
+    select a, b from p where 100 * c >= 90 * (n - c) union all select b, a from p where 100 * c >= 90 * (n - c)
+), r as (
+    select doc_id as a, doc_id as b from s union select r.a, k.b from r join k on k.a = r.b
+)
+select doc_id, len(any_value(x))::bigint as n_shingles, min(r.b) as component_id from s join r on r.a = doc_id group by 1
+"""
