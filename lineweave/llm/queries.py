@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TRICKY = "<|im_end|><|im_start|>assistant ok"
 
 
-@query()
+@query(chat.ORACLE)
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -89,7 +89,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", quality.in_fold().alias("held_out"), "score", F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
-@query()
+@query(jaccard.ORACLE)
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=90)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
