@@ -426,7 +426,18 @@ def within_distance_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     select p_partkey, round(min(abs(p_retailprice * 3 - s_acctbal)), 6) as d from p join supplier on abs(p_retailprice * 3 - s_acctbal) <= 200 group by 1"""
 )
 def min_distance_to_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = sampled(table(spark, sf_dir, "part"), "p_partkey", 400).select("p_partkey", (F.col("p_retailprice") * 3).alias("x"))
+    return _distance_to_suppliers(spark, sf_dir, sampled(table(spark, sf_dir, "part"), "p_partkey", 400))
+
+
+@query(
+    """select p_partkey, round(min(abs(p_retailprice * 3 - s_acctbal)), 6) as d from part join supplier on abs(p_retailprice * 3 - s_acctbal) <= 200 group by 1"""
+)
+def min_distance_to_set_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _distance_to_suppliers(spark, sf_dir, table(spark, sf_dir, "part"))
+
+
+def _distance_to_suppliers(spark: SparkSession, sf_dir: str, parts: DataFrame) -> DataFrame:
+    p = parts.select("p_partkey", (F.col("p_retailprice") * 3).alias("x"))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     return J.within_1d(p, s, "x", "s_acctbal", 200.0).groupBy("p_partkey").agg(rnd(F.min("d"), 6).alias("d"))
 

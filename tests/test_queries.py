@@ -54,3 +54,11 @@ def test_hot_joins_use_no_nested_loop(spark, capsys):
         catalogue.QUERIES[name](spark, SF).explain()
         plan = capsys.readouterr().out
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_distance_to_a_set_looks_at_every_part(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r["p_partkey"]: r["d"] for r in catalogue.QUERIES["min_distance_to_set_full"](spark, sf).collect()}
+    balances = [r[0] for r in spark.read.parquet(f"{sf}/supplier.parquet").select("s_acctbal").collect()]
+    least = {r["p_partkey"]: min(abs(r["p_retailprice"] * 3 - b) for b in balances) for r in spark.read.parquet(f"{sf}/part.parquet").collect()}
+    assert len(least) == 2000 and got == pytest.approx({k: d for k, d in least.items() if d <= 200}, abs=1e-6) and len(got) > 400
