@@ -1,7 +1,7 @@
 """Audio columns: 8-bit samples in WAV form, and features computed from the stored bytes.
 
 ``encode_wav`` wraps bytes as unsigned 8-bit mono samples. ``store_media`` writes them as a Parquet table in the shared
-folder. ``audio_tensors`` and ``audio_features`` read the samples back from the stored form and compute, in blocks of
+folder. ``audio_tensors`` and ``store_tensors`` read the samples back from the stored form and compute, in blocks of
 bounded size whatever the length of the audio:
 
 1. polyphase resampling from ``rate`` to ``rate * up / down``: one windowed-sinc filter, split into ``up`` phases;
@@ -9,7 +9,9 @@ bounded size whatever the length of the audio:
 3. hysteresis energy segmentation: a segment opens at ``open_db`` below the loudest frame and closes below ``close_db``.
 
 Features are cut into windows of ``frames`` by ``mels`` values with their time span; ``fixed_shape`` turns the column
-into an Arrow fixed-shape tensor array. Everything is computed for one audio at a time, so equal bytes have equal features.
+into an Arrow fixed-shape tensor array. ``store_tensors`` writes them so, with the time spans of windows and segments, to
+the shared folder; ``audio_features`` derives its column from the rows read back. Everything is computed for one audio at a
+time, so equal bytes have equal features.
 
 Defined cases: null bytes or texts count as empty; payloads are padded with bytes 0 to a positive multiple of 64, so
 that even an empty text has 64 samples; rows may repeat and ids be null, every row gives a row (``audio_features``) or
@@ -203,31 +205,80 @@ def audio_tensors(stored: DataFrame, p: Features = Features()) -> DataFrame:
     return rows.mapInArrow(read, f"id {rows.schema['id'].dataType.simpleString()}, tensor_no int, start_s double, end_s double, frames int, tensor array<float>")
 
 
-def summary(samples: bytes, rate: int, p: Features = Features()) -> str:
-    """The features of one audio as a short string: counts, spans' total and a checksum of all tensors."""
-    mels, energy = log_mel(np.frombuffer(samples, dtype=np.uint8), rate, p)
-    runs, crc = segments(energy, p), 0
-    found = tensors(mels, p)
+def packed(found: list[tuple[float, float, int, np.ndarray]], p: Features = Features()) -> bytes:
+    """What ``tensors`` gives as an Arrow stream: start_s, end_s, frames and a column of fixed-shape tensors."""
+    flat = pa.array(np.concatenate([x[3].ravel() for x in found]))
+    values = fixed_shape(pa.FixedSizeListArray.from_arrays(flat, p.frames * p.mels), p)
+    spans = [pa.array([x[k] for x in found], t) for k, t in ((0, pa.float64()), (1, pa.float64()), (2, pa.int32()))]
+    batch = pa.RecordBatch.from_arrays([*spans, values], names=["start_s", "end_s", "frames", "tensor"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(stream: bytes, p: Features = Features()) -> list[tuple[float, float, int, np.ndarray]]:
+    """The windows of a stored Arrow stream; raises if its tensors don't have the shape."""
+    found = pa.ipc.open_stream(stream).read_all().combine_chunks()
+    values = found.column("tensor").chunk(0)
+    if not isinstance(values.type, pa.FixedShapeTensorType) or list(values.type.shape) != [p.frames, p.mels]:
+        raise ValueError("not tensors of the fixed shape")
+    return list(zip(*(found.column(c).to_pylist() for c in ("start_s", "end_s", "frames")), values.to_numpy_ndarray()))
+
+
+def summary(found: list[tuple[float, float, int, np.ndarray]], runs: list[dict], p: Features = Features()) -> str:
+    """The stored features of one audio as a short string: counts, spans' total and a checksum of all tensors."""
+    crc = 0
     for start, end, n, values in found:
         crc = zlib.crc32(np.rint(values * 8).astype("<i2").tobytes(), zlib.crc32(f"{start:.3f} {end:.3f} {n}".encode(), crc))
-    active = int((runs[:, 1] - runs[:, 0]).sum()) * p.hop_ms
+    mels = np.concatenate([values[:n] for _, _, n, values in found])
+    active = sum(r["end"] - r["first"] for r in runs) * p.hop_ms
     return f"frames={len(mels)} tensors={len(found)}x{p.frames}x{p.mels} end_s={found[-1][1]:.3f} segments={len(runs)} active_ms={active} mean={mels.mean(dtype=np.float64):.2f} crc={crc:08x}"
 
 
-def audio_features(stored: DataFrame, p: Features = Features()) -> DataFrame:
-    """One row per stored audio: what the stored bytes are, and its features."""
-    names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+#: What the stored bytes of an audio are, beside its id.
+_BYTES = {"n_bytes": "long", "payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string"}
+_RUNS = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64())]))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def store_tensors(stored: DataFrame, p: Features = Features(), most: int = 4 << 20) -> DataFrame:
+    """Writes a row per stored audio to the shared folder and reads it back: what its bytes are, ``segments`` and ``tensors``.
+
+    ``segments`` has frames and time span of each segment, ``tensors`` an Arrow stream with a fixed-shape tensor and the
+    time span of each window.
+    """
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "media"):
-            rows = []
-            for media in batch.column("media").to_pylist():
+            rows, first, held = [], 0, 0
+            for i, media in enumerate(batch.column("media").to_pylist()):
                 media = media or encode_wav(bytes(UNIT))
                 rate, x = decode_wav(media)
-                rows.append((len(x), hashlib.sha256(x).hexdigest(), zlib.crc32(x[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), summary(x, rate, p)))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
+                mels, energy = log_mel(np.frombuffer(x, dtype=np.uint8), rate, p)
+                runs = [{"first": a, "end": b, "start_s": a * p.hop_ms / 1000, "end_s": ((b - 1) * p.hop_ms + p.frame_ms) / 1000} for a, b in segments(energy, p).tolist()]
+                rows.append((len(x), hashlib.sha256(x).hexdigest(), zlib.crc32(x[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), runs, packed(tensors(mels, p), p)))
+                held += len(rows[-1][-1])
+                if held >= most or i == batch.num_rows - 1:
+                    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), _RUNS, pa.binary())
+                    of = batch.slice(first, len(rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [of.column("id"), of.column("n_bytes"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["id", *_BYTES, "segments", "tensors"]
+                    )
+                    rows, first, held = [], i + 1, 0
 
     rows = stored.select("id", "n_bytes", "media")
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(read, f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    columns = ", ".join(f"{name} {kind}" for name, kind in {"id": rows.schema["id"].dataType.simpleString(), **_BYTES}.items())
+    return written(rows.mapInArrow(compute, f"{columns}, segments array<struct<first:int,end:int,start_s:double,end_s:double>>, tensors binary"), "tensors")
+
+
+def audio_features(stored: DataFrame, p: Features = Features()) -> DataFrame:
+    """One row per stored audio: what the stored bytes are, and its features, from tensors and spans stored and read back."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "tensors"):
+            feature = [summary(unpacked(x, p), runs, p) for x, runs in zip(batch.column("tensors").to_pylist(), batch.column("segments").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", *_BYTES)), pa.array(feature, pa.string())], names=["id", *_BYTES, "feature"])
+
+    rows = store_tensors(stored, p)
+    columns = ", ".join(f"{name} {kind}" for name, kind in {"id": rows.schema["id"].dataType.simpleString(), **_BYTES}.items())
+    return rows.mapInArrow(read, f"{columns}, feature string")

@@ -217,6 +217,26 @@ def test_tensors_have_a_fixed_shape(spark, docs):
     assert all(s < e for s, e in zip(found.column("start_s").to_pylist(), found.column("end_s").to_pylist()))
 
 
+def test_tensors_and_spans_are_stored(spark, docs):
+    stored = media.encode_texts(docs)
+    before = len(common._written)
+    features = {(r["id"], r["payload_sha256"]): r["feature"] for r in media.audio_features(stored).collect()}
+    assert len(common._written) == before + 1
+    table = spark.read.parquet(common._written[-1][1]).collect()
+    assert len(table) == len(ROWS)
+    p = media.Features()
+    for r in table:
+        arrow = pa.ipc.open_stream(bytes(r["tensors"])).read_all()
+        assert arrow.schema.field("tensor").type == pa.fixed_shape_tensor(pa.float32(), (p.frames, p.mels), dim_names=("frame", "mel"))
+        text = next(t for i, t, _ in ROWS if i == r["id"])
+        mels, energy = media.log_mel(np.frombuffer(media.payload(text)[1], dtype=np.uint8), 16_000)
+        for got, want in zip(media.unpacked(bytes(r["tensors"])), media.tensors(mels), strict=True):
+            assert got[:3] == want[:3] and np.array_equal(got[3], want[3])
+        assert [(s["first"], s["end"]) for s in r["segments"]] == [tuple(s) for s in media.segments(energy).tolist()]
+        assert all(s["start_s"] < s["end_s"] <= arrow.column("end_s")[-1].as_py() + 1e-9 for s in r["segments"])
+        assert f"frames={len(mels)} " in features[r["id"], r["payload_sha256"]]
+
+
 # ---- languages and quality --------------------------------------------------------------------------------------
 
 
