@@ -107,7 +107,10 @@ def _mel_filters(p: Features, rate: float, size: int) -> np.ndarray:
 
 
 def log_mel(samples: np.ndarray, rate: int, p: Features = Features()) -> tuple[np.ndarray, np.ndarray]:
-    """Log-mel energies (frames, mels) and energy in dB of each frame; a short signal makes one padded frame."""
+    """Log-mel energies (frames, mels) and energy in dB of each frame; what is left behind the last whole frame makes a padded one.
+
+    Silence of one filter's length is put behind the samples, as the last ones would reach no output otherwise.
+    """
     new = rate * p.up / p.down
     size, hop = int(new * p.frame_ms / 1000), int(new * p.hop_ms / 1000)
     fft = 1 << (size - 1).bit_length()
@@ -119,13 +122,13 @@ def log_mel(samples: np.ndarray, rate: int, p: Features = Features()) -> tuple[n
         mels.append(np.log(power @ filters + 1e-6))
         energy.append(10 * np.log10(np.mean(frames**2, axis=1) + 1e-9))
 
-    for y in resample(samples, p):
+    for y in resample(np.concatenate((samples, np.full(p.taps, 128, dtype=np.uint8))), p):
         rest = np.concatenate((rest, y))
         n = (len(rest) - size) // hop + 1 if len(rest) >= size else 0
         if n:
             add(np.lib.stride_tricks.sliding_window_view(rest, size)[: n * hop : hop])
             rest, done = rest[n * hop :], done + n
-    if not done:
+    if not done or len(rest) > size - hop:
         add(np.pad(rest, (0, size - len(rest)))[None])
     return np.concatenate(mels), np.concatenate(energy)
 

@@ -209,6 +209,19 @@ def test_tone_lands_in_its_band_and_segments_hold():
     assert len(media.segments(energy)) == 1 and abs(a - 50) <= 4 and abs(b - 150) <= 4
 
 
+def test_the_end_of_a_long_signal_is_in_a_frame():
+    x = np.random.default_rng(5).integers(32, 127, 64 * 10, dtype=np.uint8)
+    mels, energy = media.log_mel(x, 16_000)
+    for n in (1, 8, 64, 120):
+        other = x.copy()
+        other[-n:] = 255 - other[-n:]
+        assert not np.array_equal(media.log_mel(other, 16_000)[0], mels)
+    assert media.tensors(mels)[-1][1] >= len(x) / 16_000
+    for n in range(64, 64 * 60, 64):  # one frame behind the last whole one at most
+        frames = len(media.log_mel(np.resize(x, n), 16_000)[0])
+        assert n * 3 // 4 + 12 <= (frames - 1) * 120 + 300 and (frames == 1 or n * 3 // 4 + 12 > (frames - 2) * 120 + 300)
+
+
 def test_tensors_have_a_fixed_shape(spark, docs):
     found = media.audio_tensors(media.encode_texts(docs)).orderBy("id", "tensor_no").toArrow()
     p = media.Features()
