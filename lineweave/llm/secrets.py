@@ -6,8 +6,12 @@ reported only if what they hold has the structure of a credential:
 
 * ``jwt``: three base64url parts; the first decodes to a JSON object that names an algorithm, the second to a JSON object;
 * ``der``: base64 or hex (a PEM body, or bare) of an ASN.1 sequence whose nested lengths fit exactly and whose fields are
-  those of a PKCS#1, PKCS#8 or SEC1 private key;
-* ``ssh``: base64 of an OpenSSH private key, whose length-prefixed fields fit.
+  those of a PKCS#1, PKCS#8 (encrypted too), SEC1 or DSA private key;
+* ``ssh``: base64 or hex of an OpenSSH private key, whose length-prefixed fields fit.
+
+Keys are decoded wherever one can begin, also glued to what is before or behind it, in plain or url-safe base64, over
+several lines, and with line ends as JSON escapes. Not parsed: a bare key broken within its first ten characters, hex with
+signs between the digits, PEM bodies with header lines, PuTTY and PKCS#12 files, and other encodings (base32, percent signs).
 
 Spans are (kind, start, end) in code points, end exclusive, sorted by start and then kind in the order of ``KINDS``.
 Defined cases: a null text is empty and has no spans; ids may be null or repeat, every row gives a row; other columns
@@ -21,7 +25,7 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,10 +42,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
 NAMES = ("password", "passwd", "secret", "token", "api")
-JWT = re.compile(r"(?<![\w.-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END [A-Z ]*PRIVATE KEY-----")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
-LONG_HEX = re.compile(r"[0-9A-Fa-f]{80,}")
+DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
+PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]++|\\++[nrt/])++)-----END [A-Z ]*PRIVATE KEY-----")
+BREAK = re.compile(r"[^\S\r\n]*(?:[\r\n]|\\+[nr])(?:\s|\\+[nrt])*|\\+(?=/)")  #: inside a bare key
+BLANK = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")  #: inside a PEM body
+# How a key's first bytes look: a sequence with a version (or, encrypted, with a sequence), or the start of SSH_MAGIC.
+BASE64_START = re.compile(r"M(?:[A-H][AEIMQUYcgkosw048]CAQ|I(?:[E-H].(?:AgE|M[A-I])|[I-L].(?:..IB|.[DTjz][ABI])|[M-P]....CAQ|[Q-T].....AgE))|b3BlbnNzaC1rZXktdj")
+HEX_START = re.compile(r"30(?:[0-7].|81..|82.{4}|83.{6}|84.{8})(?:02010[01]|30)|6f70656e7373682d6b65792d7631", re.IGNORECASE)
+BASE64_PART, HEX_PART = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[0-9A-Fa-f]+")
+URL_SAFE = str.maketrans("-_", "+/")
+# Object identifiers of password-based encryption (PKCS#5, PKCS#12).
+ENCRYPTED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 SSH_MAGIC = b"openssh-key-v1\x00"
 
 
@@ -69,14 +80,19 @@ def _elements(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_private_der(data: bytes) -> bool:
-    """Whether the bytes are one PKCS#1, PKCS#8 or SEC1 private key and nothing more."""
+    """Whether the bytes are one PKCS#1, PKCS#8, SEC1 or DSA private key and nothing more."""
     if data[:1] != b"\x30":
         return False
     outer = _elements(data)
     if not outer or len(outer) != 1:
         return False
     fields = _elements(outer[0][1])
-    if not fields or fields[0][0] != 2:
+    if not fields:
+        return False
+    if [t for t, _ in fields] == [0x30, 0x04]:
+        algorithm = _elements(fields[0][1])
+        return bool(algorithm) and algorithm[0][0] == 0x06 and algorithm[0][1].startswith(ENCRYPTED) and len(fields[1][1]) > 0
+    if fields[0][0] != 2:
         return False
     tags, version = [t for t, _ in fields], fields[0][1]
     if tags[:3] == [0x02, 0x30, 0x04] and version in (b"\0", b"\1"):
@@ -84,26 +100,33 @@ def is_private_der(data: bytes) -> bool:
         return bool(algorithm) and algorithm[0][0] == 0x06 and len(fields[2][1]) > 0
     if len(tags) >= 2 and tags[1] == 0x04 and version == b"\1":
         return len(fields[1][1]) >= 16 and all(t in (0xA0, 0xA1) and _elements(x) for t, x in fields[2:])
+    if tags == [2] * 6:
+        return version == b"\0" and len(fields[1][1]) >= 64
     return len(tags) >= 9 and set(tags[:9]) == {2} and version in (b"\0", b"\1") and len(fields[1][1]) >= 32
 
 
-def is_private_ssh(data: bytes) -> bool:
-    """Whether the bytes are an OpenSSH private key: magic, three strings, key count, public key and private block."""
-    if not data.startswith(SSH_MAGIC):
-        return False
+def _ssh_length(read: Callable[[int], bytes]) -> int:
+    """Length of the OpenSSH private key that ``read(n)`` gives the first n bytes of, 0 if it is none.
+
+    It has its magic, three strings, the key count, the public key and the private block.
+    """
     at = len(SSH_MAGIC)
+    if read(at) != SSH_MAGIC:
+        return 0
+    for field in range(6):
+        number = read(at + 4)[at:]
+        if len(number) < 4:
+            return 0
+        n = int.from_bytes(number, "big")
+        if field == 3 and not 1 <= n <= 64:
+            return 0
+        at += 4 if field == 3 else 4 + n
+    return at if len(read(at)) == at else 0
 
-    def string(at: int) -> int:
-        if at < 0 or at + 4 > len(data):
-            return -1
-        end = at + 4 + int.from_bytes(data[at : at + 4], "big")
-        return end if end <= len(data) else -1
 
-    for _ in range(3):
-        at = string(at)
-    if at < 0 or at + 4 > len(data) or not 1 <= int.from_bytes(data[at : at + 4], "big") <= 64:
-        return False
-    return string(string(at + 4)) == len(data)
+def is_private_ssh(data: bytes) -> bool:
+    """Whether the bytes are one OpenSSH private key and nothing more."""
+    return data.startswith(SSH_MAGIC) and _ssh_length(lambda n: data[:n]) == len(data)
 
 
 def _unbase64(s: str, url: bool = False) -> bytes | None:
@@ -114,15 +137,29 @@ def _unbase64(s: str, url: bool = False) -> bytes | None:
         return None
 
 
-def is_signed_token(s: str) -> bool:
-    head, body, _ = s.split(".")
-    found = []
-    for part in (head, body):
-        try:
-            found.append(json.loads(_unbase64(part, url=True) or b""))
-        except (ValueError, RecursionError):
-            return False
-    return all(isinstance(x, dict) for x in found) and isinstance(found[0].get("alg"), str)
+def _object(part: str) -> dict | None:
+    """The JSON object that a part of a token holds, if any."""
+    try:
+        found = json.loads(_unbase64(part, url=True) or b"")
+    except (ValueError, RecursionError):
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def _signed_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of signed tokens; a token may begin anywhere in a run of its characters."""
+    for run in DOTTED.finditer(text):
+        if "eyJ" not in run[0] or run[0].count(".") < 2:
+            continue
+        parts, at, taken = run[0].split("."), run.start(), 0
+        for k, head in enumerate(parts[:-2]):
+            if k >= taken and "eyJ" in head and _object(parts[k + 1]) is not None:
+                for m in re.finditer("eyJ", head):
+                    if isinstance((_object(head[m.start() :]) or {}).get("alg"), str):
+                        yield at + m.start(), at + sum(map(len, parts[k : k + 3])) + 2
+                        taken = k + 3
+                        break
+            at += len(head) + 1
 
 
 def _key_kind(data: bytes | None) -> str | None:
@@ -131,6 +168,56 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der" if is_private_der(data) else "ssh" if is_private_ssh(data) else None
 
 
+def _encoded(text: str, at: int, need: int, part: re.Pattern) -> tuple[str, int]:
+    """The next ``need`` characters of an encoding, over line ends, or fewer if it ends before; and the place behind them."""
+    found = []
+    while need and (m := part.match(text, at, at + need)):
+        found.append(m[0])
+        need, at = need - len(m[0]), m.end()
+        gap = BREAK.match(text, at) if need else None
+        if not gap or not part.match(text, gap.end(), gap.end() + 1):
+            break
+        at = gap.end()
+    return "".join(found), at
+
+
+def _key_at(text: str, at: int, base: int) -> tuple[str, int] | None:
+    """Kind and end of the key that begins at a place in base64 or hex (``base`` 64 or 16), if one does."""
+    part = BASE64_PART if base == 64 else HEX_PART
+    end = at
+
+    def read(n: int) -> bytes:
+        nonlocal end
+        if n > len(text) - at:
+            return b""
+        found, end = _encoded(text, at, -(-n * 4 // 3) if base == 64 else 2 * n, part)
+        raw = _unbase64(found.translate(URL_SAFE)) if base == 64 else bytes.fromhex(found[: len(found) // 2 * 2])
+        return (raw or b"")[:n]
+
+    head = read(6)
+    if len(head) < 6:
+        return None
+    if head[0] == 0x30:
+        k = head[1] & 0x7F if head[1] & 0x80 else 0
+        data = read(2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1]))
+        kind = "der" if is_private_der(data) else None
+    else:
+        kind = "ssh" if _ssh_length(read) else None
+    if not kind:
+        return None
+    return kind, (re.compile("={0,2}").match(text, end).end() if base == 64 else end)
+
+
+def _bare_keys(text: str, inside: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    for start, base in ((BASE64_START, 64), (HEX_START, 16)):
+        at = 0
+        while m := start.search(text, at):
+            at = m.start() + 1
+            if not any(a <= m.start() < b for a, b in inside) and (found := _key_at(text, m.start(), base)):
+                yield found[0], m.start(), found[1]
+                at = found[1]
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """All spans of one text."""
     spans = []
@@ -140,21 +227,12 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     if "eyJ" in text:
-        spans += [("jwt", m.start(), m.end()) for m in JWT.finditer(text) if is_signed_token(m[0])]
+        spans += [("jwt", a, b) for a, b in _signed_tokens(text)]
     keys = set()
     if "PRIVATE KEY-----" in text:
-        keys |= {(kind, m.start(1), m.end(1)) for m in PEM.finditer(text) if (kind := _key_kind(_unbase64("".join(m[1].split()))))}
-    if len(text) >= 40 and max(map(len, text.split()), default=0) >= 40:
-        inside = [(a, b) for _, a, b in keys]
-        for m in BASE64.finditer(text):
-            if any(a <= m.start() and m.end() <= b for a, b in inside):
-                continue
-            if m[0][0] in "Mb" and (kind := _key_kind(_unbase64(m[0]))):
-                keys.add((kind, m.start(), m.end()))
-        for m in LONG_HEX.finditer(text):
-            digits = m[0][: len(m[0]) // 2 * 2]
-            if digits[:2] in ("30", "6f", "6F") and (kind := _key_kind(bytes.fromhex(digits))):
-                keys.add((kind, m.start(), m.start() + len(digits)))
+        keys |= {(kind, m.start(1), m.end(1)) for m in PEM.finditer(text) if (kind := _key_kind(_unbase64(BLANK.sub("", m[1]))))}
+    if len(text) >= 40:
+        keys |= set(_bare_keys(text, [(a, b) for _, a, b in keys]))
     return sorted([*spans, *keys], key=lambda s: (s[1], ORDER[s[0]], s[2]))
 
 

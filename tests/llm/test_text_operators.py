@@ -99,6 +99,33 @@ def test_structure_is_confirmed():
     assert secrets.find_secrets(f"{part({'al': 'x'})}.{part({'sub': 1})}.c2ln") == []
 
 
+def test_keys_are_found_wherever_they_begin():
+    key = base64.b64encode(rsa_key()).decode()
+    lines = "\n".join(re.findall(".{1,64}", key))
+    kinds = lambda t: [k for k, _, _ in secrets.find_secrets(t)]
+    pem = f"-----BEGIN PRIVATE KEY-----\n{lines}\n-----END PRIVATE KEY-----\n"
+    for t in (json.dumps({"private_key": pem}), json.dumps(json.dumps({"k": pem})), json.dumps({"k": pem}).replace("/", "\\/")):
+        assert kinds(t).count("der") == 1
+        (a, b) = next((a, b) for k, a, b in secrets.find_secrets(t) if k == "der")
+        assert key[:20] in t[a:b] and key[-20:].rstrip("=")[-8:] in t[a:b]
+    for before, body, after in [("x", key, ""), ("path/", key, " y"), ("", lines, "\nmore words"), ("k: ", lines.replace("\n", "\\n"), ""), ("", base64.urlsafe_b64encode(rsa_key()).decode(), " z"), ("Q" * 50, key, "")]:
+        t = before + body + after
+        assert [(k, t[a:b]) for k, a, b in secrets.find_secrets(t)] == [("der", body)]
+    assert "der" in kinds("7" + rsa_key().hex())
+    oid = lambda h: der(bytes.fromhex(h), tag=6)
+    encrypted = der(der(oid("2a864886f70d01050d"), der(b"")), der(bytes(range(200)) * 2, tag=4))
+    dsa = der(der(b"\0", tag=2), *(der(bytes([1]) + bytes(range(n)), tag=2) for n in (100, 20, 100, 100, 20)))
+    digest = der(der(oid("608648016503040201"), der(b"", tag=5)), der(bytes(range(200)) * 2, tag=4))
+    assert [kinds(base64.b64encode(x).decode()) for x in (encrypted, dsa, digest)] == [["der"], ["der"], []]
+    assert "der" in kinds(encrypted.hex()) and "der" in kinds(dsa.hex())
+    part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    token = f"{part({'alg': 'HS256'})}.{part({'sub': 1})}.c2ln"
+    for before in ("t_", "a.", "-", "v1.eyJ.", "é"):
+        t = f"{before}{token} end"
+        assert [(k, t[a:b]) for k, a, b in secrets.find_secrets(t)] == [("jwt", token)]
+    assert len(secrets.redact(f"{key}\n{key} {token}.{token}").replace("[secret]", "").split()) <= 1
+
+
 def test_redaction_leaves_nothing_and_keeps_the_rest(spark, docs):
     t = f"a token=abcdefghijklm b AKIA{'B' * 20} c {'ab12' * 8}"
     assert secrets.redact(t) == "a [secret] b [secret] c [secret]"
