@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineweave.llm import bpe, jaccard, mixing, quality, secrets
-from lineweave.llm.common import written
+from lineweave.llm.common import cut, written
 
 ORACLE_SQL = None  # trained, iterative and encoding stages: tests hold them against brute force
 
@@ -22,13 +22,21 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group linked by 0.8 of its five-word shingles.
+    """One document, the first by id and then text, of each group linked by 0.8 of its five-word shingles.
 
-    Documents without an id link nothing and stay; of rows that repeat an id one stays.
+    Rows of one id with different texts are documents of their own; of rows with equal id and text one stays. Documents
+    without an id link nothing and stay.
     """
-    found = jaccard.near_duplicates(docs, n=5, percent=80)
-    first = found.where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    same = ["doc_id", "_size", "_h", "_c"]
+    text = F.coalesce("text", F.lit(""))
+    marked = docs.where("doc_id is not null").withColumns({"_size": F.octet_length(text), "_h": F.xxhash64(text), "_c": F.crc32(text.cast("binary"))})
+    keys = cut(marked.select(same).distinct().withColumn("_key", F.monotonically_increasing_id()))
+    keyed = written(marked.join(keys, same), "keyed")
+    found = jaccard.near_duplicates(keyed, n=5, percent=80, doc_id="_key").select(F.col("id").alias("_key"), "component").distinct()
+    first = found.join(keys, "_key").groupBy("component").agg(F.min(F.struct(*same, "_key")).alias("first")).select("first._key")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), *([F.xxhash64(*others)] if others else [])))
+    kept = keyed.join(first, "_key", "left_semi").groupBy("_key").agg(row.alias("row")).select("row.*")
     return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 

@@ -143,3 +143,16 @@ def test_pipeline_stages_keep_columns_and_decide(spark):
     ends = stages["byte-level BPE encoding and decoding"](spark, docs, sf).join(docs, "doc_id")
     assert ends.where("decoded_sha256 <> sha2(cast(text as binary), 256)").count() == 0 and ends.count() == docs.count()
     assert stages["secret scans"](spark, docs, sf).count() == docs.count()
+
+
+def test_an_id_with_several_texts_loses_near_copies_only(spark):
+    words = lambda a: " ".join(f"w{a}x{k}" for k in range(40))
+    rows = [(1, words(1), "x"), (1, words(2) + " and more words that make it long", "x"), (2, words(1), "x"), (3, words(3), "x"), (3, words(3), "y"), (3, words(3), "x"), (4, None, "x"), (5, "", "x"), (None, words(1), "z")]
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    seen = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string").repartition(3)
+        seen.append(sorted(map(repr, stage(spark, docs, "").collect())))
+    assert seen[0] == seen[1]
+    left = [(r.split("text=")[0], r.split("text=")[1][:6]) for r in seen[0]]
+    assert left == sorted([("Row(doc_id=1, ", "'w1x0 "), ("Row(doc_id=1, ", "'w2x0 "), ("Row(doc_id=3, ", "'w3x0 "), ("Row(doc_id=4, ", "None, "), ("Row(doc_id=5, ", "'', so"), ("Row(doc_id=None, ", "'w1x0 ")])
