@@ -141,7 +141,7 @@ def nearest(
         return empty
     rows = rows.where(usable(F.col("v"), common["length"])).groupBy("id").agg(F.min("v").alias("v"))
     norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    total = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("m")).first()
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("m"), F.count_if(queries).alias("asked")).first()
     if not total["n"]:
         return empty
     sample = np.array([r["v"] for r in rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()])
@@ -180,11 +180,14 @@ def nearest(
     placed = placed.join(F.broadcast(offsets) if n_parts <= SMALL else offsets, ["curve", "part"])
     placed = placed.withColumn("block", F.floor((F.col("offset") + F.col("no")) / block).cast("long"))
     reach = int(np.ceil(window / 2 * total["n"] / block))
-    last = (total["n"] * 2) // block + 1
-    span = lambda x: (F.greatest(x - reach, F.lit(0)), F.least(x + reach, F.lit(last)))
-    low, high = span(F.col("block"))
+    # Windows are shifted inward at both ends of a curve, so that each query meets its full share.
+    last = (total["n"] + total["asked"] - 1) // block
+    end = max(last - 2 * reach, 0)
+    at = F.col("block")
+    first = F.least(F.greatest(at - reach, F.lit(0)), F.lit(end))
+    low, high = F.when(at <= 2 * reach, 0).otherwise(at - reach), F.when(at >= end, last).otherwise(at + reach)  # blocks of queries whose window a block is in
     group = lambda x: F.floor(x / SUPER).cast("long")
-    asks = placed.where("query").withColumn("super", group(F.col("block"))).withColumn("tile", F.explode(F.sequence(low, high)))
+    asks = placed.where("query").withColumn("super", group(F.col("block"))).withColumn("tile", F.explode(F.sequence(first, F.least(first + 2 * reach, F.lit(last)))))
     has = placed.where("not query").withColumn("tile", F.col("block")).withColumn("super", F.explode(F.sequence(group(low), group(high))))
     names = ["curve", "tile", "super", "id", "query", "v"]
     found = asks.select(*names).unionByName(has.select(*names)).groupBy("curve", "tile", "super").applyInArrow(_tile(k), "query_id long, vec_id long, score double")

@@ -156,3 +156,10 @@ def test_an_id_with_several_texts_loses_near_copies_only(spark):
     assert seen[0] == seen[1]
     left = [(r.split("text=")[0], r.split("text=")[1][:6]) for r in seen[0]]
     assert left == sorted([("Row(doc_id=1, ", "'w1x0 "), ("Row(doc_id=1, ", "'w2x0 "), ("Row(doc_id=3, ", "'w3x0 "), ("Row(doc_id=4, ", "None, "), ("Row(doc_id=5, ", "'', so"), ("Row(doc_id=None, ", "'w1x0 ")])
+
+
+def test_queries_at_the_ends_of_a_curve_meet_their_full_share(spark):
+    x = np.random.default_rng(9).standard_normal((600, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    met = ann.nearest(df, F.col("id") % 5 == 0, k=600, curves=1, window=0.4, block=10).groupBy("query_id").count().collect()
+    assert len(met) == 120 and min(r["count"] for r in met) >= 170  # 250 places in all, at most 120 of them of queries, evenly spread
