@@ -27,10 +27,10 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineweave.llm.common import slices, texts
+from lineweave.llm.common import slices, small_batches, texts
 
 CHUNK, OVERLAP = 32_768, 2_048
-CACHED = 200_000
+CACHED = 65_536
 
 
 def vocabulary() -> str:
@@ -108,7 +108,7 @@ def chunks(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
 def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Rows (id, ids): one for each row of ``docs``."""
     path, step = path or vocabulary(), chunk - overlap
-    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,24 +6,16 @@ that the session names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see. Only where the session names none (tests), a temporary one is set."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lineweave-", dir="/tmp"))
-    return sc.getCheckpointDir()
+from lineweave.operators import tables
+from lineweave.operators.tables import shared_dir
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -32,30 +24,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_written: list[tuple[SparkSession, str]] = []
-
-
 def written(df: DataFrame, what: str) -> DataFrame:
     """Ends the lineage of wide rows: a Parquet table in the shared folder, removed when the application ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    if not _written:
-        atexit.register(_remove_tables)
-    _written.append((spark, path))
-    return spark.read.parquet(path)
+    return tables.written(df, what)[0]
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def _remove_tables() -> None:
-    for spark, path in _written:
-        if spark.sparkContext._jsc is not None:
-            remove(spark, path)
+def small_batches(df: DataFrame, most: str = "4m") -> DataFrame:
+    """Has Spark hand rows to Python in batches of few bytes, so that neither side holds many texts at once.
+
+    A session that was started with a bound of its own keeps it.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getConf().get(BATCH_BYTES) is None:
+        spark.conf.set(BATCH_BYTES, most)
+    return df
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
@@ -64,7 +50,10 @@ def texts(batch: pa.RecordBatch, column: str) -> list[str]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cuts batches so that what a worker holds of one column is about ``most`` bytes, or one row if that is longer."""
+    """Cuts batches so that what a worker holds of one column is about ``most`` bytes, or one row if that is longer.
+
+    Behind the last one the worker, which lives on for other tasks, gives the memory that it no longer needs back.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -73,6 +62,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
         edges = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 # ---- words and their hashes -------------------------------------------------------------------------------------
@@ -82,16 +74,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(9, 14)]] = True
 _RANDOM = np.random.default_rng(20240607)
-_TABLE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
-_TABLE[ord("A") : ord("Z") + 1] = _TABLE[ord("a") : ord("z") + 1]
+BYTES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
+_FOLDED = BYTES.copy()  #: A-Z as a-z
+_FOLDED[ord("A") : ord("Z") + 1] = BYTES[ord("a") : ord("z") + 1]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _POWERS: dict[str, np.ndarray] = {}
+_BLOCK = 1 << 16  #: bytes hashed at once
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers, or more, of an odd number and of its inverse."""
     if len(_POWERS.get("up", ())) < n:
-        n = max(n, 1 << 20)
+        n = max(n, _BLOCK + 1)
         for name, base in (("up", _ODD), ("down", _INVERSE)):
             steps = np.full(n, base, dtype=np.uint64)
             steps[0] = 1
@@ -116,14 +111,13 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(starts):
         return starts, ends, np.zeros(0, dtype=np.uint64)
     hashes = np.empty(len(starts), dtype=np.uint64)
-    block = 1 << 20
     i = 0
     while i < len(starts):  # blocks keep the power tables small; a block ends with a word
         base = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, base + block, side="right")))
+        j = max(i + 1, int(np.searchsorted(ends, base + _BLOCK, side="right")))
         part = data[base : ends[j - 1]]
-        up, down = _powers(len(part) + 1)
-        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_TABLE[part] * up[: len(part)], dtype=np.uint64)))
+        up, down = powers(len(part) + 1)
+        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_FOLDED[part] * up[: len(part)], dtype=np.uint64)))
         a, b = starts[i:j] - base, ends[i:j] - base
         hashes[i:j] = mixed((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
         i = j

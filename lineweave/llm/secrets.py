@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.llm.common import slices, texts
+from lineweave.llm.common import slices, small_batches, texts
 
 KINDS = ("assign", "access", "hex", "jwt", "der", "ssh")
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
@@ -248,7 +248,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``id`` and ``spans``."""
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(_scan, f"id {rows.schema['id'].dataType.simpleString()}, spans {SPANS}")
 
 
@@ -273,7 +273,7 @@ def redact_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_char
             at = batch.schema.get_field_index(text)
             yield batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.schema.field(at).type))
 
-    out = docs.mapInArrow(rewrite, docs.schema)
+    out = small_batches(docs).mapInArrow(rewrite, docs.schema)
     return out.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType)) if n_chars in docs.columns else out
 
 
