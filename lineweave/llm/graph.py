@@ -1,30 +1,18 @@
-"""Connected components of links between documents, by label propagation with pointer jumping."""
+"""Connected components of links between documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.operators.tables import remove, written
+from lineweave.operators import graph
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows (node, component): each linked node with the smallest node that it reaches.
 
-    A round takes the smallest label of the neighbours and then the label of that label, so that a chain of n links
-    takes about log n rounds. Every round is a pair of joins on node and ends in a small table, which the next one
-    replaces; nothing reaches the driver but whether labels changed. Links may repeat, run both ways or join a node to itself; nulls link nothing.
+    Links may repeat, run both ways or join a node to itself; nulls link nothing.
     """
-    one = links.select(F.col(a).alias("node"), F.col(b).alias("other")).where("node is not null and other is not null")
-    both, _ = written(one.unionByName(one.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "links")
-    labels, path = written(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
-    while True:
-        near = both.join(labels, "node").groupBy("other").agg(F.min("label").alias("m")).withColumnRenamed("other", "node")
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        target = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        labels, new = written(step.join(target, "label").select("node", "old", F.least("label", "further").alias("label")), "labels")
-        remove(path)
-        path = new
-        if labels.where("label <> old").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
-        labels = labels.select("node", "label")
+    one = links.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
+    both = one.unionByName(one.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    return graph.components(both.select(F.col("x").alias("node")), both, "node")

@@ -14,14 +14,15 @@ between different components (exact copies are one class from the start):
    Shingles that are in one text only link nothing and go no further.
 4. Texts of about one size that share a prefix shingle first meet its leader, the one among them with the fewest shingles
    of its own; each verifies the leader that it meets most. That joins most of a group of near copies to what they are
-   copies of, at a cost in proportion to the group.
-   What it differs in from the most typical leader that it meets, its home, is kept where that is little.
-5. What is left pairs texts of different components: for each shingle, those outside its largest component with all.
-   Pairs that sizes and unshared shingles rule out go at once, and so do those with one home whose differences from it
-   tell their similarity exactly. The others that share enough shingles are verified on the full sets.
-6. The links' connected components give the classes.
+   copies of, at a cost in proportion to the group. The most typical leader that a text meets, or that leader's own, is its
+   home, and what the two don't share is kept.
+5. Of texts with one home, those not linked with it are joined with the others by their differences from it, which tell
+   similarities exactly (``_by_differences``): texts that are near the same text but not near each other don't meet.
+6. Texts with different homes that share enough prefix shingles are verified on the full sets, unless sizes and unshared
+   shingles rule them out or one component holds both.
+7. The links' connected components give the classes.
 
-Links inside a component that steps 4 and 5 never verify change nothing in the result. No cap drops any candidate.
+Links inside a component that steps 4 to 6 never verify change nothing in the result. No cap drops any candidate.
 
 Defined cases: null and empty texts and texts without words have no shingles and stay alone; texts with fewer words than
 a shingle have their whole sequence as one; rows may repeat (each gives a row); if an id comes with several texts, the
@@ -39,11 +40,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.llm.common import cut, shingle_hashes, slices, word_hashes, written
+from lineweave.llm.common import cut, shingle_hashes, slices, small_batches, word_hashes, written
 from lineweave.llm.graph import components
 
 BLOCK_BYTES, BUCKET = 3 << 20, 1 << 20
-MOST_MATCHES, VERIFY = 8, 8.0
+VERIFY = 8.0
 
 
 def shingle_set(text: bytes, n: int) -> np.ndarray:
@@ -116,9 +117,8 @@ def prefix(hashes: np.ndarray, classes: np.ndarray, percent: int) -> tuple[int,
     order = np.lexsort((hashes, classes))
     others = _COUNTS[classes[order]] - 1
     need = -(-percent * n // 100)
-    most = min(MOST_MATCHES, need)
-    sums = np.cumsum(others)[n - need : n - need + most]
-    k = int(np.argmin(sums * (1 + VERIFY / np.arange(1, most + 1)))) + 1
+    sums = np.cumsum(others)[n - need :]
+    k = int(np.argmin(sums * (1 + VERIFY / np.arange(1, need + 1)))) + 1
     first = order[: n - need + k]
     return k, hashes[first][classes[first] > 1]
 
@@ -181,82 +181,162 @@ def _possible(percent: int) -> str:
     return f"100 * {most} >= {percent} * (n + m - {most})"
 
 
-HOMES = "id long, home long, hn int, gone array<long>, more array<long>, linked boolean"
-_HOMES = pa.schema([("id", pa.int64()), ("home", pa.int64()), ("hn", pa.int32()), ("gone", pa.list_(pa.int64())), ("more", pa.list_(pa.int64())), ("linked", pa.bool_())])
-FEW = 64
+HOMES = "id long, n long, home long, hn long, differ long, differences array<long>, linked boolean"
+_HOMES = pa.schema(
+    [("id", pa.int64()), ("n", pa.int64()), ("home", pa.int64()), ("hn", pa.int64()), ("differ", pa.int64()), ("differences", pa.list_(pa.int64())), ("linked", pa.bool_())]
+)
 
 
 def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For pairs (id, home) what the home has and the text lacks, and what the text has more, where both are few; and whether they link."""
+    """For pairs (id, home) what is in one set and not in the other, and whether they link.
+
+    A text that differs from its home in more shingles than it has becomes a home of its own.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "x"):
             rows = []
             for i, home, x, y in zip(*(batch.column(c).to_pylist() for c in ("id", "home", "x", "y"))):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                gone, more = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
-                both, few = len(y) - len(gone), len(gone) + len(more) <= FEW
-                lists = (gone.view(np.int64).tolist(), more.view(np.int64).tolist()) if few else (None, None)
-                rows.append((i, home, len(y), *lists, 100 * both >= percent * (len(x) + len(y) - both)))
+                apart = np.setxor1d(x, y, assume_unique=True)
+                linked = (100 + percent) * len(apart) <= (100 - percent) * (len(x) + len(y))
+                rows.append((i, len(x), home, len(y), len(apart), apart.view(np.int64).tolist(), linked) if len(apart) <= len(x) else (i, len(x), i, len(x), 0, [], linked))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(_HOMES.types)], schema=_HOMES)
 
     held = sets.where("shingles is not null")
-    full = pairs.join(held.select("id", F.col("shingles").alias("x")), "id").join(held.select(F.col("id").alias("home"), F.col("shingles").alias("y")), "home")
+    counts = pairs.groupBy("home").agg(F.count(F.lit(1)).alias("c"))
+    theirs = held.join(counts.select(F.col("home").alias("id")), "id").select(F.col("id").alias("home"), F.col("shingles").alias("y"))
+    full = _joined(pairs.join(held.select("id", F.col("shingles").alias("x")), "id"), theirs, _hot(counts, pairs.count()))
     return full.select("id", "home", "x", "y").mapInArrow(compare, HOMES)
 
 
-def links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) whose connected components are those of all links."""
-    entries = cut(sets.where("size(tokens) > 0").select("id", "n", "k", "rare", F.explode("tokens").alias("token")))
-    # Leaders: of a shingle's texts of about one size the most typical, with the fewest shingles that no other text has.
-    # Bands of size are laid twice, half a band apart, so that texts of near sizes share at least one.
+def _hot(counts: DataFrame, total: int) -> DataFrame:
+    """The homes, at most 1,000, that hold a thousandth of all rows or more (and 512 at least); ``counts`` has their rows as c."""
+    return F.broadcast(counts.where(F.col("c") >= max(512, -(-total // 1000))).select("home", F.lit(True).alias("hot")))
+
+
+def _joined(rows: DataFrame, values: DataFrame, hot: DataFrame, salts: int = 64) -> DataFrame:
+    """Rows with the one row of ``values`` for their home; the rows of hot homes are spread."""
+    salted = rows.join(hot, "home", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(salts))).otherwise(0)).drop("hot")
+    every = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    copies = values.join(hot, "home", "left").withColumn("salt", every).drop("hot")
+    return salted.withColumn("salt", F.col("salt").cast("int")).join(copies, ["home", "salt"]).drop("salt")
+
+
+def _met(entries: DataFrame, percent: int) -> DataFrame:
+    """Rows (id, n, rare, v, leader, m, r, o, c): how many prefix shingles a text shares with each leader that it meets.
+
+    Of a shingle's texts of about one size the leader is the most typical, with the fewest shingles that no other text
+    has. Bands of size are laid twice, half a band apart, so that texts of near sizes share at least one.
+    """
     band = F.log("n") / float(np.log(100 / min(percent, 99)))
     bands = F.explode(F.array(*(F.struct(F.lit(v).alias("v"), F.floor(band + v / 2).alias("band")) for v in (0, 1)))).alias("at")
     banded = entries.select("token", "id", "n", "rare", bands).select("token", "id", "n", "rare", "at.v", "at.band")
     by = F.struct(F.col("rare").alias("r"), F.xxhash64("id").alias("o"), F.col("id").alias("leader"), F.col("n").alias("m"))
     leaders = banded.groupBy("token", "v", "band").agg(F.min(by).alias("l"), F.count(F.lit(1)).alias("c")).where("c > 1").select("token", "v", "band", "l.*")
-    met = banded.join(leaders, ["token", "v", "band"]).where(f"id <> leader and {_near(percent)}").groupBy("id", "n", "rare", "v", "leader", "m", "r", "o")
-    met = cut(met.agg(F.count(F.lit(1)).alias("c")))
-    best = met.where(_possible(percent)).groupBy("id", "v").agg(F.max_by("leader", F.struct("c", -F.col("r"), "leader")).alias("leader"))
-    best = best.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    # The home of a text is the most typical leader that it meets, or itself.
+    met = banded.join(leaders, ["token", "v", "band"]).where(f"id <> leader and {_near(percent)}")
+    return met.groupBy("id", "n", "rare", "v", "leader", "m", "r", "o").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _homes(met: DataFrame, jumps: int = 2) -> DataFrame:
+    """Pairs (id, home): the most typical leader that a text meets, or that one's, and so on for 2 ** jumps steps."""
     own = F.struct(F.col("rare").alias("r"), F.xxhash64("id").alias("o"), F.col("id").alias("leader"))
-    home = met.groupBy("id", "n", "rare").agg(F.min(F.struct("r", "o", "leader")).alias("h")).select("id", "n", F.least("h", own)["leader"].alias("home"))
-    none = F.expr("cast(array() as array<long>)")
-    alone = home.where("id = home").select("id", "home", F.col("n").alias("hn"), none.alias("gone"), none.alias("more"), F.lit(False).alias("linked"))
-    homes = cut(_differences(home.where("id <> home").select("id", "home"), sets, percent).unionByName(alone))
-    first = cut(_verified(best, sets, percent).unionByName(homes.where("linked").select(F.col("id").alias("a"), F.col("home").alias("b"))))
-    # What is left: pairs of different components.
-    found = components(first).withColumnRenamed("node", "id")
-    marked = entries.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    sizes = marked.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
-    open_ = sizes.groupBy("token").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    marked = marked.join(open_.select("token", F.col("top.component").alias("largest")), "token").join(homes.drop("linked"), "id", "left")
-    marked = cut(marked)
-    left = marked.where("component <> largest").drop("largest")
-    names = {"id": "other", "n": "m", "k": "j", "rare": "r", "component": "beside", "home": "home2", "hn": "hn2", "gone": "gone2", "more": "more2"}
-    right = marked.select("token", *(F.col(c).alias(d) for c, d in names.items()), (F.col("component") == F.col("largest")).alias("inside"))
-    # Two texts with one home and few differences from it are compared by these, exactly.
-    both = F.col("hn") - F.size(F.array_union("gone", "gone2")) + F.size(F.array_intersect("more", "more2"))
-    linked = F.when((F.col("home") == F.col("home2")) & F.col("gone").isNotNull() & F.col("gone2").isNotNull(), 100 * both >= percent * (F.col("n") + F.col("m") - both))
-    pairs = left.join(right, "token").where(f"component <> beside and (inside or id < other) and {_near(percent)} and {_possible(percent)}").where(F.coalesce(linked, F.lit(True)))
+    first = met.groupBy("id", "rare").agg(F.min(F.struct("r", "o", "leader")).alias("h"))
+    homes = cut(first.select("id", F.least("h", own)["leader"].alias("home")).where("id <> home"))
+    for _ in range(jumps):
+        further = homes.select(F.col("id").alias("home"), F.col("home").alias("further"))
+        homes = cut(homes.join(further, "home", "left").select("id", F.coalesce("further", "home").alias("home")))
+    return homes
+
+
+def _by_differences(homes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) between texts of one home and different components.
+
+    Where D(x) is what x and the home don't share, D(x) and D(y) differ in exactly the shingles in which x and y do. So x
+    and y link when D(x) and D(y) share at least ``need`` shingles, which is a join of its own among the differences of a
+    home: what all its texts share is in none of them, and only what they changed alike brings two of them together.
+    Two texts of a home that both link with it are in one component, so one of a pair is ``open``, not linked with the
+    home. That bounds what the other, however close to the home it is, must share: more than half of its differences,
+    about. Each is looked for under its rarest differences only, as many as leave less than its bound.
+    """
+    up, down = 100 + percent, 100 - percent
+    named = homes.where("differ > 0").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = cut(named.drop("linked"))
+    # Homes that have texts of other components than their own.
+    busy = named.groupBy("home").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("c"))
+    busy = busy.join(found.select(F.col("node").alias("home"), F.col("component").alias("top")), "home", "left").withColumn("top", F.coalesce("top", "home"))
+    busy = cut(busy.where("low <> top or high <> top").select("home", "top", "c"))
+    named = _joined(named, busy.drop("c"), _hot(busy, named.count())).withColumn("open", F.col("component") != F.col("top")).drop("top")
+    named = cut(named)
+    tokens = named.select("home", "id", F.explode("differences").alias("token"))
+    counts = tokens.groupBy("home", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    listed = tokens.join(counts, ["home", "token"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("l"))
+    texts = cut(named.drop("differences").join(listed.select("id", F.col("l.token").alias("tokens")), "id").withColumn("m", F.size("tokens")))
+    # A partner has at most 100 / percent times the shingles; what it shares it has among its own differences.
+    least = F.ceil((up * F.col("differ") - down * (F.col("n") + F.floor(100 * F.col("n") / percent))) / up)
+    beside = F.floor((up * F.col("differ") + down * (F.col("hn") - F.col("n"))) / (2 * up)) + 1
+
+    def prefix(rows: DataFrame, bound, names: dict[str, str]) -> DataFrame:
+        first = (F.col("m") - F.greatest(bound, F.lit(1)) + 1).cast("int")
+        rows = rows.withColumn("first", first).where("first > 0").withColumn("rest", F.col("m") - F.col("first"))
+        kept = ("id", "n", "differ", "m", "rest", "component", "open")
+        return rows.select("home", F.explode(F.slice("tokens", F.lit(1), F.col("first"))).alias("token"), *(F.col(c).alias(names.get(c, c)) for c in kept))
+
+    names = {"id": "other", "n": "n2", "differ": "differ2", "m": "m2", "rest": "rest2", "component": "component2", "open": "open2"}
+    left, right = prefix(texts.where("open"), least, {}), prefix(texts, beside, names)
+    need = F.greatest(F.ceil((up * (F.col("differ") + F.col("differ2")) - down * (F.col("n") + F.col("n2"))) / (2 * up)), F.lit(1)).cast("int")
+    once = "(not open2 or struct(differ2, other) < struct(differ, id))"
+    pairs = left.join(right, ["home", "token"]).where(f"component <> component2 and {once} and 100 * least(n, n2) >= {percent} * greatest(n, n2)").where(need <= F.least("m", "m2"))
+    pairs = pairs.groupBy("id", "other").agg(F.count(F.lit(1)).alias("c"), F.max(need).alias("need"), F.max(F.greatest("rest", "rest2")).alias("rest")).where("c + rest >= need")
+    both = pairs.join(texts.select("id", "tokens"), "id").join(texts.select(F.col("id").alias("other"), F.col("tokens").alias("tokens2")), "other")
+    return both.where(F.size(F.array_intersect("tokens", "tokens2")) >= F.col("need")).select(F.col("id").alias("a"), F.col("other").alias("b"))
+
+
+def _across_homes(entries: DataFrame, homes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The candidate pairs (a, b) of texts with different homes and components: they share as many prefix shingles as must be."""
+    marked = entries.join(homes.select("id", "home"), "id", "left").join(found.withColumnRenamed("node", "id"), "id", "left")
+    marked = marked.withColumns({"home": F.coalesce("home", "id"), "component": F.coalesce("component", "id")})
+    several = marked.groupBy("token").agg(*(f(c).alias(f"{n}_{c}") for c in ("home", "component") for n, f in (("low", F.min), ("high", F.max))))
+    several = several.where("low_home < high_home and low_component < high_component").select("token")
+    marked = cut(marked.join(several, "token", "left_semi"))
+    # Homes are paired first, so that texts of one home never meet here.
+    at = marked.select("token", "home").distinct()
+    sides = at.join(at.withColumnRenamed("home", "home2"), "token").where("home < home2")
+    names = {"id": "other", "n": "m", "k": "j", "rare": "r", "component": "beside", "home": "home2"}
+    right = marked.select("token", *(F.col(c).alias(d) for c, d in names.items()))
+    pairs = marked.join(sides, ["token", "home"]).join(right, ["token", "home2"]).where(f"component <> beside and {_near(percent)} and {_possible(percent)}")
     pairs = pairs.groupBy(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min(F.least("k", "j")).alias("k"))
-    return first.unionByName(_verified(pairs.where("c >= k").select("a", "b"), sets, percent))
+    return pairs.where("c >= k").select("a", "b")
+
+
+def links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) whose connected components are those of all links."""
+    entries = cut(sets.where("size(tokens) > 0").select("id", F.col("n").cast("long").alias("n"), "k", F.col("rare").cast("long").alias("rare"), F.explode("tokens").alias("token")))
+    met = cut(_met(entries, percent))
+    best = met.where(_possible(percent)).groupBy("id", "v").agg(F.max_by("leader", F.struct("c", -F.col("r"), "leader")).alias("leader"))
+    best = best.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    homes = cut(_differences(_homes(met), sets, percent))
+    # A text that became its own home may still be linked with the one that it met; no link is lost, as the pair has two homes then.
+    first = cut(_verified(best, sets, percent).unionByName(homes.where("linked and id <> home").select(F.col("id").alias("a"), F.col("home").alias("b"))))
+    found = components(first)
+    return first.unionByName(_by_differences(homes, found, percent)).unionByName(_verified(_across_homes(entries, homes, found, percent), sets, percent))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (id, n_shingles, component): one for each row of ``docs``; ids are integers."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     digest = F.struct(F.octet_length("text").alias("size"), F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"))
     # Equal texts are one class; an id has one text.
     texts = cut(rows.where("id is not null").groupBy("id").agg(F.max(digest).alias("digest"), F.count(F.lit(1)).alias("copies")))
-    size = texts.agg(F.coalesce(F.sum("digest.size"), F.lit(0))).first()[0]
+    size, most = texts.agg(F.coalesce(F.sum("digest.size"), F.lit(0)), F.coalesce(F.max("copies"), F.lit(0))).first()
     blocks = -(-size // BLOCK_BYTES) or 1
     bits = max(0, (size // 6 // BUCKET).bit_length())
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long").alias("block")
+    block = F.pmod(F.xxhash64("id", "h"), F.lit(blocks)).cast("long").alias("block")
     classes = texts.groupBy("digest").agg(F.min("id").alias("rep"))
     reps = classes.select(F.col("rep").alias("id"), F.col("digest.h").alias("h")).select(block, "id", "h")
-    dealt = rows.where("id is not null").select(block, "id", F.xxhash64("text").alias("h"), "text")
+    dealt = rows.where("id is not null").select("id", F.xxhash64("text").alias("h"), "text").select(block, "id", "h", "text")
+    if most > 1:  # a repeated row must not make its block large
+        dealt = dealt.groupBy("block", "id", "h").agg(F.first("text").alias("text"))
     sent = dealt.groupBy("block").cogroup(reps.groupBy("block")).applyInArrow(_send(n, bits), "block long, bucket long, data binary")
     told = sent.groupBy("bucket").applyInArrow(_count, "block long, bucket long, data binary")
     none = lambda t: F.lit(None).cast(t)

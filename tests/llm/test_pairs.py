@@ -73,6 +73,73 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert {r["component"] for r in found.collect()} == {0}
 
 
+def dense(rows, n, percent):
+    """The components of many texts by a product of their 0/1 vectors of shingles."""
+    sets = [{tuple(w[a : a + n]) for a in range(len(w) - n + 1)} for w in (t.split() for _, t in rows)]
+    place = {x: k for k, x in enumerate(set().union(*sets))}
+    m = np.zeros((len(rows), len(place)), dtype=np.float32)
+    for i, s in enumerate(sets):
+        m[i, [place[x] for x in s]] = 1
+    both, size = m @ m.T, m.sum(axis=1)
+    linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    top, left = {}, set(range(len(rows)))
+    for i in range(len(rows)):
+        if i in left:
+            reached = todo = {i}
+            while todo:
+                todo = set(np.flatnonzero(linked[sorted(todo)].any(axis=0)).tolist()) - reached
+                reached = reached | todo
+            left -= reached
+            top |= {rows[k][0]: rows[min(reached)][0] for k in reached}
+    return top, int(linked.sum())
+
+
+def test_large_group_of_near_copies_that_do_not_all_link(spark):
+    """2,000 copies of one text with few to many changes that often recur, so that links run by all kinds of ways."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(2000):
+        w = list(base)
+        for _ in range(rng.choice([0, 2, 3, 4, 5, 6, 8])):
+            k = rng.randrange(24) * 5
+            w[k] = f"e{rng.randrange(3)}"
+        del w[: rng.choice([0, 0, 0, 4, 9])]
+        rows.append((i, " ".join(w)))
+    expected, pairs = dense(rows, 5, 80)
+    parts = collections.Counter(expected.values())
+    assert 50 < len(parts) and max(parts.values()) < 1950 and pairs > 100_000
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert {r["id"]: r["component"] for r in found} == expected
+
+
+def test_texts_that_share_one_of_two_passages(spark):
+    rng = random.Random(12)
+    passages = [" ".join(f"p{k}x{j}" for j in range(60)) for k in range(12)]
+    rows = [(i, f"{passages[(k := rng.randrange(12))]} {passages[(k + 1 + rng.randrange(3)) % 12]}" + " and more" * rng.randrange(4)) for i in range(600)]
+    for percent in (50, 80):
+        found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, percent).collect()
+        assert {r["id"]: r["component"] for r in found} == dense(rows, 3, percent)[0]
+
+
+def test_candidates_of_a_group_grow_with_it(spark, monkeypatch):
+    """Candidate pairs with different homes, in groups of one and four times the size: no square in it."""
+    counts = []
+    across = jaccard._across_homes
+    monkeypatch.setattr(jaccard, "_across_homes", lambda *a: counts.append(across(*a).count()) or across(*a))
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(120)]
+    for size in (300, 1200):
+        rows = []
+        for i in range(size):
+            w = list(base)
+            for k in rng.sample(range(120), 5):
+                w[k] = f"e{rng.randrange(10**6)}"
+            rows.append((i, " ".join(w)))
+        jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).count()
+    assert counts[1] <= 4 * counts[0] + 50
+
+
 def test_frequency_class_never_falls():
     c = np.arange(1, 200_000)
     assert (np.diff(jaccard.frequency_class(c).astype(int)) >= 0).all()
