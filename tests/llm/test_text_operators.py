@@ -158,13 +158,32 @@ def test_chunks_give_the_ids_of_the_whole(spark, own):
     assert bpe.encode(df.limit(0)).count() == 0
 
 
+def plain_ids(text):
+    """What the contract names: the library's ids with add_special_tokens=False, and nothing more."""
+    return np.array(Tokenizer.from_file(P.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 @settings(max_examples=150, deadline=None)
-@given(texts)
-def test_pieces_give_the_library_ids(text):
-    path = P.path("byte_bpe_50k.json")
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    assert sstable._encoder(path).one(text) == np.array(t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+@given(st.lists(st.text(alphabet=st.sampled_from([*"aZéßɏɐʼ日б1²½'smtdrevl._-#  \n\n\t\x85\x1c\u00a0\u200b\0\u0301"]), max_size=30) | st.text(alphabet="ab'sltvedm. \n1", max_size=40), max_size=6))
+def test_ids_are_those_of_the_library(texts):
+    assert sstable._encoder(P.path("byte_bpe_50k.json"))(texts) == [plain_ids(t) for t in texts]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", " ", "a<|endoftext|>b", "foo <|endoftext|> bar <|endoftext|>", "<|endoftext|", "I'll don't 'tis ''s 's", "x" * 70_000, "a  b\n\n\nc \n d\te ", "naïve café\nÉté 12,5 %", "end.\n", "\nstart", "日本語 text"],
+)
+def test_ids_of_hostile_texts(text):
+    assert sstable._encoder(P.path("byte_bpe_50k.json"))([text, "beside it", text]) == [plain_ids(text), plain_ids("beside it"), plain_ids(text)]
+
+
+def test_ids_stay_right_when_the_worker_forgets(monkeypatch):
+    monkeypatch.setattr(sstable, "CACHED", 40)
+    monkeypatch.setattr(sstable, "CACHED_PARTS", 5)
+    encoder, rng = sstable._Encoder(P.path("byte_bpe_50k.json")), random.Random(2)
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choices("abcé日", k=rng.randint(1, 4))) for _ in range(rng.randint(0, 12))) for _ in range(6)]
+        assert encoder(texts) == [plain_ids(t) for t in texts]
 
 
 def test_shards_read_back_and_look_up(spark, docs):
@@ -188,14 +207,33 @@ def test_shards_read_back_and_look_up(spark, docs):
 def test_shard_finds_every_key_and_few_others():
     s = sstable.Shard()
     for i in range(-5000, 5000, 5):
-        s.add(sstable.key_of(i, 0), np.array([i & 65535, 70_000], dtype="<u4").tobytes())
-    r = sstable.Reader(s.finish() + b"\n")
+        s.add(sstable.key_of(i, 7, 0), np.array([i & 65535, 70_000], dtype="<u4").tobytes())
+    r = sstable.Reader.whole(s.finish() + b"\n")
     assert len(r.blocks) == 1 or len(r.blocks) > 1
     assert all(r.get(i)[0][1] == 70_000 for i in range(-5000, 5000, 5))
     assert all(r.get(i) == [] for i in range(-5000, 5000) if i % 5)
     assert sum(r.may_have(i) for i in range(-5000, 5000) if i % 5) < 400
 
 
+def test_keys_sort_as_rows_do_and_repeats_are_kept(spark):
+    keys = [sstable.key_of(i, h, n) for i in (None, -(2**63), -1, 0, 5) for h in (-(2**63), -1, 3) for n in (0, 1, 255, 256, 65_535, 65_536)]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+    rows = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.repeat(F.concat(F.lit("text "), F.col("id") % 3, F.lit(" ")), 100).alias("text"))
+    path = sstable.new_path(spark)
+    sstable.write_shards(rows, path, shard=2_000)
+    contents = [bytes(r["content"]) for r in sstable.read_files(spark, path).collect()]
+    assert len(contents) > 3
+    every = []
+    for content in contents:
+        mine = [k for k, _, _ in sstable.Reader.whole(content)]
+        assert mine == sorted(mine)
+        every += mine
+    assert len(set(every)) == 1000
+    assert sstable.look_up(spark, path, [7, 8]).count() == 1000
+    back = sstable.token_rows(spark, path).orderBy("start").collect()
+    assert len(back) == 1000 and back[-1]["start"] + back[-1]["n_tokens"] == sum(r["n_tokens"] for r in back)
+
+
 # ---- audio ------------------------------------------------------------------------------------------------------
 
 
