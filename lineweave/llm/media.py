@@ -10,7 +10,8 @@ bounded size whatever the length of the audio:
 
 Features are cut into windows of ``frames`` by ``mels`` values with their time span; ``fixed_shape`` turns the column
 into an Arrow fixed-shape tensor array. ``store_tensors`` writes them so, with the time spans of windows and segments, to
-the shared folder; ``audio_features`` derives its column from the rows read back. Everything is computed for one audio at a
+the shared folder, in half precision (log energies to about three decimal digits); ``audio_features`` derives its column
+from the rows read back. Everything is computed for one audio at a
 time, so equal bytes have equal features.
 
 Defined cases: null bytes or texts count as empty; payloads are padded with bytes 0 to a positive multiple of 64, so
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.llm.common import slices, written
+from lineweave.llm.common import slices, small_batches, written
 
 UNIT = 64
 HEADER = struct.Struct("<4sI4s4sIHHIIHH4sI")
@@ -154,11 +155,10 @@ def tensors(mels: np.ndarray, p: Features = Features()) -> list[tuple[float, flo
     return out
 
 
-def fixed_shape(values: pa.Array, p: Features = Features()) -> pa.Array:
+def fixed_shape(values: pa.Array, p: Features = Features(), kind: pa.DataType = pa.float32()) -> pa.Array:
     """The ``tensor`` column of ``audio_tensors`` as an Arrow fixed-shape tensor array."""
-    flat = values.flatten().cast(pa.float32())
-    storage = pa.FixedSizeListArray.from_arrays(flat, p.frames * p.mels)
-    return pa.ExtensionArray.from_storage(pa.fixed_shape_tensor(pa.float32(), (p.frames, p.mels), dim_names=("frame", "mel")), storage)
+    storage = pa.FixedSizeListArray.from_arrays(values.flatten().cast(kind), p.frames * p.mels)
+    return pa.ExtensionArray.from_storage(pa.fixed_shape_tensor(kind, (p.frames, p.mels), dim_names=("frame", "mel")), storage)
 
 
 def payload(text: str | None) -> tuple[int, bytes]:
@@ -177,7 +177,7 @@ def encode_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ra
                 [batch.column("id"), pa.array([n for n, _ in made], pa.int64()), pa.array([encode_wav(x, rate) for _, x in made], pa.binary())], names=["id", "n_bytes", "media"]
             )
 
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(encode, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, media binary")
 
 
@@ -209,9 +209,9 @@ def audio_tensors(stored: DataFrame, p: Features = Features()) -> DataFrame:
 
 
 def packed(found: list[tuple[float, float, int, np.ndarray]], p: Features = Features()) -> bytes:
-    """What ``tensors`` gives as an Arrow stream: start_s, end_s, frames and a column of fixed-shape tensors."""
-    flat = pa.array(np.concatenate([x[3].ravel() for x in found]))
-    values = fixed_shape(pa.FixedSizeListArray.from_arrays(flat, p.frames * p.mels), p)
+    """What ``tensors`` gives as an Arrow stream: start_s, end_s, frames and a column of fixed-shape tensors in half precision."""
+    flat = pa.array(np.concatenate([x[3].ravel() for x in found]).astype(np.float16))
+    values = fixed_shape(pa.FixedSizeListArray.from_arrays(flat, p.frames * p.mels), p, pa.float16())
     spans = [pa.array([x[k] for x in found], t) for k, t in ((0, pa.float64()), (1, pa.float64()), (2, pa.int32()))]
     batch = pa.RecordBatch.from_arrays([*spans, values], names=["start_s", "end_s", "frames", "tensor"])
     sink = pa.BufferOutputStream()
@@ -226,7 +226,7 @@ def unpacked(stream: bytes, p: Features = Features()) -> list[tuple[float, float
     values = found.column("tensor").chunk(0)
     if not isinstance(values.type, pa.FixedShapeTensorType) or list(values.type.shape) != [p.frames, p.mels]:
         raise ValueError("not tensors of the fixed shape")
-    return list(zip(*(found.column(c).to_pylist() for c in ("start_s", "end_s", "frames")), values.to_numpy_ndarray()))
+    return list(zip(*(found.column(c).to_pylist() for c in ("start_s", "end_s", "frames")), values.to_numpy_ndarray().astype(np.float32)))
 
 
 def summary(found: list[tuple[float, float, int, np.ndarray]], runs: list[dict], p: Features = Features()) -> str:
