@@ -7,7 +7,9 @@ words of a bounded sample of documents for each language; a language's words are
 
 Words are the runs of letters in the lower-cased text, with the vocabulary's mark for a word's start before them; pieces
 never span words, so equal words are scored once per worker. A character outside the vocabulary counts as a piece of
-small fixed probability in all languages.
+small fixed probability in all languages. Words of any length are scored over all their segmentations: long ones, and those
+whose probability is too small for a number, by a forward pass that is scaled at every place. Only the fit cuts words of
+more than ``LONGEST`` characters. A language's model is 128 KB in each worker.
 
 Defined cases: a text that is null or has no letter gets ``und`` with score 0; rows may repeat and ids be null (then the
 empty string decides the fold), every row gives a row; rows without a language are never learnt from; with nothing to
@@ -28,13 +30,12 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.llm.common import slices, texts
+from lineweave.llm.common import slices, small_batches, texts
 
 SAMPLE = 400  #: documents that each language is learnt from, in expectation
-LANGUAGES = 256  #: at most; the most frequent ones
-ROUNDS, PRIOR, UNKNOWN = 4, 0.05, 1e-7
-LONGEST = 64  #: characters of a word that are scored at once; longer words are cut there
-CACHED = 400_000
+ROUNDS, PRIOR, UNKNOWN, SMALLEST = 4, 0.05, 1e-7, 1e-280
+LONGEST = 64  #: characters of a word that has a place in a lattice of many words
+CACHED, HELD = 400_000, 32 << 20  #: runs or words that a worker knows, and their characters
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 _SIDE = LONGEST + 1  #: places in a word
@@ -51,12 +52,36 @@ def pieces(path: str) -> tuple[dict[str, int], int]:
 
 
 def words_of(token: str) -> list[str]:
-    """The words in a lower-cased run without white space, marked, and cut into parts of bounded length."""
-    out = []
-    for w in LETTERS.findall(token):
-        w = MARK + w
-        out += [w] if len(w) <= LONGEST else [w[a : a + LONGEST] for a in range(0, len(w), LONGEST)]
-    return out
+    """The words in a lower-cased run without white space, marked."""
+    return [MARK + w for w in LETTERS.findall(token)]
+
+
+def cut_words(token: str) -> list[str]:
+    """The same, cut into parts of bounded length."""
+    return [w[a : a + LONGEST] for w in words_of(token) for a in range(0, len(w), LONGEST)]
+
+
+def scaled_total(word: str, probabilities: np.ndarray, path: str) -> np.ndarray:
+    """Log of the summed probability of all segmentations of one word under every language, whatever its length."""
+    vocabulary = pieces(path)[0].get
+    ends: dict[int, list[tuple[int, int]]] = {}  #: pieces that end at places further on: (start, piece)
+    sums, scale = {0: np.ones(len(probabilities))}, np.zeros(len(probabilities))
+    for i in range(len(word)):
+        if i:
+            edges = ends.pop(i)
+            here = sum(sums[a] * (UNKNOWN if x is None else probabilities[:, x]) for a, x in edges)
+            least = min((a for es in ends.values() for a, _ in es), default=i)
+            sums = {a: s / here for a, s in sums.items() if a >= least}
+            sums[i], scale = np.ones(len(here)), scale + np.log(here)
+        x = vocabulary(word[i])
+        ends.setdefault(i + 1, []).append((i, x if x is not None and x >= 0 else None))
+        j = i + 2
+        while x is not None and j <= len(word):
+            x = vocabulary(word[i:j])
+            if x is not None and x >= 0:
+                ends.setdefault(j, []).append((i, x))
+            j += 1
+    return scale + np.log(sum(sums[a] * (UNKNOWN if x is None else probabilities[:, x]) for a, x in ends[len(word)]))
 
 
 class Lattice:
@@ -111,8 +136,8 @@ class Lattice:
         return sums
 
     def totals(self, probability: np.ndarray) -> np.ndarray:
-        """Log of the summed probability of all segmentations of each word."""
-        return np.log(np.maximum(self.forward(self.weights(probability))[np.arange(self.n), self.lengths], 1e-300))
+        """Log of the summed probability of all segmentations of each word; of some long words it is too small to tell."""
+        return np.log(np.maximum(self.forward(self.weights(probability))[np.arange(self.n), self.lengths], SMALLEST))
 
 
 def fit(counts: dict[str, int], path: str, rounds: int = ROUNDS) -> np.ndarray:
@@ -139,6 +164,7 @@ class _Rows:
 
     def __init__(self, width: int):
         self.at: dict[str, int] = {}
+        self.held = 0
         self.table = np.zeros((1024, width), dtype=np.float32)
 
     def add(self, keys: list[str], rows: np.ndarray) -> None:
@@ -150,9 +176,11 @@ class _Rows:
 
     def missing(self, keys: set[str]) -> list[str]:
         new = [k for k in keys if k not in self.at]
-        if self.at and len(self.at) + len(new) > CACHED:
+        self.held += sum(map(len, new))
+        if self.at and (len(self.at) + len(new) > CACHED or self.held > HELD):
             self.at, self.table = {}, self.table[:1024]
             new = list(keys)
+            self.held = sum(map(len, new))
         return new
 
 
@@ -167,9 +195,16 @@ class Scorer:
         new = self.runs.missing(runs)
         words = [words_of(t) for t in new]
         unknown = self.words.missing({w for ws in words for w in ws})
-        for a in range(0, len(unknown), 5000):
-            lattice = Lattice(part := unknown[a : a + 5000], self.path)
-            self.words.add(part, np.stack([lattice.totals(p) for p in self.probabilities], axis=1))
+        short = [w for w in unknown if len(w) <= LONGEST]
+        for a in range(0, len(short), 5000):
+            lattice = Lattice(part := short[a : a + 5000], self.path)
+            logs = np.stack([lattice.totals(p) for p in self.probabilities], axis=1)
+            for k in np.flatnonzero((logs <= np.log(SMALLEST)).any(axis=1)):
+                logs[k] = scaled_total(part[k], self.probabilities, self.path)
+            self.words.add(part, logs)
+        for w in unknown:
+            if len(w) > LONGEST:
+                self.words.add([w], scaled_total(w, self.probabilities, self.path)[None])
         rows = np.zeros((len(new), len(self.probabilities)))
         at = self.words.at
         of = np.array([(i, at[w]) for i, ws in enumerate(words) for w in ws], dtype=np.int64).reshape(-1, 2)
@@ -199,8 +234,8 @@ def fold(doc_id: Column, folds: int) -> Column:
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", path: str | None = None, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages, sorted, and their piece probabilities, from the rows given; about ``sample`` documents of each."""
     path = path or public_tokenizers.path("piece_bpe_32k.model")
-    rows = docs.where(F.col(lang).isNotNull())
-    found = rows.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    rows = small_batches(docs).where(F.col(lang).isNotNull())
+    found = rows.groupBy(F.col(lang).alias("lang")).count().orderBy("lang").collect()
     if not found:
         return [], np.zeros((0, 0))
     share = F.create_map(*(F.lit(x) for r in found for x in (r["lang"], min(1.0, sample / r["count"]))))
@@ -210,11 +245,11 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         for batch in slices(batches, "text"):
             counts: Counter = Counter()
             for x, t in zip(batch.column("lang").to_pylist(), texts(batch, "text")):
-                counts.update((x, w) for token in t.lower().split() for w in words_of(token))
+                counts.update((x, w) for token in t.lower().split() for w in cut_words(token))
             yield pa.RecordBatch.from_pydict({"lang": [x for x, _ in counts], "word": [w for _, w in counts], "n": list(counts.values())}, schema=schema)
 
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
-    counted = rows.where(F.try_element_at(share, F.col(lang)).isNotNull()).where(drawn).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    counted = rows.where(drawn).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counted = counted.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
     def learn(key: tuple, words: pa.Table) -> pa.Table:
@@ -255,5 +290,5 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], doc_id: str =
                 names=["id", "lang_pred", "score"],
             )
 
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(score, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double")
