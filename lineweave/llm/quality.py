@@ -5,7 +5,8 @@ of its words, repetition inside it and of what the document had before, and a ha
 that into ``HIDDEN`` values. Gated attention, learned with it from document labels alone, weighs the passages, and a
 logistic unit scores the weighted sum.
 
-The model is fitted on a bounded sample of labelled documents (``SAMPLE``, the smallest by a hash of their id).
+The model is fitted on a bounded sample of labelled documents (``SAMPLE``, the smallest by a hash of their id; of rows with
+one id the text with the smallest hash) and of ``TAUGHT`` evenly spread passages of each at most. All passages are scored.
 
 Defined cases: null and empty texts are one passage without words and get a score like any other; rows may repeat and ids
 be null (then the empty string decides the fold), every row gives a row; labels that are null or whose document is
@@ -22,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.llm.common import mixed, shingle_hashes, slices, word_hashes
+from lineweave.llm.common import mixed, shingle_hashes, slices, small_batches, word_hashes
 from lineweave.llm.langid import fold
 
 PASSAGE, BAG, HIDDEN = 64, 64, 24
-SAMPLE = 6_000
+SAMPLE, TAUGHT = 6_000, 64  #: documents that a model is fitted on, and passages of each, at most
 THRESHOLD = 0.3
 
 # Byte classes: lower case, upper case, digit, space, line feed, each common sign, other signs, other bytes.
@@ -154,11 +155,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array([b.astype("<f2").tobytes() for b in _bags(batch)], pa.binary())], names=["id", "y", "x"])
+            some = [b[np.linspace(0, len(b) - 1, min(len(b), TAUGHT)).astype(int)].astype("<f2").tobytes() for b in _bags(batch)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "y", "h")), pa.array(some, pa.binary())], names=["id", "y", "h", "x"])
 
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
+    rows = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.select("id", "y", "text").mapInArrow(encode, f"id {kind}, y int, x binary").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
+    coded = rows.select("id", "y", F.xxhash64("text").alias("h"), "text").mapInArrow(encode, f"id {kind}, y int, h long, x binary")
+    found = coded.groupBy("id").agg(F.min_by(F.struct("y", "x"), "h").alias("r")).select("id", "r.*").toArrow().sort_by([("id", "ascending")])
     bags = [np.frombuffer(x, dtype="<f2").astype(np.float32).reshape(-1, WIDTH) for x in found.column("x").to_pylist()]
     return fit(bags, np.array(found.column("y").to_pylist()))
 
@@ -170,7 +173,7 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray], doc_id: str = "doc_id
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.round(score(model, _bags(batch)), 6), pa.float64())], names=["id", "score"])
 
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     return rows.mapInArrow(read, f"id {rows.schema['id'].dataType.simpleString()}, score double")
 
 
@@ -181,7 +184,7 @@ def keep_good(docs: DataFrame, model: dict[str, np.ndarray], text: str = "text",
         for batch in slices(batches, text):
             yield batch.filter(pa.array(np.round(score(model, _bags(batch, text)), 6) >= threshold))
 
-    return docs.mapInArrow(read, docs.schema)
+    return small_batches(docs).mapInArrow(read, docs.schema)
 
 
 FOLDS = 5
