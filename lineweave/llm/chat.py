@@ -32,18 +32,15 @@ def unescape(text: Column) -> Column:
 
 
 def _runs(turns: Column) -> Column:
-    """Merges adjacent turns of one role: array<struct<role, texts>>."""
-
-    def add(runs: Column, turn: Column) -> Column:
-        last = F.get(runs, F.size(runs) - 1)
-        one = F.array(turn["text"])
-        joined = F.struct(turn["role"].alias("role"), F.concat(last["texts"], one).alias("texts"))
-        alone = F.struct(turn["role"].alias("role"), one.alias("texts"))
-        return F.when(last["role"] == turn["role"], F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(joined))).otherwise(
-            F.concat(runs, F.array(alone))
-        )
+    """Merges adjacent turns of one role: array<struct<role, texts>>, in time that grows with the turns."""
+    n = F.size(turns)
+    role = lambda i: F.get(turns, i)["role"]
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (role(i) != role(i - 1)))
+
+    def run(start: Column, end: Column) -> Column:
+        return F.struct(role(start).alias("role"), F.transform(F.slice(turns, start + 1, end - start), lambda t: t["text"]).alias("texts"))
 
-    return F.aggregate(turns, F.expr("cast(array() as array<struct<role:string,texts:array<string>>>)"), add)
+    return F.zip_with(starts, F.concat(F.slice(starts, 2, n), F.array(n)), run)
 
 
 def _pieces(runs: Column, learnt: str) -> Column:
@@ -69,15 +66,29 @@ def _pieces(runs: Column, learnt: str) -> Column:
 
 
 def _spans(pieces: Column) -> Column:
-    """Code points (start, end) of the pieces under the loss mask."""
+    """Code points (start, end) of the pieces under the loss mask.
+
+    Places are summed inside stretches of about the square root of all pieces, and then over the stretches: adding to an
+    array copies it, so one sum over all pieces would take time that grows with the square of a conversation.
+    """
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
 
     def add(acc: Column, p: Column) -> Column:
         end = acc["at"] + F.length(p["s"])
         span = F.array(F.struct(acc["at"].alias("start"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(p["loss"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    first = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"))
-    return F.aggregate(pieces, first, add, lambda acc: acc["spans"])
+    size = F.ceil(F.sqrt(F.size(pieces))).cast("int")
+    stretch = lambda k: F.aggregate(F.slice(pieces, k * size + 1, size), F.struct(F.lit(0).alias("at"), none.alias("spans")), add)
+
+    def join(acc: Column, part: Column) -> Column:
+        placed = F.array(F.struct(acc["at"].alias("at"), part["spans"].alias("spans")))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["parts"], placed).alias("parts"))
+
+    empty = F.expr("cast(array() as array<struct<at:int,spans:array<struct<start:int,end:int>>>>)")
+    parts = F.aggregate(F.transform(F.sequence(F.lit(0), size - 1), stretch), F.struct(F.lit(0).alias("at"), empty.alias("parts")), join, lambda acc: acc["parts"])
+    moved = lambda p: F.transform(p["spans"], lambda x: F.struct((x["start"] + p["at"]).alias("start"), (x["end"] + p["at"]).alias("end")))
+    return F.flatten(F.transform(parts, moved))
 
 
 def format_conversations(
