@@ -16,6 +16,8 @@ sources without words have target 0; columns other than those named are ignored,
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ WEIGHTS, SHARE, CAP, BLOCK, SEED = (5, 2, 1), 1.5, 2, 1024, 7
 POINTS = 1 << 31
 GOLDEN = 1_327_217_885  #: POINTS over the golden ratio, made odd: i * GOLDEN mod POINTS visits every point once
 CELLS = 4096
+BUCKET = 50_000  #: rows of a source that are put in order together, about
 SMALL = 100_000  #: rows of a table that is still broadcast
 
 
@@ -110,7 +113,8 @@ def mix(
     # A null source joins by its number, so the join itself is on what is never null.
     named = sources.select(F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")).alias("key"), "sid", "source_size", "target")
     rows = sized.withColumn("key", F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")))
-    rows = attach(rows, named, ["key"]).drop("key").withColumn("bucket", F.substring("digest", 1, 3))
+    digits = max(3, math.ceil(math.log(max(sized.count(), 1) / BUCKET, 16)))
+    rows = attach(rows, named, ["key"]).drop("key").withColumn("bucket", F.substring("digest", 1, digits))
     before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     offsets = sums.select("sid", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
