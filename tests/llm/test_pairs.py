@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,3 +231,23 @@ def test_queries_at_the_ends_of_a_curve_meet_their_full_share(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     met = ann.nearest(df, F.col("id") % 5 == 0, k=600, curves=1, window=0.4, block=10).groupBy("query_id").count().collect()
     assert len(met) == 120 and min(r["count"] for r in met) >= 170  # 250 places in all, at most 120 of them of queries, evenly spread
+
+
+@pytest.mark.parametrize("clusters", [None, 40])
+def test_recall_of_the_default_parameters(spark, clusters):
+    """20,000 vectors of 64 dimensions, isotropic or in clusters with uneven norms, with the parameters of the query."""
+    rng = np.random.default_rng(21)
+    x = rng.standard_normal((20_000, 64))
+    if clusters:
+        x = (rng.standard_normal((clusters, 64))[rng.integers(0, clusters, len(x))] + 0.4 * x) * rng.uniform(0.5, 1.5, len(x))[:, None]
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}))
+    found = ann.nearest(df, F.col("id") % 20 == 0).toPandas()
+    asked = np.arange(0, len(x), 20)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    got = found.groupby("query_id")["vec_id"].agg(set)
+    assert len(found) == 20 * len(asked)
+    recall = np.mean([len(got[q] & set(b)) / 20 for q, b in zip(asked.tolist(), best.tolist())])
+    print(f"recall {recall:.3f}")
+    assert recall >= 0.9

@@ -17,7 +17,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lineweave.llm import bpe, chat, common, langid, media, mixing, quality, secrets, sstable
+from lineweave.llm import bpe, chat, common, langid, media, mixing, quality, queries, secrets, sstable
+from lineweave.operators import tables
 
 #: Null ids and texts, repeated rows, an extra column whose name an operator uses inside.
 ROWS = [(1, "Some words here.", "x"), (1, "Some words here.", "x"), (2, None, "y"), (3, "", None), (None, "null id", "z"), (4, " \t\n  é ñ 日本 ", "q"), (5, "long " * 30_000, "w")]
@@ -52,6 +53,13 @@ def test_chat_reads_back(spark):
         assert found[k]["formatted"].count("<|im_start|>") == 5  # the two assistant turns are one run
 
 
+def test_long_conversations_read_back(spark):
+    turns = [(1, n, ("user", "assistant", "assistant")[n % 3], f"turn {n} <|im_end|>" * (n % 4)) for n in range(3000)]
+    found = formatted(spark, turns)[1]
+    assert [tuple(t) for t in found["turns"]] == [(role, text) for _, _, role, text in turns]
+    assert found["loss"] == [text for _, _, role, text in turns if role == "assistant"]
+
+
 def test_chat_ties_nulls_and_empty(spark):
     found = formatted(spark, [(None, 1, "user", "b"), (None, 1, "user", "a"), (None, None, "user", "c"), (7, 1, "user", "x"), (7, 1, "user", "x")])
     assert [t["text"] for t in found[None]["turns"]] == ["c", "a", "b"]
@@ -126,6 +134,73 @@ def test_keys_are_found_wherever_they_begin():
     assert len(secrets.redact(f"{key}\n{key} {token}.{token}").replace("[secret]", "").split()) <= 1
 
 
+def base_spans(text):
+    """The three base kinds by scanning every place by hand, without a regular expression."""
+    names, value = ("password", "passwd", "secret", "token", "apikey", "api_key"), set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    lower = "".join(c.lower() if c.isascii() else c for c in text)
+
+    def assign(i):
+        for name in names:
+            if lower.startswith(name, i):
+                j = i + len(name)
+                j += text[j : j + 1] in ('"', "'")
+                while text[j : j + 1] == " ":
+                    j += 1
+                if text[j : j + 1] not in (":", "="):
+                    continue
+                j += 1
+                while text[j : j + 1] == " ":
+                    j += 1
+                j += text[j : j + 1] in ('"', "'")
+                a = j
+                while j < len(text) and text[j] in value:
+                    j += 1
+                if j > a:
+                    return j, j - a >= 12
+        return None
+
+    def run(i, prefix, chars, least):
+        if not text.startswith(prefix, i):
+            return None
+        j = i + len(prefix)
+        while j < len(text) and text[j] in chars:
+            j += 1
+        return (j, j - i >= least) if j > i + len(prefix) or not prefix and j > i else None
+
+    kinds = {
+        "assign": assign, "access": lambda i: run(i, "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 18), "hex": lambda i: run(i, "", set("0123456789abcdef"), 16),
+    }
+    out = []
+    for kind, at in kinds.items():
+        i = 0
+        while i < len(text):
+            m = at(i)
+            if m and m[1]:
+                out.append((i, list(kinds).index(kind), kind, m[0]))
+            i = m[0] if m else i + 1
+    return [(kind, a, b) for a, _, kind, b in sorted(out)]
+
+
+SECRET_BITS = ["password", "PassWD", "secret", "Token", "api_key", "apikey", "api", "key", '"', "'", " ", ":", "=", "AKIA", "A1B2C3D4E5F6G7", "0123456789abcdef", "deadbeef", "xyz+/_.=-", "é", "\n", "K", "ſ", "Z" * 14]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(SECRET_BITS), max_size=25).map("".join))
+def test_base_spans_against_brute_force(text):
+    assert [x for x in secrets.find_secrets(text) if x[0] in ("assign", "access", "hex")] == base_spans(text)
+
+
+def test_base_digests_of_documents_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    texts_ = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = queries.QUERIES["op9_secret_scan"](spark, sf).collect()
+    assert len(found) == len(texts_)
+    for r in found:
+        spans = base_spans(texts_[r["doc_id"]] or "")
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == kind for k, _, _ in spans) for kind in ("assign", "access", "hex"))
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+
+
 def test_redaction_leaves_nothing_and_keeps_the_rest(spark, docs):
     t = f"a token=abcdefghijklm b AKIA{'B' * 20} c {'ab12' * 8}"
     assert secrets.redact(t) == "a [secret] b [secret] c [secret]"
@@ -297,19 +372,19 @@ def test_tensors_have_a_fixed_shape(spark, docs):
 
 def test_tensors_and_spans_are_stored(spark, docs):
     stored = media.encode_texts(docs)
-    before = len(common._written)
+    before = set(tables._written)
     features = {(r["id"], r["payload_sha256"]): r["feature"] for r in media.audio_features(stored).collect()}
-    assert len(common._written) == before + 1
-    table = spark.read.parquet(common._written[-1][1]).collect()
+    (path,) = set(tables._written) - before
+    table = spark.read.parquet(path).collect()
     assert len(table) == len(ROWS)
     p = media.Features()
     for r in table:
         arrow = pa.ipc.open_stream(bytes(r["tensors"])).read_all()
-        assert arrow.schema.field("tensor").type == pa.fixed_shape_tensor(pa.float32(), (p.frames, p.mels), dim_names=("frame", "mel"))
+        assert arrow.schema.field("tensor").type == pa.fixed_shape_tensor(pa.float16(), (p.frames, p.mels), dim_names=("frame", "mel"))
         text = next(t for i, t, _ in ROWS if i == r["id"])
         mels, energy = media.log_mel(np.frombuffer(media.payload(text)[1], dtype=np.uint8), 16_000)
         for got, want in zip(media.unpacked(bytes(r["tensors"])), media.tensors(mels), strict=True):
-            assert got[:3] == want[:3] and np.array_equal(got[3], want[3])
+            assert got[:3] == want[:3] and np.array_equal(got[3], want[3].astype(np.float16).astype(np.float32)) and np.abs(got[3] - want[3]).max() < 0.01
         assert [(s["first"], s["end"]) for s in r["segments"]] == [tuple(s) for s in media.segments(energy).tolist()]
         assert all(s["start_s"] < s["end_s"] <= arrow.column("end_s")[-1].as_py() + 1e-9 for s in r["segments"])
         assert f"frames={len(mels)} " in features[r["id"], r["payload_sha256"]]
@@ -338,6 +413,54 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(langid.Lattice(words, path).totals(p), [np.log(total(w)) for w in words])
 
 
+def test_long_words_are_scored_over_all_segmentations():
+    path = P.path("piece_bpe_32k.model")
+    rng = np.random.default_rng(3)
+    p = rng.random((2, langid.pieces(path)[1]))
+    p /= p.sum(axis=1, keepdims=True)
+    words = ["▁station", "▁" + "wide" * 12, "▁" + "日本" * 20, "▁" + "\U0001f600" * 9]
+    lattice = langid.Lattice(words, path)
+    each = np.array([langid.scaled_total(w, p, path) for w in words])
+    assert np.allclose(each, np.stack([lattice.totals(q) for q in p], axis=1))
+    # Of 5,000 characters: as the product over a word that splits at signs outside the vocabulary only.
+    sign = "\U00010348"
+    assert sign not in langid.pieces(path)[0]
+    long = "▁" + ("house" + sign) * 800
+    part, alone = langid.scaled_total("house", p, path), np.log(langid.UNKNOWN)
+    head = langid.scaled_total("▁house", p, path)
+    assert np.allclose(langid.scaled_total(long, p, path), head + 799 * part + 800 * alone)
+    assert np.allclose(langid.Scorer(p, path)([("house" + sign) * 800])[0], head + 799 * part + 800 * alone)
+
+
+def test_long_words_tell_languages_apart():
+    path = P.path("piece_bpe_32k.model")
+    en = langid.fit({"▁the": 5, "▁house": 5, "▁street": 5, "▁thehouse": 1}, path)
+    de = langid.fit({"▁das": 5, "▁haus": 5, "▁straße": 5, "▁dashaus": 1}, path)
+    logs = langid.Scorer(np.stack([de, en]), path)(["thehousestreet" * 40, "dashausstraße" * 40, "\U0001f600"])
+    assert logs[0].argmax() == 1 and logs[1].argmax() == 0 and np.isfinite(logs).all()
+
+
+def test_held_out_languages_and_quality(spark):
+    """On the documents of sf0.01, with the folds and parameters of the queries."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    found = queries.QUERIES["op8_language_id"](spark, sf)
+    told = found.where("held_out and lang_pred <> 'und'").join(docs.where("lang is not null").select("doc_id", "lang"), "doc_id")
+    right = told.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("double"))).first()[0]
+    assert right >= 0.95 and found.count() == docs.count()
+    rows = queries.QUERIES["op10_quality"](spark, sf).where("held_out").join(labels.where("quality is not null"), "doc_id").select("score", "quality").collect()
+    good, bad = ([r["score"] for r in rows if r["quality"] == q] for q in (1, 0))
+    assert good and bad and np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad]) >= 0.9
+
+
+def test_repeated_labelled_rows_count_once(spark):
+    rows = [(i, "BUY!! " * 90 if i % 4 == 0 else "Some quiet words, and more. " * 20) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(60)], "doc_id long, quality int")
+    once = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    again = quality.train(spark.createDataFrame(rows + [rows[3]] * 500 + [rows[8]] * 300, "doc_id long, text string"), labels)
+    assert once.keys() == again.keys() and all(np.array_equal(once[k], again[k]) for k in once)
+
+
 def test_languages_are_told_apart(spark):
     rng = random.Random(1)
     words = {"en": "the street is wide and the house was by it".split(), "fr": "la rue est large et la maison était à côté".split(), "de": "die straße ist breit und das haus war daneben".split()}
