@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from lineweave.llm.common import written
 from lineweave.llm.mixing import SMALL
 
-CURVES, DIMS, BITS, WINDOW = 8, 4, 12, 0.2
-BLOCK, SUPER, SAMPLE, SEED = 2048, 64, 2000, 11
+CURVES, DIMS, BITS, WINDOW = 8, 4, 12, 0.14
+BLOCK, SUPER, SAMPLE, SEED = 1024, 64, 2000, 11
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
