@@ -32,8 +32,20 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1), point(x0, y0))
 
 
+def sides(parts: Column) -> Column:
+    """array<struct<x1, y1, x2, y2>>: the edges in order, in time that grows with their number; for rings of many points."""
+    of = lambda p: F.zip_with(
+        F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))), F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))),
+        lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
+    )
+    return F.flatten(F.transform(parts, of))
+
+
 def edges(parts: Column) -> Column:
-    """array<struct<x1, y1, x2, y2, len, at>>: the edges in order; ``at`` is the length before each."""
+    """array<struct<x1, y1, x2, y2, len, at>>: the edges of a line in order; ``at`` is the length before each.
+
+    The running sum builds the array edge by edge: for lines of some hundred points. ``sides`` does without it.
+    """
 
     def of_part(p: Column) -> Column:
         n = F.size(p)

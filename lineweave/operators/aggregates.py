@@ -30,9 +30,9 @@ def weighted_mean(x: Column, weight: Column) -> Column:
     return F.sum(weight * x) / F.nullif(F.sum(where(x.isNotNull(), weight)), F.lit(0.0))
 
 
-def interval_edges(crossings: DataFrame, key: str, low: str = "s_lo", high: str = "s_hi") -> DataFrame:
-    """Nearest interval end on each side of zero, and how many intervals lie across it."""
-    return crossings.groupBy(key).agg(
+def interval_edges(crossings: DataFrame, *key: str, low: str = "s_lo", high: str = "s_hi") -> DataFrame:
+    """Nearest interval end on each side of zero, and how many intervals lie across it; null intervals count as none."""
+    return crossings.groupBy(*key).agg(
         F.max(where(F.col(high) <= 0, F.col(high))).alias("left_edge"),
         F.min(where(F.col(low) >= 0, F.col(low))).alias("right_edge"),
         count_where((F.col(low) < 0) & (F.col(high) > 0)).alias("straddling"),
@@ -40,8 +40,13 @@ def interval_edges(crossings: DataFrame, key: str, low: str = "s_lo", high: str
 
 
 def station_widths(stations: DataFrame, edges: DataFrame, key: str, half: float = 250.0, slack: float = 5.0) -> DataFrame:
-    """Every station with its two distances, width, doubled width, status and whether an edge is at the reach's end."""
-    joined = stations.join(edges, key, "left").withColumn("straddling", F.coalesce("straddling", F.lit(0)).cast("long"))
+    """``with_widths`` of every station, also of those without edges."""
+    return with_widths(stations.join(edges, key, "left"), half, slack)
+
+
+def with_widths(edges: DataFrame, half: float = 250.0, slack: float = 5.0) -> DataFrame:
+    """Stations with their two distances, width, doubled width, status and whether an edge is at the reach's end."""
+    joined = edges.withColumn("straddling", F.coalesce("straddling", F.lit(0)).cast("long"))
     free = F.col("straddling") == 0
     joined = joined.withColumns({"left_ft": F.when(free, F.abs("left_edge")), "right_ft": F.when(free, F.col("right_edge"))})
     left, right = F.col("left_ft"), F.col("right_ft")
@@ -89,12 +94,13 @@ def islands(df: DataFrame, key: str, order: list[str], flag: str) -> DataFrame:
     return df.withColumn("run", (F.row_number().over(every) - F.row_number().over(same)).cast("long"))
 
 
-def nearest_each_side(crossings: DataFrame, key: str, s: str, tie: str, band: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
+def nearest_each_side(crossings: DataFrame, key: str | list[str], s: str, tie: str, band: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
     """The crossing nearest to zero on each side outside the band, by one aggregation; ties to the smaller ``tie``."""
     row = F.struct(F.abs(s).alias("d"), F.col(tie).alias("t"), F.col(s).alias("s"), *(F.col(c).alias(c) for c in carry))
-    picked = crossings.groupBy(key).agg(F.min(where(F.col(s) > band, row)).alias("_r"), F.min(where(F.col(s) < -band, row)).alias("_l"))
+    key = [key] if isinstance(key, str) else key
+    picked = crossings.groupBy(*key).agg(F.min(where(F.col(s) > band, row)).alias("_r"), F.min(where(F.col(s) < -band, row)).alias("_l"))
     of = lambda side, name: [F.col(f"{side}.s").alias(f"{name}_ft"), F.col(f"{side}.t").alias(f"{name}_{tie}"), *(F.col(f"{side}.{c}").alias(f"{name}_{c}") for c in carry)]
-    return picked.select(key, *of("_r", "right"), *of("_l", "left"))
+    return picked.select(*key, *of("_r", "right"), *of("_l", "left"))
 
 
 def funnel(df: DataFrame, conditions: list[tuple[str, Column]]) -> DataFrame:

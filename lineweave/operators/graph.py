@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.operators.tables import remove, written
+from lineweave.operators.tables import SMALL, remove, written
 
 
 def ends(edges: DataFrame, edge: str, a: str, b: str) -> DataFrame:
@@ -31,16 +31,23 @@ def components(nodes: DataFrame, pairs: DataFrame, node: str, out: str = "compon
     Smallest label of the neighbours, then the label of that label, until nothing changes: about log n rounds for a
     chain of n. Each round ends in a small table, which the next one replaces.
     """
-    labels, path = written(nodes.select(F.col(node).alias("node")).distinct().withColumn("label", F.col("node")), "labels")
-    pairs, _ = written(pairs.select("x", "y").distinct(), "pairs")
+    pairs, both_ways = written(pairs.select("x", "y").distinct(), "pairs")
+    first = pairs.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m"))
+    nodes = nodes.select(F.col(node).alias("node")).distinct().join(first, "node", "left")
+    labels, path = written(nodes.select("node", F.least("node", "m").alias("label")), "labels")
+    # Labels of few nodes are broadcast; of more, both sides of every join are shuffled.
+    few = labels.count() <= SMALL
+    side = F.broadcast if few else lambda df: df
     while True:
-        near = pairs.join(labels, pairs["y"] == labels["node"]).groupBy("x").agg(F.min("label").alias("m")).withColumnRenamed("x", "node")
-        step = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        near = pairs.join(side(labels.withColumnRenamed("node", "y")), "y").groupBy("x").agg(F.min("label").alias("m")).withColumnRenamed("x", "node")
+        step = labels.join(side(near), "node", "left").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         target = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        labels, new = written(step.join(target, "label").select("node", "old", F.least("label", "further").alias("label")), "labels")
+        found = step.join(side(target), "label").select("node", "old", F.least("label", "further").alias("label"))
+        labels, new = written(found.coalesce(1) if few else found, "labels")
         remove(path)
         path = new
         if labels.where("label <> old").isEmpty():
+            remove(both_ways)
             return labels.select(F.col("node").alias(node), F.col("label").alias(out))
         labels = labels.select("node", "label")
 

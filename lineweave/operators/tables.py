@@ -7,15 +7,25 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _written: dict[str, SparkSession] = {}
+SMALL = 100_000  #: rows of a narrow table that is still broadcast
+
+
+def beside(df: DataFrame) -> DataFrame:
+    """A table of few short columns for the side of a join: broadcast if it is counted to be small. Lineage should end at it."""
+    return F.broadcast(df) if df.count() <= SMALL else df
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the session names in ``spark.checkpoint.dir``; a temporary one only where it names none."""
+    """The folder that the session names in ``spark.checkpoint.dir``; a temporary one only in local mode, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lineweave-", dir="/tmp"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lineweave-", dir="/tmp"))
     return sc.getCheckpointDir()
 
 
@@ -27,7 +37,7 @@ def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     if not _written:
         atexit.register(lambda: [remove(p) for p in list(_written)])
     _written[path] = spark

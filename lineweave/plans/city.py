@@ -7,7 +7,7 @@ inspection_year, g), ``unimproved`` (localid), ``zoning`` (is_residential, g), `
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineweave.functions import geometry as G
@@ -15,7 +15,7 @@ from lineweave.functions.semantics import any_known, count_where, known, miles,
 from lineweave.functions.simplify import simplify
 from lineweave.operators import aggregates as A
 from lineweave.operators import graph
-from lineweave.operators.joins import box_join
+from lineweave.operators.joins import box_join, nearest
 from lineweave.plans.streets import BOX
 
 LOCAL = "UL"  #: Fixed value: the functional class of local streets
@@ -24,7 +24,9 @@ NARROW = 18
 
 def _inside(df: DataFrame, boundary: DataFrame, point: Column) -> DataFrame:
     """Rows whose point is inside the one polygon: its box is a filter, its edges one small row for every task."""
-    edges = boundary.select(G.edges(F.col("g")).alias("_e"), *(c.alias(f"_{k}") for k, c in G.bounds(F.col("g")).items())).limit(1)
+    edges = boundary.select(G.sides(F.col("g")).alias("_e"), *(c.alias(f"_{k}") for k, c in G.bounds(F.col("g")).items())).limit(2)
+    edges = edges.withColumn("_one", F.count(F.lit(1)).over(Window.partitionBy()))
+    edges = edges.where(F.when(F.col("_one") == 1, True).otherwise(F.raise_error(F.lit("the boundary must be one row")).cast("boolean"))).drop("_one")
     rows = df.withColumn("_p", point).crossJoin(F.broadcast(edges))
     rows = rows.where((F.col("_p.x") >= F.col("_xmin")) & (F.col("_p.x") <= F.col("_xmax")) & (F.col("_p.y") >= F.col("_ymin")) & (F.col("_p.y") <= F.col("_ymax")))
     return rows.where(G.covers(F.col("_e"), F.col("_p.x"), F.col("_p.y"))).select(*df.columns)
@@ -121,7 +123,7 @@ def narrow_blocks(block: DataFrame) -> DataFrame:
 def residential_segments(seg: DataFrame, zoning: DataFrame, reach: float = 60.0, tile: float = 300.0) -> DataFrame:
     """(seg, is_residential): whether a residential zone lies within reach of the segment."""
     lines = seg.withColumns(G.bounds(F.col("g"))).select("seg", G.edges(F.col("g")).alias("e"), *((F.col(k) - reach).alias(f"l{k}") for k in ("xmin", "ymin")), *((F.col(k) + reach).alias(f"l{k}") for k in ("xmax", "ymax")))
-    zones = zoning.where("is_residential").withColumns(G.bounds(F.col("g"))).select(G.edges(F.col("g")).alias("z"), *(c for b in BOX for c in b))
+    zones = zoning.where("is_residential").withColumns(G.bounds(F.col("g"))).select(G.sides(F.col("g")).alias("z"), *(c for b in BOX for c in b))
     near = box_join(lines, zones, [("lxmin", "lxmax"), ("lymin", "lymax")], BOX, tile).where(G.within(F.col("e"), F.col("z"), reach))
     near = near.select("seg").distinct().withColumn("is_residential", F.lit(True))
     return seg.select("seg").join(near, "seg", "left").withColumn("is_residential", known(F.col("is_residential")))
@@ -133,7 +135,7 @@ def narrow_residential(members: DataFrame, seg: DataFrame, sections: DataFrame,
     s = members.join(seg.select("seg", "localid", "direction"), "seg").join(pave, "localid", "left").join(residential, "seg", "left")
     out = s.groupBy("block_id").agg(
         F.max("pave_max").alias("pave_max_ft"), F.min("pave_min").alias("pave_min_ft"), F.max("road_max").alias("road_record_max_ft"), count_where(F.col("pave_max").isNull()).alias("n_missing_pave"),
-        F.bool_and(F.col("direction") == 1).alias("cond_two_way"), F.bool_or(F.col("direction") == 1).alias("any_two_way"), F.bool_or("is_residential").alias("cond_residence"),
+        F.bool_and(F.col("direction") == 1).alias("cond_two_way"), F.bool_or(F.col("direction") == 1).alias("any_two_way"), F.bool_or("is_residential").alias("cond_residence"), F.bool_and("is_residential").alias("all_residential"),
     )
     out = out.withColumn("cond_width", (F.col("n_missing_pave") == 0) & (F.col("pave_max_ft") <= NARROW))
     return out.join(block.select("block_id", "full_name", "functional_class", "len_ft", "n_segments"), "block_id")
@@ -161,20 +163,24 @@ def edge_lines(profile: DataFrame, spacing: float = 5.0) -> DataFrame:
 
 
 def site_blocks(candidates: DataFrame, narrow: DataFrame, block: DataFrame, profile: DataFrame) -> DataFrame:
-    """Eligible blocks by pavement records, and by curbs where records are missing; a block can be in both."""
-    p = profile.where("testable").select("block_id", "curb_min_outer_ft", "curb_min_ft", "curb_max_ft")
-    curb, pave = F.col("curb_min_outer_ft"), F.col("pave_min_ft")
-    strict = F.col("cond_width") & F.col("cond_two_way") & F.col("cond_residence")
-    one = candidates.join(p, "block_id", "left").select(
-        "block_id", "full_name", "len_ft", "n_segments", F.least(pave, curb).alias("wn"), F.col("pave_max_ft").alias("wx"), F.lit("pms").alias("src"),
-        F.when(known(curb < pave), "curb").otherwise("pms").alias("nsrc"), F.col("each_side_ft").alias("sh"), strict.alias("nrr"),
-    )
-    two = block.where((F.col("n_missing_road") > 0) & (F.col("functional_class") == LOCAL)).join(p, "block_id")
-    two = two.join(narrow.where("any_two_way and cond_residence").select("block_id"), "block_id", "left_semi").select(
-        "block_id", "full_name", "len_ft", "n_segments", F.coalesce(curb, F.col("curb_min_ft")).alias("wn"), F.col("curb_max_ft").alias("wx"), F.lit("curb").alias("src"), F.lit("curb").alias("nsrc"),
-        rnd((F.col("curb_max_ft") - NARROW) / 2.0, 1).alias("sh"), (F.col("curb_max_ft") <= NARROW).alias("nrr"),
+    """Eligible blocks by pavement records, and by curbs where records are missing; a block can be in both.
+
+    A row per block and ``src`` that speaks for it: which sources do is an array, which is taken apart.
+    """
+    curbs = profile.where("testable").select("block_id", F.struct("curb_min_outer_ft", "curb_min_ft", "curb_max_ft").alias("c"))
+    records = candidates.select("block_id", F.struct("pave_min_ft", "pave_max_ft", "each_side_ft").alias("p"))
+    facts = narrow.select("block_id", (F.col("cond_width") & F.col("cond_two_way") & F.col("cond_residence")).alias("strict"), (F.col("any_two_way") & F.col("cond_residence")).alias("lived"))
+    b = block.join(records, "block_id", "left").join(curbs, "block_id", "left").join(facts, "block_id", "left")
+    unrecorded = (F.col("n_missing_road") > 0) & (F.col("functional_class") == LOCAL) & F.col("c").isNotNull() & F.col("lived")
+    sources = F.filter(F.array(F.when(F.col("p").isNotNull(), "pms"), F.when(unrecorded, "curb")), lambda s: s.isNotNull())
+    b = b.withColumn("src", F.explode(sources))
+    by_record, narrowest, widest = F.col("src") == "pms", F.col("c.curb_min_outer_ft"), F.col("c.curb_max_ft")
+    return b.select(
+        "block_id", F.coalesce("full_name", F.lit("(unnamed)")).alias("full_name"), rnd(F.col("len_ft")).alias("len_ft"), "n_segments", "src",
+        F.when(by_record, F.least("p.pave_min_ft", narrowest)).otherwise(F.coalesce(narrowest, "c.curb_min_ft")).alias("wn"), F.when(by_record, F.col("p.pave_max_ft")).otherwise(widest).alias("wx"),
+        F.when(by_record & ~known(narrowest < F.col("p.pave_min_ft")), "pms").otherwise("curb").alias("nsrc"),
+        F.when(by_record, F.col("p.each_side_ft")).otherwise(rnd((widest - NARROW) / 2.0, 1)).alias("sh"), F.when(by_record, F.col("strict")).otherwise(widest <= NARROW).alias("nrr"),
     )
-    return one.unionByName(two).withColumns({"full_name": F.coalesce("full_name", F.lit("(unnamed)")), "len_ft": rnd(F.col("len_ft"))})
 
 
 def block_lines(members: DataFrame, segments: DataFrame, tolerance: float = 25.0) -> DataFrame:
@@ -234,13 +240,28 @@ def sidewalk_check(stations: DataFrame, sidewalks: DataFrame, crossings: DataFra
     return side(F.col("r.s_hi"), F.col("right_ft"), "right").unionByName(side(-F.col("l.s_lo"), F.col("left_ft"), "left"))
 
 
+def nearest_line(dots: DataFrame, lines: DataFrame, dot: str, line: str, reach: float, tile: float = 300.0) -> DataFrame:
+    """(dot, line, d): of each dot (p) the nearest line (g) no further than ``reach``; the smaller of two as near."""
+    dots = dots.select(dot, *(F.col(f"p.{k}").alias(n) for k, n in (("x", "px"), ("y", "py"), ("x", "qx"), ("y", "qy"))))
+    low = [(F.col(k) - reach).alias(k) for k in ("xmin", "ymin")]
+    high = [(F.col(k) + reach).alias(k) for k in ("xmax", "ymax")]
+    lines = lines.withColumns(G.bounds(F.col("g"))).select(line, G.edges(F.col("g")).alias("e"), *low, *high)
+    pairs = box_join(dots, lines, [("px", "qx"), ("py", "qy")], BOX, tile)
+    pairs = pairs.withColumn("d", G.point_distance(F.col("e"), F.col("px"), F.col("py"))).where(F.col("d") <= reach)
+    return nearest(pairs, dot, line)
+
+
 def extension_check(extensions: DataFrame, seg: DataFrame, tile: float = 300.0, reach: float = 30.0) -> DataFrame:
     """Each curb extension with the nearest segment less than ``reach`` away, and how far their widths differ."""
-    at = G.line_centroid(G.edges(F.col("g")))
-    dots = extensions.withColumn("p", at).select("ext", F.col("road_ft").alias("ext_ft"), *(F.col(f"p.{k}").alias(n) for k, n in (("x", "px"), ("y", "py"))))
-    dots = dots.withColumns({"qx": F.col("px"), "qy": F.col("py")})
-    lines = seg.withColumns(G.bounds(F.col("g"))).select("seg", "road_ft", G.edges(F.col("g")).alias("e"), *((F.col(k) - reach).alias(k) for k in ("xmin", "ymin")), *((F.col(k) + reach).alias(k) for k in ("xmax", "ymax")))
-    pairs = box_join(dots, lines, [("px", "qx"), ("py", "qy")], BOX, tile).withColumn("d", G.point_distance(F.col("e"), F.col("px"), F.col("py"))).where(F.col("d") < reach)
-    best = pairs.groupBy("ext").agg(F.min(F.struct("d", "seg", "road_ft", "ext_ft")).alias("m"))
-    off = F.col("m.road_ft") - F.col("m.ext_ft")
-    return best.select("ext", "m.seg", rnd(F.col("m.d"), 2).alias("d"), off.alias("off_ft"), known(off == 0).alias("exact"), known(F.abs(off) <= 2).alias("close"))
+    dots = extensions.select("ext", G.line_centroid(G.edges(F.col("g"))).alias("p"))
+    best = nearest_line(dots, seg, "ext", "seg", reach, tile).where(F.col("d") < reach)
+    off = F.col("road_ft") - F.col("ext_ft")
+    best = best.join(extensions.select("ext", F.col("road_ft").alias("ext_ft")), "ext").join(seg.select("seg", "road_ft"), "seg")
+    return best.select("ext", "seg", rnd(F.col("d"), 2).alias("d"), off.alias("off_ft"), known(off == 0).alias("exact"), known(F.abs(off) <= 2).alias("close"))
+
+
+def curb_offsets(curbs: DataFrame, seg: DataFrame, reach: float = 200.0, tile: float = 300.0) -> DataFrame:
+    """(curb, kind, offset_ft): how far the middle of each curb is from the nearest centre line, which tells what kinds are."""
+    middles = curbs.select("curb", G.line_centroid(G.edges(F.col("g"))).alias("p"))
+    found = nearest_line(middles, seg, "curb", "seg", reach, tile)
+    return curbs.select("curb", "kind").join(found.select("curb", F.col("d").alias("offset_ft")), "curb")

@@ -16,41 +16,37 @@ from lineweave.plans.registry import query, table
 
 # ---- interval edges and station widths (A20, P4, P5, P11, J2) ---------------------------------------------------
 
-STATIONS = """
-x as (select l_orderkey, l_extendedprice % 500 - 250 as s_lo, l_extendedprice % 500 - 250 + l_quantity as s_hi from lineweave_lines),
-e as (
-    select l_orderkey, max(s_hi) filter (where s_hi <= 0) as l, min(s_lo) filter (where s_lo >= 0) as r,
-        count(*) filter (where s_lo < 0 and s_hi > 0) as straddling
-    from x group by 1
-),
-m as (
-    select o_orderkey, o_custkey, coalesce(straddling, 0) as straddling,
-        case when coalesce(straddling, 0) = 0 then abs(l) end as left_ft, case when coalesce(straddling, 0) = 0 then r end as right_ft
-    from orders left join e on o_orderkey = l_orderkey
-),
-w as (
-    select *, left_ft + right_ft as width_ft, coalesce(left_ft + right_ft, 2 * left_ft, 2 * right_ft) as width_any_ft,
-        case when straddling > 0 then 'centerline_in_taxlot' when left_ft is null and right_ft is null then 'no_lots_either_side'
-            when left_ft is null or right_ft is null then 'no_lot_one_side' else 'ok' end as status,
-        coalesce(left_ft >= 245, false) or coalesce(right_ft >= 245, false) as edge_at_cap
-    from m
-)
-""".replace("lineweave_lines", "lineitem")
-
-ROLLED = STATIONS + """,
-c as (select o_custkey, round(width_ft) as f, count(*) as n from w where width_ft is not null group by 1, 2),
-md as (select o_custkey, f as row_width_mode_ft from (select *, row_number() over (partition by o_custkey order by n desc, f) as rn from c) where rn = 1),
-r as (
-    select o_custkey, count(*) as n_transects, count(width_ft) as n_measured, count(width_any_ft) as n_any,
-        round(median(width_ft), 1) as row_width_ft, round(min(width_ft), 1) as row_width_min_ft, round(max(width_ft), 1) as row_width_max_ft,
-        round(max(width_ft) - min(width_ft), 1) as row_width_spread_ft, round(median(width_any_ft), 1) as row_width_any_ft,
-        round(median(left_ft), 1) as row_left_ft, round(median(right_ft), 1) as row_right_ft,
-        round(median(right_ft) - median(left_ft), 1) as row_offcenter_ft,
-        count(*) filter (where status = 'centerline_in_taxlot') as n_in_taxlot, count(*) filter (where status = 'no_lots_either_side') as n_no_lots,
-        count(*) filter (where status = 'no_lot_one_side') as n_one_side, count(*) filter (where edge_at_cap) as n_at_cap
-    from w group by 1
-)
-"""
+STATIONS = """spans as (
+    select o_orderkey, o_custkey, list({'a': l_extendedprice % 500 - 250, 'b': l_extendedprice % 500 - 250 + l_quantity}) filter (where l_orderkey is not null) as s
+    from orders left join lineitem on l_orderkey = o_orderkey group by all
+), near as (
+    select o_orderkey, o_custkey, ifnull(len([i for i in s if i.a < 0 and i.b > 0]), 0) as straddling,
+        abs(list_max([i.b for i in s if i.b <= 0])) as before_ft, list_min([i.a for i in s if i.a >= 0]) as behind_ft
+    from spans
+), sides as (
+    select o_orderkey, o_custkey, straddling, if(straddling > 0, null, before_ft) as left_ft, if(straddling > 0, null, behind_ft) as right_ft from near
+), w as (
+    select *, left_ft + right_ft as width_ft, ifnull(left_ft, right_ft) + ifnull(right_ft, left_ft) as width_any_ft,
+        if(straddling > 0, 'centerline_in_taxlot', ['ok', 'no_lot_one_side', 'no_lots_either_side'][1 + (left_ft is null)::int + (right_ft is null)::int]) as status,
+        greatest(ifnull(left_ft, 0), ifnull(right_ft, 0)) >= 245 as edge_at_cap
+    from sides
+)"""
+
+ROLLED = f"""{STATIONS}, lists as (
+    select o_custkey, list(status) as st, len(list(1) filter (where edge_at_cap)) as capped, list(width_ft) filter (where width_ft is not null) as ws,
+        list(width_any_ft) filter (where width_any_ft is not null) as es, list(left_ft) filter (where left_ft is not null) as ls, list(right_ft) filter (where right_ft is not null) as rs
+    from w group by o_custkey
+), md as (
+    select o_custkey, list_min([f for f in feet if len([g for g in feet if g = f]) = list_max([len([g for g in feet if g = h]) for h in feet])]) as row_width_mode_ft
+    from (select o_custkey, [round(x) for x in ws] as feet from lists)
+), r as (
+    select o_custkey, len(st) as n_transects, ifnull(len(ws), 0) as n_measured, ifnull(len(es), 0) as n_any, round(list_median(ws), 1) as row_width_ft,
+        round(list_min(ws), 1) as row_width_min_ft, round(list_max(ws), 1) as row_width_max_ft, round(list_max(ws) - list_min(ws), 1) as row_width_spread_ft,
+        round(list_median(es), 1) as row_width_any_ft, round(list_median(ls), 1) as row_left_ft, round(list_median(rs), 1) as row_right_ft,
+        round(list_median(rs) - list_median(ls), 1) as row_offcenter_ft, len([1 for s in st if s = 'centerline_in_taxlot']) as n_in_taxlot,
+        len([1 for s in st if s = 'no_lots_either_side']) as n_no_lots, len([1 for s in st if s = 'no_lot_one_side']) as n_one_side, ifnull(capped, 0) as n_at_cap
+    from lists
+)"""
 
 
 def station_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,15 +405,15 @@ def _priced(df: DataFrame, key: str, value, name: str) -> DataFrame:
 def nearest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _priced(table(spark, sf_dir, "events"), "event_id", F.col("value") * 10, "x")
     o = _priced(table(spark, sf_dir, "orders"), "o_orderkey", F.col("o_totalprice") / 100, "y")
-    best = J.nearest(J.within_1d(e, o, "x", "y", 30.0), "event_id", "o_orderkey").where("d < 30")
-    return best.withColumn("d", rnd(F.col("d"), 6))
+    best = J.nearest_1d(e, o, "x", "o_orderkey", "y", 30.0).where("d < 30")
+    return best.select("event_id", "o_orderkey", rnd(F.col("d"), 6).alias("d"))
 
 
 @query("select c_custkey, exists (select 1 from supplier where abs(s_acctbal - c_acctbal) <= 60) as near from customer")
 def within_distance_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
-    near = J.within_1d(c, s, "c_acctbal", "s_acctbal", 60.0).select("c_custkey").distinct().withColumn("near", F.lit(True))
+    near = J.nearest_1d(c, s, "c_acctbal", "s_suppkey", "s_acctbal", 60.0).select("c_custkey", F.lit(True).alias("near"))
     return c.select("c_custkey").join(near, "c_custkey", "left").withColumn("near", known(F.col("near")))
 
 
@@ -439,7 +435,7 @@ def min_distance_to_set_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _distance_to_suppliers(spark: SparkSession, sf_dir: str, parts: DataFrame) -> DataFrame:
     p = parts.select("p_partkey", (F.col("p_retailprice") * 3).alias("x"))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
-    return J.within_1d(p, s, "x", "s_acctbal", 200.0).groupBy("p_partkey").agg(rnd(F.min("d"), 6).alias("d"))
+    return J.nearest_1d(p, s, "x", "s_suppkey", "s_acctbal", 200.0).select("p_partkey", rnd(F.col("d"), 6).alias("d"))
 
 
 def sampled(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -17,10 +17,10 @@ def write_object(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """(name, size, sha256) of every file below a path."""
+def fingerprints(spark: SparkSession, path: str, place: int = -1) -> DataFrame:
+    """(name, size, sha256) of every file below a path; ``place`` says which part of its path names it, the last if not given."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    return files.select(F.element_at(F.split("path", "/"), place).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
 def fingerprint_diff(found: DataFrame, expected: DataFrame) -> DataFrame:

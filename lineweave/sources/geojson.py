@@ -1,12 +1,13 @@
 """GeoJSON layers: typed scans of one file or a glob of pages, and sinks.
 
 A scan never infers a schema: properties are read with the types given, coordinates as text that is parsed by geometry
-type. One file is one task, as JSON over many lines can't be split, so rows are dealt out again behind the scan.
+type. A collection is one task for each file, as JSON over many lines can't be split, so its rows can be dealt out again
+behind the scan; a feature per line is split like any text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,14 +27,29 @@ def decode(geometry: Column) -> Column:
     )
 
 
-def read_layer(spark: SparkSession, path: str, properties: T.StructType, tasks: int | None = None) -> DataFrame:
-    """Rows (kind, g, the properties). A file without ``features``, such as an error page, gives no row."""
-    shape = T.StructType(
-        [T.StructField("features", T.ArrayType(T.StructType([T.StructField("properties", properties), T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())]))])))]
-    )
+def _feature_type(properties: T.StructType) -> T.StructType:
+    geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
+    return T.StructType([T.StructField("properties", properties), T.StructField("geometry", geometry)])
+
+
+def _decoded(features: DataFrame) -> DataFrame:
+    return features.select(F.col("f.geometry.type").alias("kind"), decode(F.col("f.geometry")).alias("g"), "f.properties.*")
+
+
+def read_layer(spark: SparkSession, path: str | list[str], properties: T.StructType, tasks: int | None = None) -> DataFrame:
+    """Rows (kind, g, the properties) of a file, a glob or a list of them, dealt out to ``tasks``, or a task for each file.
+
+    A file without ``features``, such as an error page, gives no row.
+    """
+    shape = T.StructType([T.StructField("features", T.ArrayType(_feature_type(properties)))])
     rows = spark.read.schema(shape).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    rows = rows.repartition(tasks) if tasks else rows
-    return rows.select(F.col("f.geometry.type").alias("kind"), decode(F.col("f.geometry")).alias("g"), "f.properties.*")
+    return _decoded(rows.repartition(tasks) if tasks else rows)
+
+
+def read_lines(spark: SparkSession, path: str | list[str], properties: T.StructType) -> DataFrame:
+    """Rows (kind, g, the properties) of files with a feature on each line, as ``write_lines`` makes them."""
+    rows = spark.read.schema(_feature_type(properties)).json(path)
+    return _decoded(rows.select(F.struct("properties", "geometry").alias("f")))
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
@@ -66,7 +82,12 @@ def write_lines(df: DataFrame, path: str, kind: Column, g: str, properties: list
 
 
 def write_collection(df: DataFrame, path: str, kind: Column, g: str, properties: list[str], order: list[str], places: int | None = None) -> None:
-    """One FeatureCollection in one file, in order: for map layers, whose size is that of a page and not of the data."""
-    rows = df.select(*order, feature(kind, F.col(g), properties, places).alias("value")).coalesce(1).sortWithinPartitions(*order).select("value")
-    body = rows.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ",\n"), F.lit("]}")).alias("value"))
-    body.coalesce(1).write.mode("overwrite").text(path)
+    """One FeatureCollection in one file, in order. One task writes the file line by line, so it holds a feature at a time."""
+    # All rows but the first have a comma before them; the first and last lines of the file are rows of their own.
+    rows = df.select(*(F.col(c).alias(f"_{k}") for k, c in enumerate(order)), feature(kind, F.col(g), properties, places).alias("value"))
+    by = [f"_{k}" for k in range(len(order))]
+    later = F.lag(F.lit(1)).over(Window.orderBy(*by)).isNotNull()
+    rows = rows.withColumn("value", F.concat(F.when(later, ",").otherwise(""), "value")).withColumn("_line", F.lit(1))
+    ends = df.sparkSession.createDataFrame([(0, '{"type":"FeatureCollection","features":['), (2, "]}")], "_line int, value string")
+    lines = rows.unionByName(ends, allowMissingColumns=True).coalesce(1).sortWithinPartitions("_line", *by)
+    lines.select("value").write.mode("overwrite").text(path)

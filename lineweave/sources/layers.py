@@ -24,11 +24,11 @@ LAYERS = {
 IN_FEET = {"lots"}
 
 
-def read(spark: SparkSession, layer: str, path: str) -> DataFrame:
-    """A layer with its columns renamed and its geometry in feet; a glob of pages is read like one file."""
+def read(spark: SparkSession, layer: str, path: str | list[str]) -> DataFrame:
+    """A layer with its columns renamed and its geometry in feet, dealt out to all cores; a glob or list of pages is read like one file."""
     columns = [c.split() for c in LAYERS[layer].split(", ")]
     properties = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind, _ in columns))
-    rows = read_layer(spark, path, properties)
+    rows = read_layer(spark, path, properties, spark.sparkContext.defaultParallelism)
     rows = rows.select("kind", ("g" if layer in IN_FEET else project(F.col("g")).alias("g")), *(F.col(name).alias(new) for name, _, new in columns)) if layer != "curbs" else rows.select(
         F.col("kind").alias("shape"), project(F.col("g")).alias("g"), *(F.col(name).alias(new) for name, _, new in columns)
     )

@@ -1,12 +1,18 @@
 """The whole city on a layout small enough to know every answer."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lineweave.functions import geometry as G
+from lineweave.functions.projection import project
 from lineweave.operators import aggregates as A
 from lineweave.operators import graph
-from lineweave.plans import city, report, streets
+from lineweave.plans import city, report, runner, streets
+from lineweave.sources import geojson
+from lineweave.sources import layers as source_layers
 
 
 def line(*points):
@@ -91,3 +97,44 @@ def test_checks(spark, layers):
     ext = spark.createDataFrame([(7, 18.0, line((100, 10), (110, 10)))], f"ext int, road_ft double, g {G.PARTS}")
     seg = layers["streets"].withColumn("road_ft", F.lit(16.0))
     assert [tuple(r) for r in city.extension_check(ext, seg).collect()] == [(7, 1, 10.0, -2.0, False, True)]
+
+
+def test_runner_writes_tables_maps_and_report(spark, layers, tmp_path):
+    t = runner.measure(spark, layers, str(tmp_path))
+    runner.export(t, layers["boundary"], str(tmp_path))
+    assert [(r["seg"], r["row_width_ft"]) for r in t["segment"].orderBy("seg").collect()] == [(1, 50.0), (2, 50.0)]
+    one = t["site"].collect()
+    assert [(s["block_id"], s["wn"], s["wx"], s["src"], s["nsrc"], s["sh"], s["nrr"]) for s in one] == [(1, 13.0, 18.0, "pms", "curb", 0.0, True)]
+    site = geojson.read_layer(spark, f"{tmp_path}/maps/blocks/part-*", T.StructType.fromDDL("block_id int, street string, bl double, nseg int, rw double, nrr boolean")).collect()
+    assert [(r["block_id"], r["street"], r["bl"], r["nseg"], r["rw"], r["nrr"]) for r in site] == [(1, "Main St", 600.0, 2, 50.0, True)] * 2
+    for name in ("convertible_blocks", "convertible_streets"):
+        found = json.loads("".join(r["value"] for r in spark.read.text(f"{tmp_path}/maps/{name}/part-*").collect()))
+        (f,) = found["features"]
+        assert f["properties"]["stroke-width"] == 4 and f["properties"]["status"] == "qualifies today" and len(f["geometry"]["coordinates"]) == 2
+    (pinch,) = json.loads("".join(r["value"] for r in spark.read.text(f"{tmp_path}/maps/narrowings/part-*").collect()))["features"]
+    assert (pinch["properties"]["lkind"], pinch["properties"]["rkind"], pinch["properties"]["w"]) == (3110, 3110, 13.0)
+    csv = spark.read.option("header", True).csv(f"{tmp_path}/csv/segment").collect()
+    assert [r["seg"] for r in csv] == ["1", "2"]
+    assert spark.read.json(f"{tmp_path}/totals").first()["eligible_blocks"] == 1
+    text = "\n".join(r["value"] for r in spark.read.text(f"{tmp_path}/report").collect())
+    assert all(f"== {title} ==" in text for title in ("confidence", "conditions one by one", "edge lines", "narrowings", "curb kinds by offset"))
+    offsets = {r["curb"]: r["offset_ft"] for r in t["curb_offset"].collect()}
+    assert offsets == {1: 8.0, 2: 8.0, 3: 5.0}
+
+
+def test_two_boundaries_are_refused(spark, layers):
+    two = layers["boundary"].unionByName(layers["boundary"])
+    with pytest.raises(Exception, match="the boundary must be one row"):
+        city.city_segments(layers["streets"], two).collect()
+
+
+def test_layers_are_read_in_degrees(spark, layers, tmp_path):
+    streets_ = layers["streets"].select(F.col("seg").alias("OBJECTID"), F.col("localid").alias("LOCALID"), F.col("full_name").alias("FULL_NAME"), F.col("f_node").alias("F_NODE"), F.col("t_node").alias("T_NODE"), project(F.col("g"), inverse=True).alias("g"))
+    geojson.write_collection(streets_, f"{tmp_path}/page1", F.lit("LineString"), "g", ["OBJECTID", "LOCALID", "FULL_NAME", "F_NODE", "T_NODE"], ["OBJECTID"])
+    geojson.write_collection(streets_.withColumn("OBJECTID", F.col("OBJECTID") + 10), f"{tmp_path}/page2", F.lit("LineString"), "g", ["OBJECTID", "LOCALID", "FULL_NAME", "F_NODE", "T_NODE"], ["OBJECTID"])
+    (tmp_path / "page3").mkdir()
+    (tmp_path / "page3" / "part-0").write_text('{"error": "busy"}')
+    for place in (f"{tmp_path}/page*/part-*", [f"{tmp_path}/page1/part-*", f"{tmp_path}/page2/part-*"]):
+        back = {r["seg"]: r for r in source_layers.read(spark, "streets", place).collect()}
+        assert sorted(back) == [1, 2, 3, 11, 12, 13]
+        assert abs(back[1]["g"][0][1]["x"] - 300) < 1e-3 and abs(back[12]["g"][0][0]["x"] - 300) < 1e-3 and back[3]["full_name"] == " "
