@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lineweave.llm import bpe, jaccard, mixing, quality, secrets
 from lineweave.llm.common import cut, written
+from lineweave.operators import tables
 
 ORACLE_SQL = None  # trained, iterative and encoding stages: tests hold them against brute force
 
@@ -78,9 +79,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what a stage kept goes when the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs, f"stage{k}")
+            docs, path = tables.written(docs, f"stage{k}")
+            if before:
+                tables.remove(before)
+            before = path
     return docs
