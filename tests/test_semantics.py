@@ -1,7 +1,10 @@
 """Rounding, null and tie rules with known answers."""
 
+import random
+
 from pyspark.sql import functions as F
 
+from lineweave.functions import geometry as G
 from lineweave.functions import semantics as S
 from lineweave.operators import aggregates as A
 from lineweave.operators import joins as J
@@ -80,3 +83,35 @@ def test_fingerprints(spark, tmp_path):
 def test_object_keeps_null_keys(spark, tmp_path):
     files.write_object(spark.sql("select 1 as a, cast(null as int) as b"), str(tmp_path / "o"))
     assert spark.read.text(str(tmp_path / "o")).first()[0] == '{"a":1,"b":null}'
+
+
+def test_ordered_neighbours_are_the_nearest(spark):
+    rng = random.Random(8)
+    near = lambda: rng.choice([rng.randint(-50, 50) / 2, rng.uniform(-40, 40), 7.0])
+    left = [(i, near()) for i in range(300)] + [(900, None), (901, float("nan")), (902, 1e6), (3, 7.0)]
+    right = [(i % 90, near()) for i in range(120)] + [(500, None), (501, 0.25), (502, -0.25), (503, float("nan"))]
+    known = [(c, y) for c, y in right if y is not None and y == y]
+    a, b = spark.createDataFrame(left, "i long, x double").withColumn("cell", F.lit("clash")), spark.createDataFrame(right, "c long, y double")
+    for per_cell, reach in ((1, 3.0), (7, 100.0), (50_000, 0.5)):
+        expected = []
+        for i, x in left:
+            best = min(((abs(x - y), c) for c, y in known), default=None) if x is not None and x == x else None
+            if best and best[0] <= reach:
+                expected.append((i, best[1], best[0]))
+        found = J.nearest_1d(a, b, "x", "c", "y", reach, per_cell)
+        assert found.columns == ["i", "x", "cell", "c", "d"]
+        assert sorted((r["i"], r["c"], r["d"]) for r in found.collect()) == sorted(expected)
+    assert J.nearest_1d(a.limit(0), b, "x", "c", "y", 9.0).count() == 0 and J.nearest_1d(a, b.limit(0), "x", "c", "y", 9.0).count() == 0
+
+
+def test_left_box_join_keeps_rows_that_meet_nothing(spark):
+    left = spark.createDataFrame([(1, 0.0, 9.0), (2, 100.0, 101.0)], "i int, a double, b double")
+    right = spark.createDataFrame([(5, 4.0, 5.0)], "j int, c double, d double")
+    got = {(r["i"], r["j"]) for r in J.box_join(left, right, [("a", "b")], [("c", "d")], 4.0, how="left").collect()}
+    assert {(1, 5), (2, None)} <= got and got <= {(1, 5), (1, None), (2, None)}
+
+
+def test_sides_are_edges_without_lengths(spark):
+    ring = "array(array(named_struct('x', 0d, 'y', 0d), named_struct('x', 3d, 'y', 4d), named_struct('x', 0d, 'y', 4d)), array(named_struct('x', 1d, 'y', 1d)), cast(array() as array<struct<x:double,y:double>>))"
+    r = spark.range(1).select(F.expr(ring).alias("g")).select(G.sides(F.col("g")).alias("s"), G.edges(F.col("g")).alias("e")).first()
+    assert [tuple(x) for x in r["s"]] == [tuple(x)[:4] for x in r["e"]] == [(0.0, 0.0, 3.0, 4.0), (3.0, 4.0, 0.0, 4.0)]
