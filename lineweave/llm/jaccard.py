@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from lineweave.llm.common import cut, shingle_hashes, slices, small_batches, word_hashes, written
 from lineweave.llm.graph import components
+from lineweave.operators.tables import SMALL, beside
 
 BLOCK_BYTES, BUCKET = 3 << 20, 1 << 20
 VERIFY = 8.0
@@ -165,9 +166,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    pairs = beside(cut(pairs))
     held = sets.where("shingles is not null")
-    full = pairs.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return full.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    left = held.select(F.col("id").alias("a"), F.col("shingles").alias("x")).join(pairs, "a")
+    right = held.select(F.col("id").alias("b"), F.col("shingles").alias("y")).join(pairs.select("b"), "b", "left_semi")
+    return left.join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
 def _near(percent: int) -> str:
@@ -204,9 +207,9 @@ def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(_HOMES.types)], schema=_HOMES)
 
     held = sets.where("shingles is not null")
-    counts = pairs.groupBy("home").agg(F.count(F.lit(1)).alias("c"))
-    theirs = held.join(counts.select(F.col("home").alias("id")), "id").select(F.col("id").alias("home"), F.col("shingles").alias("y"))
-    full = _joined(pairs.join(held.select("id", F.col("shingles").alias("x")), "id"), theirs, _hot(counts, pairs.count()))
+    counts = cut(pairs.groupBy("home").agg(F.count(F.lit(1)).alias("c")))
+    theirs = held.join(beside(counts.select(F.col("home").alias("id"))), "id").select(F.col("id").alias("home"), F.col("shingles").alias("y"))
+    full = _joined(held.select("id", F.col("shingles").alias("x")).join(beside(pairs), "id"), theirs, _hot(counts, pairs.count()))
     return full.select("id", "home", "x", "y").mapInArrow(compare, HOMES)
 
 
@@ -245,7 +248,7 @@ def _homes(met: DataFrame, jumps: int = 2) -> DataFrame:
     homes = cut(first.select("id", F.least("h", own)["leader"].alias("home")).where("id <> home"))
     for _ in range(jumps):
         further = homes.select(F.col("id").alias("home"), F.col("home").alias("further"))
-        homes = cut(homes.join(further, "home", "left").select("id", F.coalesce("further", "home").alias("home")))
+        homes = cut(homes.join(beside(further), "home", "left").select("id", F.coalesce("further", "home").alias("home")))
     return homes
 
 
@@ -260,21 +263,25 @@ def _by_differences(homes: DataFrame, found: DataFrame, percent: int) -> DataFra
     about. Each is looked for under its rarest differences only, as many as leave less than its bound.
     """
     up, down = 100 + percent, 100 - percent
-    named = homes.where("differ > 0").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = homes.where("differ > 0").join(beside(found.withColumnRenamed("node", "id")), "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = cut(named.drop("linked"))
     # Homes that have texts of other components than their own.
     busy = named.groupBy("home").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("c"))
-    busy = busy.join(found.select(F.col("node").alias("home"), F.col("component").alias("top")), "home", "left").withColumn("top", F.coalesce("top", "home"))
+    busy = busy.join(beside(found.select(F.col("node").alias("home"), F.col("component").alias("top"))), "home", "left").withColumn("top", F.coalesce("top", "home"))
     busy = cut(busy.where("low <> top or high <> top").select("home", "top", "c"))
-    named = _joined(named, busy.drop("c"), _hot(busy, named.count())).withColumn("open", F.col("component") != F.col("top")).drop("top")
+    few = busy.count()
+    if not few:
+        return found.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+    of_home = named.join(F.broadcast(busy.drop("c")), "home") if few <= SMALL else _joined(named, busy.drop("c"), _hot(busy, named.count()))
+    named = of_home.withColumn("open", F.col("component") != F.col("top")).drop("top")
     named = cut(named)
     tokens = named.select("home", "id", F.explode("differences").alias("token"))
     counts = tokens.groupBy("home", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     listed = tokens.join(counts, ["home", "token"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("l"))
-    texts = cut(named.drop("differences").join(listed.select("id", F.col("l.token").alias("tokens")), "id").withColumn("m", F.size("tokens")))
+    texts = cut(listed.select("id", F.col("l.token").alias("tokens")).join(beside(named.drop("differences")), "id").withColumn("m", F.size("tokens")))
     # A partner has at most 100 / percent times the shingles; what it shares it has among its own differences.
     least = F.ceil((up * F.col("differ") - down * (F.col("n") + F.floor(100 * F.col("n") / percent))) / up)
-    beside = F.floor((up * F.col("differ") + down * (F.col("hn") - F.col("n"))) / (2 * up)) + 1
+    partner = F.floor((up * F.col("differ") + down * (F.col("hn") - F.col("n"))) / (2 * up)) + 1
 
     def prefix(rows: DataFrame, bound, names: dict[str, str]) -> DataFrame:
         first = (F.col("m") - F.greatest(bound, F.lit(1)) + 1).cast("int")
@@ -283,22 +290,26 @@ def _by_differences(homes: DataFrame, found: DataFrame, percent: int) -> DataFra
         return rows.select("home", F.explode(F.slice("tokens", F.lit(1), F.col("first"))).alias("token"), *(F.col(c).alias(names.get(c, c)) for c in kept))
 
     names = {"id": "other", "n": "n2", "differ": "differ2", "m": "m2", "rest": "rest2", "component": "component2", "open": "open2"}
-    left, right = prefix(texts.where("open"), least, {}), prefix(texts, beside, names)
+    left, right = prefix(texts.where("open"), least, {}), prefix(texts, partner, names)
     need = F.greatest(F.ceil((up * (F.col("differ") + F.col("differ2")) - down * (F.col("n") + F.col("n2"))) / (2 * up)), F.lit(1)).cast("int")
     once = "(not open2 or struct(differ2, other) < struct(differ, id))"
     pairs = left.join(right, ["home", "token"]).where(f"component <> component2 and {once} and 100 * least(n, n2) >= {percent} * greatest(n, n2)").where(need <= F.least("m", "m2"))
     pairs = pairs.groupBy("id", "other").agg(F.count(F.lit(1)).alias("c"), F.max(need).alias("need"), F.max(F.greatest("rest", "rest2")).alias("rest")).where("c + rest >= need")
-    both = pairs.join(texts.select("id", "tokens"), "id").join(texts.select(F.col("id").alias("other"), F.col("tokens").alias("tokens2")), "other")
+    pairs = beside(cut(pairs))
+    theirs = texts.select(F.col("id").alias("other"), F.col("tokens").alias("tokens2")).join(pairs.select("other"), "other", "left_semi")
+    both = texts.select("id", "tokens").join(pairs, "id").join(theirs, "other")
     return both.where(F.size(F.array_intersect("tokens", "tokens2")) >= F.col("need")).select(F.col("id").alias("a"), F.col("other").alias("b"))
 
 
 def _across_homes(entries: DataFrame, homes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs (a, b) of texts with different homes and components: they share as many prefix shingles as must be."""
-    marked = entries.join(homes.select("id", "home"), "id", "left").join(found.withColumnRenamed("node", "id"), "id", "left")
+    marked = entries.join(beside(homes.select("id", "home")), "id", "left").join(beside(found.withColumnRenamed("node", "id")), "id", "left")
     marked = marked.withColumns({"home": F.coalesce("home", "id"), "component": F.coalesce("component", "id")})
     several = marked.groupBy("token").agg(*(f(c).alias(f"{n}_{c}") for c in ("home", "component") for n, f in (("low", F.min), ("high", F.max))))
-    several = several.where("low_home < high_home and low_component < high_component").select("token")
-    marked = cut(marked.join(several, "token", "left_semi"))
+    several = cut(several.where("low_home < high_home and low_component < high_component").select("token"))
+    marked = cut(marked.join(beside(several), "token", "left_semi"))
+    if marked.isEmpty():
+        return marked.select(F.col("id").alias("a"), F.col("id").alias("b"))
     # Homes are paired first, so that texts of one home never meet here.
     at = marked.select("token", "home").distinct()
     sides = at.join(at.withColumnRenamed("home", "home2"), "token").where("home < home2")
