@@ -110,16 +110,16 @@ def _dots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", p.alias("p"))
 
 
-@query(f"with {REACHED} select l_orderkey, l_linenumber, seg, round(min(d), 4) as d from d where d <= 30 group by 1, 2, 3")
+@query(f"with {REACHED} select l_orderkey, l_linenumber, seg, round(min(d), 6) as d from d where d <= 30 group by 1, 2, 3")
 def nearest_line_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each dot the nearest street within 30 ft."""
     dots = _dots(spark, sf_dir).groupBy("l_orderkey", "l_linenumber", "p").agg(F.struct("l_orderkey", "l_linenumber").alias("dot"))
     found = city.nearest_line(dots, street_grid(spark, sf_dir, False), "dot", "seg", 30.0)
-    return found.select("dot.l_orderkey", "dot.l_linenumber", "seg", rnd(F.col("d"), 4).alias("d"))
+    return found.select("dot.l_orderkey", "dot.l_linenumber", "seg", rnd(F.col("d"), 6).alias("d"))
 
 
 @query(
-    f"""with {REACHED} select l_orderkey, l_linenumber, l_partkey, l_suppkey, [3110, 3110, 3110, 3120, 3130, 3140, 3150][l_linenumber] as kind, round(min(d), 4) as offset_ft
+    f"""with {REACHED} select l_orderkey, l_linenumber, l_partkey, l_suppkey, [3110, 3110, 3110, 3120, 3130, 3140, 3150][l_linenumber] as kind, round(min(d), 6) as offset_ft
     from d where d <= 200 group by all"""
 )
 def curb_type_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +129,7 @@ def curb_type_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     curb = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("curb")
     curbs = _dots(spark, sf_dir).select(curb, kinds.alias("kind"), stub.alias("g")).dropDuplicates(["curb"])
     found = city.curb_offsets(curbs, street_grid(spark, sf_dir, False))
-    return found.select("curb.*", "kind", rnd(F.col("offset_ft"), 4).alias("offset_ft"))
+    return found.select("curb.*", "kind", rnd(F.col("offset_ft"), 6).alias("offset_ft"))
 
 
 @query(
