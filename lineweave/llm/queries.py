@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweave.llm import ann, bpe, chat, jaccard, langid, media, mixing, quality, secrets, sstable
+from lineweave.llm import ann, bpe, chat, jaccard, langid, media, merkle, mixing, quality, secrets, sstable
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -98,3 +98,8 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query(merkle.ORACLE)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verdicts(merkle.checked(table(spark, sf_dir, "documents")))
