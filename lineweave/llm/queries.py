@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineweave.llm import ann, bpe, chat, jaccard, langid, media, merkle, mixing, quality, secrets, sstable
+from lineweave.llm import ann, bpe, chat, jaccard, langid, media, merkle, mixing, periods, quality, secrets, sketch, sstable
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -103,3 +103,13 @@ def op7_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(merkle.ORACLE)
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verdicts(merkle.checked(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_digests(periods.find_runs(table(spark, sf_dir, "documents"), plant=True))
+
+
+@query()
+def op11_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edited(sketch.fingerprints(table(spark, sf_dir, "documents")))
