@@ -180,3 +180,8 @@ def self_touches(edges_: Column) -> Column:
     """Whether two edges of a geometry cross each other properly (a ring that isn't valid)."""
     cross = lambda e, f: (_cross(e, f["x1"], f["y1"]) * _cross(e, f["x2"], f["y2"]) < 0) & (_cross(f, e["x1"], e["y1"]) * _cross(f, e["x2"], e["y2"]) < 0)
     return F.exists(edges_, lambda e: F.exists(edges_, lambda f: cross(e, f)))
+
+
+def ring_area(ring: Column) -> Column:
+    """Area of a closed ring, below 0 if it turns right."""
+    return F.aggregate(sides(F.array(ring)), F.lit(0.0), lambda s, e: s + (e["x1"] * e["y2"] - e["x2"] * e["y1"]) / 2)

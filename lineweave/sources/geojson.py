@@ -27,12 +27,12 @@ def decode(geometry: Column) -> Column:
     )
 
 
-def _feature_type(properties: T.StructType) -> T.StructType:
+def feature_type(properties: T.StructType) -> T.StructType:
     geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     return T.StructType([T.StructField("properties", properties), T.StructField("geometry", geometry)])
 
 
-def _decoded(features: DataFrame) -> DataFrame:
+def decoded(features: DataFrame) -> DataFrame:
     return features.select(F.col("f.geometry.type").alias("kind"), decode(F.col("f.geometry")).alias("g"), "f.properties.*")
 
 
@@ -41,15 +41,15 @@ def read_layer(spark: SparkSession, path: str | list[str], properties: T.StructT
 
     A file without ``features``, such as an error page, gives no row.
     """
-    shape = T.StructType([T.StructField("features", T.ArrayType(_feature_type(properties)))])
+    shape = T.StructType([T.StructField("features", T.ArrayType(feature_type(properties)))])
     rows = spark.read.schema(shape).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    return _decoded(rows.repartition(tasks) if tasks else rows)
+    return decoded(rows.repartition(tasks) if tasks else rows)
 
 
 def read_lines(spark: SparkSession, path: str | list[str], properties: T.StructType) -> DataFrame:
     """Rows (kind, g, the properties) of files with a feature on each line, as ``write_lines`` makes them."""
-    rows = spark.read.schema(_feature_type(properties)).json(path)
-    return _decoded(rows.select(F.struct("properties", "geometry").alias("f")))
+    rows = spark.read.schema(feature_type(properties)).json(path)
+    return decoded(rows.select(F.struct("properties", "geometry").alias("f")))
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
