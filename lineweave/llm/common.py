@@ -68,8 +68,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
 
 
 # ---- words and their hashes -------------------------------------------------------------------------------------
-# A word is a run of bytes other than space and 9 to 13. Its hash is a polynomial over a table of random 64-bit
-# values, one per byte, so that a whole batch is hashed with array arithmetic and no loop over words.
+# A word is a run of bytes other than space and 9 to 13. Its hash sums a mixed 64-bit value of each byte and its place in
+# the word, so that a whole batch is hashed with array arithmetic and no loop over words. (A polynomial modulo a power of
+# two would give equal hashes to the words of a Thue-Morse sequence, whatever its base.)
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(9, 14)]] = True
@@ -78,22 +79,9 @@ BYTES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
 _FOLDED = BYTES.copy()  #: A-Z as a-z
 _FOLDED[ord("A") : ord("Z") + 1] = BYTES[ord("a") : ord("z") + 1]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_POWERS: dict[str, np.ndarray] = {}
 _BLOCK = 1 << 16  #: bytes hashed at once
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers, or more, of an odd number and of its inverse."""
-    if len(_POWERS.get("up", ())) < n:
-        n = max(n, _BLOCK + 1)
-        for name, base in (("up", _ODD), ("down", _INVERSE)):
-            steps = np.full(n, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))
@@ -103,6 +91,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def run_hashes(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of each run, from the values of its bytes; runs lie side by side and none is empty."""
+    place = (np.arange(len(values)) - np.repeat(starts, sizes)).astype(np.uint64)
+    return mixed(np.add.reduceat(mixed(values + place * _ODD), starts) + sizes.astype(np.uint64))
+
+
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash (A-Z as a-z) of each word in UTF-8 bytes."""
     gap = _SPACE[data]
@@ -112,14 +106,11 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return starts, ends, np.zeros(0, dtype=np.uint64)
     hashes = np.empty(len(starts), dtype=np.uint64)
     i = 0
-    while i < len(starts):  # blocks keep the power tables small; a block ends with a word
+    while i < len(starts):  # in blocks, which end with a word, as values are eight times as long as bytes
         base = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, base + _BLOCK, side="right")))
-        part = data[base : ends[j - 1]]
-        up, down = powers(len(part) + 1)
-        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_FOLDED[part] * up[: len(part)], dtype=np.uint64)))
-        a, b = starts[i:j] - base, ends[i:j] - base
-        hashes[i:j] = mixed((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
+        part, sizes = slice(base, ends[j - 1]), ends[i:j] - starts[i:j]
+        hashes[i:j] = run_hashes(_FOLDED[data[part][~gap[part]]], np.cumsum(sizes) - sizes, sizes)
         i = j
     return starts, ends, hashes
 

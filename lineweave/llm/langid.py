@@ -18,7 +18,9 @@ learn from, every text is ``und``; ties go to the language that sorts first; oth
 
 from __future__ import annotations
 
+import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,7 +38,8 @@ SAMPLE = 400  #: documents that each language is learnt from, in expectation
 ROUNDS, PRIOR, UNKNOWN, SMALLEST = 4, 0.05, 1e-7, 1e-280
 LONGEST = 64  #: characters of a word that has a place in a lattice of many words
 CACHED, HELD = 400_000, 32 << 20  #: runs or words that a worker knows, and their characters
-LETTERS = re.compile(r"[^\W\d_]+")
+# Letters are what Unicode calls so: of the characters of words without digits and low lines, not fractions, signs and numerals.
+LETTERS = re.compile("[^\\W\\d_%s]+" % "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()))
 MARK = "▁"
 _SIDE = LONGEST + 1  #: places in a word
 
@@ -56,9 +59,46 @@ def words_of(token: str) -> list[str]:
     return [MARK + w for w in LETTERS.findall(token)]
 
 
-def cut_words(token: str) -> list[str]:
-    """The same, cut into parts of bounded length."""
-    return [w[a : a + LONGEST] for w in words_of(token) for a in range(0, len(w), LONGEST)]
+def edges_of(word: str, path: str) -> list[tuple[int, int, int]]:
+    """(from, to, piece) of all pieces in a word, -1 for a character that is none, by where they end."""
+    vocabulary = pieces(path)[0].get
+    found = []
+    for i in range(len(word)):
+        x = vocabulary(word[i])
+        found.append((i, i + 1, -1 if x is None else x))
+        j = i + 2
+        while x is not None and j <= len(word):
+            x = vocabulary(word[i:j])
+            if x is not None and x >= 0:
+                found.append((i, j, x))
+            j += 1
+    return sorted(found, key=lambda e: e[1])
+
+
+def _sums(n: int, edges: list[tuple[int, int, float]]) -> list[float]:
+    """Log of the summed probability of all ways from 0 to each place; edges come by where they end."""
+    out, at = [0.0] * (n + 1), 0
+    for j in range(1, n + 1):
+        logs = []
+        while at < len(edges) and edges[at][1] == j:
+            logs.append(out[edges[at][0]] + edges[at][2])
+            at += 1
+        top = max(logs)
+        out[j] = top + math.log(sum(math.exp(v - top) for v in logs))
+    return out
+
+
+def expected_pieces(word: str, probability: np.ndarray, path: str) -> Counter:
+    """How often each piece occurs in a word in expectation over its segmentations, whatever its length."""
+    n, edges = len(word), edges_of(word, path)
+    logs = [math.log(UNKNOWN if x < 0 else probability[x]) for _, _, x in edges]
+    there = _sums(n, [(i, j, w) for (i, j, _), w in zip(edges, logs)])
+    back = _sums(n, sorted(((n - j, n - i, w) for (i, j, _), w in zip(edges, logs)), key=lambda e: e[1]))
+    counts: Counter = Counter()
+    for (i, j, x), w in zip(edges, logs):
+        if x >= 0:
+            counts[x] += math.exp(there[i] + w + back[n - j] - there[n])
+    return counts
 
 
 def scaled_total(word: str, probabilities: np.ndarray, path: str) -> np.ndarray:
@@ -144,7 +184,8 @@ def fit(counts: dict[str, int], path: str, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities under which the counted words, over all their segmentations, are likely."""
     size = pieces(path)[1]
     probability = np.full(size, 1 / size)
-    words = sorted(counts)
+    words = sorted(w for w in counts if len(w) <= LONGEST)
+    long = sorted(w for w in counts if len(w) > LONGEST)
     lattices = [(Lattice(part := words[a : a + 5000], path), np.array([counts[w] for w in part], dtype=float)) for a in range(0, len(words), 5000)]
     for _ in range(rounds):
         expected = np.full(size, PRIOR)
@@ -155,6 +196,9 @@ def fit(counts: dict[str, int], path: str, rounds: int = ROUNDS) -> np.ndarray:
             share = there[lattice.word, lattice.start] * weight * back[lattice.word, lattice.end] * (n / total)[lattice.word]
             known = lattice.piece >= 0
             expected += np.bincount(lattice.piece[known], share[known], size)
+        for word in long:
+            for x, n in expected_pieces(word, probability, path).items():
+                expected[x] += n * counts[word]
         probability = expected / expected.sum()
     return probability
 
@@ -245,7 +289,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         for batch in slices(batches, "text"):
             counts: Counter = Counter()
             for x, t in zip(batch.column("lang").to_pylist(), texts(batch, "text")):
-                counts.update((x, w) for token in t.lower().split() for w in cut_words(token))
+                counts.update((x, w) for token in t.lower().split() for w in words_of(token))
             yield pa.RecordBatch.from_pydict({"lang": [x for x, _ in counts], "word": [w for _, w in counts], "n": list(counts.values())}, schema=schema)
 
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])

@@ -25,7 +25,8 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,79 +55,98 @@ URL_SAFE = str.maketrans("-_", "+/")
 # Object identifiers of password-based encryption (PKCS#5, PKCS#12).
 ENCRYPTED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 SSH_MAGIC = b"openssh-key-v1\x00"
+PADDING = re.compile("={0,2}")
+_QUOTES = re.compile(r'(?<!\\)(?:\\\\)*"')
+_parse = json.JSONDecoder().raw_decode
 
 
-def _elements(data: bytes) -> list[tuple[int, bytes]] | None:
-    """(tag, content) of the DER elements that fill ``data`` exactly, else None."""
-    out, at = [], 0
-    while at < len(data):
-        if at + 2 > len(data):
+MOST = 64  #: elements that are read side by side; keys have ten or so
+
+
+def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, start, end) of the DER elements that fill a stretch exactly, else None. Nothing is copied."""
+    out = []
+    while at < end:
+        if at + 2 > end or len(out) == MOST:
             return None
         tag, n = data[at], data[at + 1]
         at += 2
         if n & 0x80:
             k = n & 0x7F
-            if not 1 <= k <= 4 or at + k > len(data) or data[at] == 0:
+            if not 1 <= k <= 4 or at + k > end or data[at] == 0:
                 return None
             n = int.from_bytes(data[at : at + k], "big")
             at += k
             if n < 0x80:
                 return None
-        if at + n > len(data):
+        if at + n > end:
             return None
-        out.append((tag, data[at : at + n]))
+        out.append((tag, at, at + n))
         at += n
     return out
 
 
-def is_private_der(data: bytes) -> bool:
-    """Whether the bytes are one PKCS#1, PKCS#8, SEC1 or DSA private key and nothing more."""
-    if data[:1] != b"\x30":
-        return False
-    outer = _elements(data)
-    if not outer or len(outer) != 1:
-        return False
-    fields = _elements(outer[0][1])
+def der_length(data: bytes, at: int = 0) -> int:
+    """Bytes of the PKCS#1, PKCS#8, SEC1 or DSA private key that begins at a place, 0 if none does."""
+    if at + 2 > len(data) or data[at] != 0x30:
+        return 0
+    k = data[at + 1] & 0x7F if data[at + 1] & 0x80 else 0
+    end = at + 2 + k + (int.from_bytes(data[at + 2 : at + 2 + k], "big") if k else data[at + 1])
+    outer = _elements(data, at, end) if k <= 4 and end <= len(data) else None
+    return end - at if outer and len(outer) == 1 and _is_key(data, *outer[0][1:]) else 0
+
+
+def _is_key(data: bytes, at: int, end: int) -> bool:
+    fields = _elements(data, at, end)
     if not fields:
         return False
-    if [t for t, _ in fields] == [0x30, 0x04]:
-        algorithm = _elements(fields[0][1])
-        return bool(algorithm) and algorithm[0][0] == 0x06 and algorithm[0][1].startswith(ENCRYPTED) and len(fields[1][1]) > 0
-    if fields[0][0] != 2:
+    tags, sizes = [t for t, _, _ in fields], [b - a for _, a, b in fields]
+
+    def named(k: int, *names: bytes) -> bool:
+        """Whether a field holds elements of which the first is an identifier that begins so."""
+        inside = _elements(data, *fields[k][1:])
+        return bool(inside) and inside[0][0] == 0x06 and any(data.startswith(x, inside[0][1], inside[0][2]) for x in names or (b"",))
+
+    if tags == [0x30, 0x04]:
+        return named(0, *ENCRYPTED) and sizes[1] > 0
+    if tags[0] != 2:
         return False
-    tags, version = [t for t, _ in fields], fields[0][1]
+    version = data[fields[0][1] : fields[0][2]] if sizes[0] == 1 else b""
     if tags[:3] == [0x02, 0x30, 0x04] and version in (b"\0", b"\1"):
-        algorithm = _elements(fields[1][1])
-        return bool(algorithm) and algorithm[0][0] == 0x06 and len(fields[2][1]) > 0
+        return named(1) and sizes[2] > 0
     if len(tags) >= 2 and tags[1] == 0x04 and version == b"\1":
-        return len(fields[1][1]) >= 16 and all(t in (0xA0, 0xA1) and _elements(x) for t, x in fields[2:])
+        return sizes[1] >= 16 and all(t in (0xA0, 0xA1) and _elements(data, a, b) for t, a, b in fields[2:])
     if tags == [2] * 6:
-        return version == b"\0" and len(fields[1][1]) >= 64
-    return len(tags) >= 9 and set(tags[:9]) == {2} and version in (b"\0", b"\1") and len(fields[1][1]) >= 32
+        return version == b"\0" and sizes[1] >= 64
+    return len(tags) >= 9 and set(tags[:9]) == {2} and version in (b"\0", b"\1") and sizes[1] >= 32
+
+
+def is_private_der(data: bytes) -> bool:
+    """Whether the bytes are one private key and nothing more."""
+    return 0 < der_length(data) == len(data)
 
 
-def _ssh_length(read: Callable[[int], bytes]) -> int:
-    """Length of the OpenSSH private key that ``read(n)`` gives the first n bytes of, 0 if it is none.
+def ssh_length(data: bytes, start: int = 0) -> int:
+    """Bytes of the OpenSSH private key that begins at a place, 0 if none does.
 
     It has its magic, three strings, the key count, the public key and the private block.
     """
-    at = len(SSH_MAGIC)
-    if read(at) != SSH_MAGIC:
+    if not data.startswith(SSH_MAGIC, start):
         return 0
+    at = start + len(SSH_MAGIC)
     for field in range(6):
-        number = read(at + 4)[at:]
-        if len(number) < 4:
+        if at + 4 > len(data):
             return 0
-        n = int.from_bytes(number, "big")
+        n = int.from_bytes(data[at : at + 4], "big")
         if field == 3 and not 1 <= n <= 64:
             return 0
         at += 4 if field == 3 else 4 + n
-    return at if len(read(at)) == at else 0
+    return at - start if at <= len(data) else 0
 
 
 def is_private_ssh(data: bytes) -> bool:
     """Whether the bytes are one OpenSSH private key and nothing more."""
-    return data.startswith(SSH_MAGIC) and _ssh_length(lambda n: data[:n]) == len(data)
+    return 0 < ssh_length(data) == len(data)
 
 
 def _unbase64(s: str, url: bool = False) -> bytes | None:
@@ -146,6 +166,53 @@ def _object(part: str) -> dict | None:
     return found if isinstance(found, dict) else None
 
 
+def _object_end(body: str, at: int) -> tuple[bool, int]:
+    """Whether a JSON object begins at a place, and where it ends or fails.
+
+    It is parsed in windows that grow while the parser fails at their end, as the parser counts lines up to where it fails.
+    """
+    size = 256
+    while True:
+        try:
+            return True, at + _parse(body[at : at + size])[1]
+        except json.JSONDecodeError as e:
+            if at + size >= len(body) or (e.pos < size - 16 and not e.msg.startswith("Unterminated")):
+                return False, at + e.pos
+            size *= 4
+        except RecursionError:
+            return False, len(body)
+
+
+def _header_start(head: str) -> int | None:
+    """Where in a part of a token the first JSON object begins that names an algorithm and fills the rest of the part.
+
+    Each of the four alignments is decoded once. An object that fails at some place decides for all that begin inside it, on
+    the same side of its quotes, before that place; so each place is parsed twice at most. An object nested deeper than the
+    parser can go is none.
+    """
+    decoded: dict[int, tuple[str, list[int], list[int]]] = {}
+    for m in re.finditer("eyJ", head):
+        i, a = m.start(), m.start() % 4
+        if (len(head) - i) % 4 == 1:
+            continue
+        if a not in decoded:
+            body = (_unbase64(head[a:], url=True) or b"").decode("latin-1")
+            decoded[a] = body, [q.end() - 1 for q in _QUOTES.finditer(body)], [0, 0]
+        body, quotes, failed = decoded[a]
+        at = (i - a) // 4 * 3
+        side = bisect_left(quotes, at) % 2
+        if at < failed[side]:
+            continue
+        fits, end = _object_end(body, at)
+        if not fits:
+            failed[side] = max(end, at + 1)
+            continue
+        if not body[end:].strip(" \t\n\r") and isinstance((_object(head[i:]) or {}).get("alg"), str):
+            return i
+        failed[side] = end
+    return None
+
+
 def _signed_tokens(text: str) -> Iterator[tuple[int, int]]:
     """Spans of signed tokens; a token may begin anywhere in a run of its characters."""
     for run in DOTTED.finditer(text):
@@ -153,12 +220,9 @@ def _signed_tokens(text: str) -> Iterator[tuple[int, int]]:
             continue
         parts, at, taken = run[0].split("."), run.start(), 0
         for k, head in enumerate(parts[:-2]):
-            if k >= taken and "eyJ" in head and _object(parts[k + 1]) is not None:
-                for m in re.finditer("eyJ", head):
-                    if isinstance((_object(head[m.start() :]) or {}).get("alg"), str):
-                        yield at + m.start(), at + sum(map(len, parts[k : k + 3])) + 2
-                        taken = k + 3
-                        break
+            if k >= taken and "eyJ" in head and _object(parts[k + 1]) is not None and (start := _header_start(head)) is not None:
+                yield at + start, at + sum(map(len, parts[k : k + 3])) + 2
+                taken = k + 3
             at += len(head) + 1
 
 
@@ -168,54 +232,57 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der" if is_private_der(data) else "ssh" if is_private_ssh(data) else None
 
 
-def _encoded(text: str, at: int, need: int, part: re.Pattern) -> tuple[str, int]:
-    """The next ``need`` characters of an encoding, over line ends, or fewer if it ends before; and the place behind them."""
-    found = []
-    while need and (m := part.match(text, at, at + need)):
-        found.append(m[0])
-        need, at = need - len(m[0]), m.end()
-        gap = BREAK.match(text, at) if need else None
-        if not gap or not part.match(text, gap.end(), gap.end() + 1):
-            break
-        at = gap.end()
-    return "".join(found), at
-
-
-def _key_at(text: str, at: int, base: int) -> tuple[str, int] | None:
-    """Kind and end of the key that begins at a place in base64 or hex (``base`` 64 or 16), if one does."""
-    part = BASE64_PART if base == 64 else HEX_PART
-    end = at
-
-    def read(n: int) -> bytes:
-        nonlocal end
-        if n > len(text) - at:
-            return b""
-        found, end = _encoded(text, at, -(-n * 4 // 3) if base == 64 else 2 * n, part)
-        raw = _unbase64(found.translate(URL_SAFE)) if base == 64 else bytes.fromhex(found[: len(found) // 2 * 2])
-        return (raw or b"")[:n]
-
-    head = read(6)
-    if len(head) < 6:
-        return None
-    if head[0] == 0x30:
-        k = head[1] & 0x7F if head[1] & 0x80 else 0
-        data = read(2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1]))
-        kind = "der" if is_private_der(data) else None
-    else:
-        kind = "ssh" if _ssh_length(read) else None
-    if not kind:
-        return None
-    return kind, (re.compile("={0,2}").match(text, end).end() if base == 64 else end)
+class _Run:
+    """Characters of an encoding from a place on, over line ends, with what they decode to from each alignment."""
+
+    def __init__(self, text: str, at: int, base: int):
+        part = BASE64_PART if base == 64 else HEX_PART
+        self.base, self.group, self.bytes = base, *((4, 3) if base == 64 else (2, 1))
+        self.places, self.before, found, n = [], [], [], 0
+        while m := part.match(text, at):
+            self.places.append(at)
+            self.before.append(n)
+            found.append(m[0])
+            n, at = n + len(m[0]), m.end()
+            gap = BREAK.match(text, at)
+            if not gap or not part.match(text, gap.end(), gap.end() + 1):
+                break
+            at = gap.end()
+        self.end, self.characters, self.decoded = at, "".join(found).translate(URL_SAFE), {}
+
+    def key(self, place: int) -> tuple[str, int] | None:
+        """Kind of the key that begins at a place of the text, if one does, and the place behind it."""
+        k = bisect_right(self.places, place) - 1
+        i = self.before[k] + place - self.places[k]
+        a = i % self.group
+        if a not in self.decoded:
+            rest = self.characters[a:]
+            whole = rest[: len(rest) - (len(rest) % self.group == 1)]
+            self.decoded[a] = (_unbase64(whole) or b"") if self.base == 64 else bytes.fromhex(whole)
+        data, at = self.decoded[a], (i - a) // self.group * self.bytes
+        der, ssh = der_length(data, at), ssh_length(data, at)
+        if not der and not ssh:
+            return None
+        last = i + -(-(der or ssh) * self.group // self.bytes) - 1
+        k = bisect_right(self.before, last) - 1
+        return "der" if der else "ssh", self.places[k] + last - self.before[k] + 1
 
 
 def _bare_keys(text: str, inside: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    inside = sorted(inside)
     for start, base in ((BASE64_START, 64), (HEX_START, 16)):
-        at = 0
+        at, run = 0, None
         while m := start.search(text, at):
             at = m.start() + 1
-            if not any(a <= m.start() < b for a, b in inside) and (found := _key_at(text, m.start(), base)):
-                yield found[0], m.start(), found[1]
-                at = found[1]
+            k = bisect_right(inside, (m.start(), len(text))) - 1
+            if k >= 0 and m.start() < inside[k][1]:
+                continue
+            if run is None or m.start() >= run.end:
+                run = _Run(text, m.start(), base)
+            if found := run.key(m.start()):
+                kind, end = found
+                at = PADDING.match(text, end).end() if base == 64 else end
+                yield kind, m.start(), at
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:

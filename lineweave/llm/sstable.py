@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lineweave.llm.common import BYTES, cut, mixed, powers, shared_dir, slices, small_batches, texts
+from lineweave.llm.common import BYTES, cut, run_hashes, shared_dir, slices, small_batches, texts
 from lineweave.llm.mixing import SMALL
 
 END_ID = 2
@@ -123,9 +123,7 @@ class _Encoder:
     def _find(self, raw: bytes, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each pre-token begin in ``ids``, and their count; with ``starts`` comes the end."""
         sizes = np.diff(starts)
-        up, _ = powers(int(sizes.max(initial=0)) + 1)
-        place = np.arange(len(data)) - np.repeat(starts[:-1], sizes)
-        hashes = mixed(np.add.reduceat(BYTES[data] * up[place], starts[:-1]) + sizes.astype(np.uint64))
+        hashes = run_hashes(BYTES[data], starts[:-1], sizes)
         distinct, first, of = np.unique(hashes, return_index=True, return_inverse=True)
         where = np.searchsorted(self.keys, distinct)
         new = np.append(self.keys, np.uint64(0))[where] != distinct

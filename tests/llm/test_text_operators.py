@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -17,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lineweave.llm import bpe, chat, common, langid, media, mixing, quality, queries, secrets, sstable
+from lineweave.llm import bpe, chat, common, jaccard, langid, media, mixing, quality, queries, secrets, sstable
 from lineweave.operators import tables
 
 #: Null ids and texts, repeated rows, an extra column whose name an operator uses inside.
@@ -64,12 +65,55 @@ def test_chat_ties_nulls_and_empty(spark):
     found = formatted(spark, [(None, 1, "user", "b"), (None, 1, "user", "a"), (None, None, "user", "c"), (7, 1, "user", "x"), (7, 1, "user", "x")])
     assert [t["text"] for t in found[None]["turns"]] == ["c", "a", "b"]
     assert [t["text"] for t in found[7]["turns"]] == ["x", "x"]
-    assert formatted(spark, []) == {} if False else spark.createDataFrame([], "conv_id long, turn long, role string, text string").transform(chat.format_conversations).count() == 0
+    assert formatted(spark, []) == {}
 
 
 # ---- secrets ----------------------------------------------------------------------------------------------------
 
 
+def seconds(f, *args):
+    began = time.process_time()
+    f(*args)
+    return time.process_time() - began
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        base64.b64encode(bytes.fromhex("3082fff0020100")).decode() * 90_000, "MIIEowIBAAKC" * 90_000, "MIIEowIBAAKC\n" * 80_000, "3082fff0020100" * 70_000, base64.b64encode(secrets.SSH_MAGIC + b"\0\0\0\4none" * 2).decode() * 30_000,
+        "eyJ" * 350_000 + ".eyJ9.x", base64.urlsafe_b64encode(b'{"a":' * 200_000).decode() + ".e30.x", base64.urlsafe_b64encode(b'{"alg' * 150_000).decode() + ".e30.x", ("eyJhIjoi" * 100_000).rstrip() + ".e30.x", "eyJ.e30." * 120_000,
+        "-----BEGIN PRIVATE KEY-----" * 30_000, "\\" * 1_000_000,
+    ],
+)
+def test_long_hostile_texts_take_time_in_proportion(text):
+    assert seconds(secrets.find_secrets, text) < 5
+
+
+def slow_headers(head):
+    """Where a header begins, by decoding every suffix."""
+    for i in range(len(head)):
+        if head.startswith("eyJ", i):
+            try:
+                found = json.loads(base64.urlsafe_b64decode(head[i:] + "=" * (-len(head[i:]) % 4)))
+            except ValueError:
+                continue
+            if isinstance(found, dict) and isinstance(found.get("alg"), str):
+                return i
+    return None
+
+
+def test_headers_as_by_decoding_every_suffix():
+    rng = random.Random(3)
+    code = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    bits = [b'{"alg":"x"}', b'{"', b'{"a":{"alg":"y"}', b'"', b"}", b'{"b":"{', b" ", b"\\", b'\\"', b'{"c":[1,{"alg":"z"}', b"]}", "é".encode(), b"\n"]
+    found = 0
+    for _ in range(4000):
+        head = "x" * rng.randint(0, 5) + code(b"".join(rng.choice(bits) for _ in range(rng.randint(1, 6)))) + rng.choice(["", "", code(b'{"alg":"w"}')])
+        found += slow_headers(head) is not None
+        assert secrets._header_start(head) == slow_headers(head), head
+    assert found > 400
+
+
 def der(*parts, tag=0x30):
     body = b"".join(parts)
     size = bytes([len(body)]) if len(body) < 128 else bytes([0x82, len(body) >> 8, len(body) & 255])
@@ -556,3 +600,50 @@ def test_schedule_takes_each_slot_once_and_evenly(spark):
     for i, r in enumerate(slots[:800]):
         seen += r["sid"] == 2
         assert abs(seen - share * (i + 1)) <= 4
+
+
+# ---- words that a polynomial hash can't tell apart --------------------------------------------------------------
+
+
+def thue_morse(n):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_of_one_polynomial_hash_stay_apart(spark, n):
+    a, b = thue_morse(n)
+    encoder = sstable._Encoder(P.path("byte_bpe_50k.json"))
+    want = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for batch in ([a, b], [f"x {a} {b} y", b, a]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder(batch)] == [want.encode(t, add_special_tokens=False).ids for t in batch]
+    docs = spark.createDataFrame([(1, f"{a} x y"), (2, f"{b} x y"), (3, f"{a} x y")], "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in jaccard.near_duplicates(docs, n=3, percent=90).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(["½", "²³", "①②", "Ⅷ", "3_4", "a½", "漢", None, "", "word " * 9])], "doc_id long, text string, lang string")
+    model = langid.train(docs, sample=10)
+    got = [r["lang_pred"] for r in langid.predict(docs, model).orderBy("id").collect()]
+    assert got == ["und"] * 5 + ["en", "en", "und", "und", "en"]
+
+
+def test_long_words_are_fitted_whole():
+    path = P.path("piece_bpe_32k.model")
+    rng = random.Random(2)
+    words = ["▁" + "".join(rng.choice("etaoinxq") for _ in range(n)) for n in (3, 9, 40, 63)]
+    _, size = langid.pieces(path)
+    probability = np.full(size, 1 / size)
+    for w in words:
+        lattice = langid.Lattice([w], path)
+        weight = lattice.weights(probability)
+        there, back = lattice.forward(weight), lattice.backward(weight)
+        share = there[0, lattice.start] * weight * back[0, lattice.end] / there[0, len(w)]
+        want = np.bincount(lattice.piece[lattice.piece >= 0], share[lattice.piece >= 0], size)
+        got = np.zeros(size)
+        for x, n in langid.expected_pieces(w, probability, path).items():
+            got[x] = n
+        assert np.allclose(got, want, rtol=1e-9, atol=1e-12)
+    long = "".join(rng.choice("etaoin") for _ in range(3000))
+    assert langid.fit({"▁" + long: 2}, path).max() > 1 / size
