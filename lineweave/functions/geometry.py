@@ -69,6 +69,11 @@ def length(edges_: Column) -> Column:
     return F.aggregate(edges_, F.lit(0.0), lambda s, e: s + e["len"])
 
 
+def path_length(parts: Column) -> Column:
+    """Length of a line, all parts together."""
+    return F.aggregate(sides(parts), F.lit(0.0), lambda s, e: s + F.sqrt((e["x2"] - e["x1"]) * (e["x2"] - e["x1"]) + (e["y2"] - e["y1"]) * (e["y2"] - e["y1"])))
+
+
 def along(edges_: Column, d: Column) -> Column:
     """The point at a distance along a line, kept between its ends."""
     hit = F.coalesce(F.get(F.filter(edges_, lambda e: e["at"] + e["len"] >= d), F.lit(0)), F.try_element_at(edges_, F.lit(-1)))
