@@ -13,6 +13,7 @@ from lineweave.operators.numbering import numbered, numbered_within
 from lineweave.operators.polygons import points_in
 from lineweave.operators.quantiles import quantiles
 from lineweave.operators.repair import repair
+from lineweave.operators.transects import polygon_stretches
 from lineweave.plans.exchange import place
 from lineweave.plans.registry import query, table
 from lineweave.plans.streets import street_grid
@@ -141,3 +142,28 @@ def dense_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = numbered(orders, [F.asc("o_orderpriority"), *order], "no")
     rows, _ = numbered_within(rows, ["o_orderpriority"], order, "no_within")
     return rows.select("o_orderkey", (F.col("no") + 1).alias("no"), (F.col("no_within") + 1).alias("no_within"))
+
+
+# ---- transects along edges ---------------------------------------------------------------------------------------
+
+
+@query(
+    """with m as (select l_orderkey, l_linenumber, min(l_partkey) % 5 as side, min(l_suppkey) % 20 as s, min(l_quantity) as q from lineitem group by all),
+    l as (select l_orderkey, l_linenumber, side, 30.0::double + s as a, 60.0::double + s + q as b from m)
+    select l_orderkey, l_linenumber, if(side < 4, a, null) as s_lo, if(side < 4, b, null) as s_hi from l"""
+)
+def closed_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transects through lots, along their left or right edge, along a notch in them, and just beside them."""
+    least = (F.min(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_quantity"))
+    l = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*least)  # noqa: E741
+    k = F.col("l_orderkey")
+    x, y = (k % 1000) * 1000.0 + F.col("l_linenumber") * 100.0, F.floor(k / 1000) * 1000.0
+    side, a, b = F.col("l_partkey") % 5, 30.0 + F.col("l_suppkey") % 20, 60.0 + F.col("l_suppkey") % 20 + F.col("l_quantity")
+    w, e = F.element_at(F.array(F.lit(-20.0), F.lit(0.0), F.lit(-40.0), F.lit(-20.0), F.lit(1.0)), (side + 1).cast("int")), F.lit(40.0)
+    at = lambda *p: F.array(*(G.point(x + dx, y + dy) for dx, dy in p))
+    plain = at((w, a), (w + e, a), (w + e, b), (w, b), (w, a))
+    # From below up to its middle a notch takes the right half away, so the transect runs along the notch and then through.
+    notch = at((w, a), (F.lit(0.0), a), (F.lit(0.0), (a + b) / 2), (w + e, (a + b) / 2), (w + e, b), (w, b), (w, a))
+    rows = l.select("l_orderkey", "l_linenumber", x.alias("cx"), y.alias("cy"), F.lit(0.0).alias("ux"), F.lit(1.0).alias("uy"), F.lit(250.0).alias("half"), F.array(F.when(side == 3, notch).otherwise(plain)).alias("g"))
+    found = polygon_stretches(rows.drop("g"), rows.select("g"), "g", ["l_orderkey", "l_linenumber"])
+    return found

@@ -417,19 +417,19 @@ def within_distance_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey").join(near, "c_custkey", "left").withColumn("near", known(F.col("near")))
 
 
-@query(
-    """with p as (select p_partkey, p_retailprice from part order by md5(p_partkey::varchar || '42'), p_partkey limit 400)
-    select p_partkey, round(min(abs(p_retailprice * 3 - s_acctbal)), 6) as d from p join supplier on abs(p_retailprice * 3 - s_acctbal) <= 200 group by 1"""
-)
+@query("select p_partkey, round(min(abs(p_retailprice * 3 - s_acctbal)), 6) as d from part join supplier on abs(p_retailprice * 3 - s_acctbal) <= 200 group by 1")
 def min_distance_to_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _distance_to_suppliers(spark, sf_dir, sampled(table(spark, sf_dir, "part"), "p_partkey", 400))
+    return _distance_to_suppliers(spark, sf_dir, table(spark, sf_dir, "part"))
 
 
 @query(
-    """select p_partkey, round(min(abs(p_retailprice * 3 - s_acctbal)), 6) as d from part join supplier on abs(p_retailprice * 3 - s_acctbal) <= 200 group by 1"""
+    """with a as (select p_partkey, p_retailprice * 3 as x, s_acctbal as y from part asof left join supplier on s_acctbal <= p_retailprice * 3),
+    b as (select p_partkey, p_retailprice * 3 as x, s_acctbal as y from part asof left join supplier on s_acctbal >= p_retailprice * 3),
+    n as (select p_partkey, list_min([abs(a.x - a.y), abs(b.x - b.y)]) as d from a join b using (p_partkey))
+    select p_partkey, round(d, 6) as d from n where d <= 200"""
 )
 def min_distance_to_set_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _distance_to_suppliers(spark, sf_dir, table(spark, sf_dir, "part"))
+    return min_distance_to_set(spark, sf_dir)
 
 
 def _distance_to_suppliers(spark: SparkSession, sf_dir: str, parts: DataFrame) -> DataFrame:

@@ -7,10 +7,12 @@ behind the scan; a feature per line is split like any text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lineweave.operators.numbering import numbered
+
 _POINT, _LINE, _PARTS, _MANY = "array<double>", "array<array<double>>", "array<array<array<double>>>", "array<array<array<array<double>>>>"
 
 
@@ -81,13 +83,17 @@ def write_lines(df: DataFrame, path: str, kind: Column, g: str, properties: list
     df.select(feature(kind, F.col(g), properties, places).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_collection(df: DataFrame, path: str, kind: Column, g: str, properties: list[str], order: list[str], places: int | None = None) -> None:
-    """One FeatureCollection in one file, in order. One task writes the file line by line, so it holds a feature at a time."""
-    # All rows but the first have a comma before them; the first and last lines of the file are rows of their own.
-    rows = df.select(*(F.col(c).alias(f"_{k}") for k, c in enumerate(order)), feature(kind, F.col(g), properties, places).alias("value"))
-    by = [f"_{k}" for k in range(len(order))]
-    later = F.lag(F.lit(1)).over(Window.orderBy(*by)).isNotNull()
-    rows = rows.withColumn("value", F.concat(F.when(later, ",").otherwise(""), "value")).withColumn("_line", F.lit(1))
-    ends = df.sparkSession.createDataFrame([(0, '{"type":"FeatureCollection","features":['), (2, "]}")], "_line int, value string")
-    lines = rows.unionByName(ends, allowMissingColumns=True).coalesce(1).sortWithinPartitions("_line", *by)
-    lines.select("value").write.mode("overwrite").text(path)
+def write_collection(df: DataFrame, path: str, kind: Column, g: str, properties: list[str], order: list[str], places: int | None = None, files: int | None = 1) -> None:
+    """One FeatureCollection in order: one file, or several parts that are one when put one after another in the order of their names.
+
+    Features are numbered by ranges, so only the writing of a single file is left to one task, which holds a feature at a
+    time. ``files=None`` leaves their number to Spark.
+    """
+    by = [F.col(c).alias(f"_{k}") for k, c in enumerate(order)]
+    rows, _ = numbered(df.select(*by, feature(kind, F.col(g), properties, places).alias("value")), [f"_{k}" for k in range(len(order))], "_line")
+    # All features but the first have a comma before them; the first and last lines are rows of their own.
+    rows = rows.select("_line", F.concat(F.when(F.col("_line") > 0, ",").otherwise(""), "value").alias("value"))
+    ends = df.sparkSession.createDataFrame([(-1, '{"type":"FeatureCollection","features":['), ((1 << 62), "]}")], "_line long, value string")
+    lines = rows.unionByName(ends)
+    lines = lines.coalesce(1) if files == 1 else lines.repartitionByRange(files, "_line") if files else lines.repartitionByRange("_line")
+    lines.sortWithinPartitions("_line").select("value").write.mode("overwrite").text(path)

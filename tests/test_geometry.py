@@ -1,5 +1,8 @@
 """The hand-computed cases of the geometry kernel: a street from (0, 0) to (500, 0), its station at x = 250."""
 
+import math
+import random
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 from lineweave.functions import geometry as G
 from lineweave.functions.simplify import keep_points
 from lineweave.operators import graph
+from lineweave.operators import transects as X
 from lineweave.plans import streets
 
 
@@ -94,3 +98,69 @@ def test_dropped_points_are_near_the_line_kept(points, tolerance):
         for p in xy[a + 1 : b] - xy[a]:
             t = np.clip(p @ d / (d @ d), 0, 1) if d @ d else 0
             assert np.hypot(*(p - t * d)) <= tolerance + 1e-9
+
+
+def stations_of(spark, rows):
+    return spark.createDataFrame([(k, *map(float, r)) for k, r in enumerate(rows)], "id int, cx double, cy double, ux double, uy double, half double")
+
+
+def test_stations_in_tiles_meet_what_brute_force_meets(spark):
+    rng = random.Random(7)
+    angle = [rng.uniform(0, 6.283) for _ in range(150)]
+    rows = [(rng.uniform(-900, 900), rng.uniform(-900, 900), math.cos(t), math.sin(t), rng.uniform(5, 400)) for t in angle]
+    rows += [(0, 0, 1, 0, 100), (5, 5, 0, 1, 0), (1e5, 1e5, 1, 0, 50)]
+    lines = []
+    for k in range(60):
+        x, y = rng.uniform(-900, 900), rng.uniform(-900, 900)
+        lines.append((k, [(x + rng.uniform(-300, 300) * j, y + rng.uniform(-300, 300) * j) for j in range(rng.randint(2, 5))]))
+    lines += [(60, [(-50.0, 7.0), (50.0, 7.0)]), (61, [(30.0, -5.0), (30.0, 5.0)]), (62, [(30.0, -9.0), (30.0, 9.0)]), (63, [(-20.0, 0.0), (-10.0, 0.0)])]
+    df = spark.createDataFrame([(k, [[{"x": x, "y": y} for x, y in p]]) for k, p in lines], f"by int, g {G.PARTS}")
+    want = {}
+    for i, (cx, cy, ux, uy, half) in enumerate(rows):
+        best = {1: None, -1: None}
+        for k, p in lines:
+            for (x1, y1), (x2, y2) in zip(p, p[1:]):
+                a, b = ux * (y1 - cy) - uy * (x1 - cx), ux * (y2 - cy) - uy * (x2 - cx)
+                if a * b <= 0 and a != b:
+                    t = a / (a - b)
+                    s = (x1 + t * (x2 - x1) - cx) * ux + (y1 + t * (y2 - y1) - cy) * uy
+                    sign = 1 if s > 0 else -1
+                    if 0.5 < abs(s) <= half and (best[sign] is None or (abs(s), k) < best[sign]):
+                        best[sign] = (abs(s), k)
+        want[i] = (best[1], best[-1])
+    for tile, group in ((2000.0, 50_000), (150.0, 40), (300.0, 3)):
+        found = X.nearest_lines(stations_of(spark, rows), df, "by", "g", 0.5, 70.0, tile, group).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            for (name, sign), best in zip((("right", 1), ("left", -1)), want[r["id"]]):
+                assert r[f"{name}_by"] == (best and best[1])
+                assert r[f"{name}_ft"] == (pytest.approx(sign * best[0]) if best else None)
+    assert X.nearest_lines(stations_of(spark, rows), df.limit(0), "by", "g", 0.5).where("right_ft is null and left_by is null").count() == len(rows)
+    assert X.nearest_lines(stations_of(spark, rows).limit(0), df, "by", "g", 0.5).count() == 0
+
+
+def test_polygons_are_closed_and_met_once(spark):
+    square = lambda x0, y0, x1, y1: [[{"x": float(x), "y": float(y)} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]]
+    rows = [(250, 0, 0, 1, 250)]
+    for lot in (square(250, 30, 300, 130), square(200, 30, 250, 130), square(200, 30, 300, 130)):
+        lots = spark.createDataFrame([(lot,)], f"g {G.PARTS}")
+        assert [(r["s_lo"], r["s_hi"]) for r in X.polygon_stretches(stations_of(spark, rows), lots, "g", ["id"]).collect()] == [(30.0, 130.0)]
+    many = spark.createDataFrame([(square(200 + k, -500, 300, 500),) for k in range(7)] + [(None,)], f"g {G.PARTS}")
+    for tile, group in ((2000.0, 50_000), (40.0, 1)):
+        r = X.polygon_edges(stations_of(spark, rows * 5), many, "g", 30.0, tile, group).collect()
+        assert [x["straddling"] for x in r] == [7] * 5
+    holed = [square(0, -100, 10, 100)[0], square(2, -20, 8, 20)[0]]
+    lots = spark.createDataFrame([(holed,), (square(0, 120, 10, 130),)], f"g {G.PARTS}")
+    r = X.polygon_edges(stations_of(spark, [(5, 0, 0, 1, 110), (50, 0, 0, 1, 110)]), lots, "g").orderBy("id").collect()
+    assert [(x["left_edge"], x["right_edge"], x["straddling"]) for x in r] == [(-20.0, 20.0, 0), (None, None, 0)]
+
+
+def test_stations_lie_along_their_lines(spark):
+    lines = [(1, [[(0, 0), (10, 0), (10, 0), (10, 20)]]), (2, [[(0, 0), (4, 0)], [(4, 0), (4, 3)]]), (3, [[(5, 5), (5, 5)]]), (4, [[(0, 0), (6, 0), (0, 0)]])]
+    df = spark.createDataFrame([(k, [[{"x": float(x), "y": float(y)} for x, y in p] for p in g]) for k, g in lines], f"id int, g {G.PARTS}")
+    size = G.path_length(F.col("g"))
+    got = [(r["id"], r["sample_no"], r["cx"], r["cy"], round(r["ux"], 9), round(r["uy"], 9)) for r in X.stations_along(df, "g", F.lit(0.0), size, F.lit(4), 1.0, ["id"]).orderBy("id", "sample_no").collect()]
+    half = round(math.sqrt(0.5), 9)
+    assert got[:4] == [(1, 0, 0.0, 0.0, 0.0, 1.0), (1, 1, 10.0, 0.0, -half, half), (1, 2, 10.0, 10.0, -1.0, 0.0), (1, 3, 10.0, 20.0, -1.0, 0.0)]
+    assert [g[2:4] for g in got if g[0] == 2] == [(0.0, 0.0), (pytest.approx(7 / 3), 0.0), (4.0, pytest.approx(2 / 3)), (4.0, 3.0)]
+    assert not [g for g in got if g[0] == 3] and len([g for g in got if g[0] == 4]) == 4
