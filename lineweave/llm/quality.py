@@ -6,7 +6,9 @@ that into ``HIDDEN`` values. Gated attention, learned with it from document labe
 logistic unit scores the weighted sum.
 
 The model is fitted on a bounded sample of labelled documents (``SAMPLE``, the smallest by a hash of their id; of rows with
-one id the text with the smallest hash) and of ``TAUGHT`` evenly spread passages of each at most. All passages are scored.
+one id the text with the smallest hash), on all passages of each. Their bags stay in workers, about ``PART`` documents in a
+task: in each round every task descends from the common weights over its own documents, and the driver averages the weights,
+a few thousand numbers, by the counts of documents.
 
 Defined cases: null and empty texts are one passage without words and get a score like any other; rows may repeat and ids
 be null (then the empty string decides the fold), every row gives a row; labels that are null or whose document is
@@ -16,18 +18,20 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.llm.common import mixed, shingle_hashes, slices, small_batches, word_hashes
+from lineweave.llm.common import cut, mixed, shingle_hashes, slices, small_batches, word_hashes
 from lineweave.llm.langid import fold
+from lineweave.operators import tables
 
 PASSAGE, BAG, HIDDEN = 64, 64, 24
-SAMPLE, TAUGHT = 6_000, 64  #: documents that a model is fitted on, and passages of each, at most
+SAMPLE, PART = 6_000, 1_000  #: documents that a model is fitted on at most, and of a task, about
+ROUNDS, EPOCHS = 10, 4  #: of averaging, and of descent in each
 THRESHOLD = 0.3
 
 # Byte classes: lower case, upper case, digit, space, line feed, each common sign, other signs, other bytes.
@@ -111,30 +115,30 @@ def gradients(m: dict[str, np.ndarray], x: np.ndarray, at: np.ndarray, y: np.nda
     return {"W": x.T @ du, "b": du.sum(axis=0), "V": f["h"].T @ dt, "U": f["h"].T @ dg, "w": (f["t"] * f["g"]).T @ de, "c": f["z"].T @ dp, "d": dp.sum(axis=0)}
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray, rounds: int = 40, rate: float = 3e-3, decay: float = 1e-4, batch: int = 64, seed: int = 3) -> dict[str, np.ndarray]:
-    """The model's arrays, with the mean and scale of each input."""
-    y = np.asarray(labels, dtype=np.float32)
-    rest = {"share": np.array([y.mean() if len(y) else 1.0])}
-    if len(set(y.tolist())) < 2:
-        return rest
-    every = np.concatenate(bags)
-    rest |= {"mean": every.mean(axis=0), "scale": 1 / (every.std(axis=0) + 1e-2)}
-    bags = [((b - rest["mean"]) * rest["scale"]).astype(np.float32) for b in bags]
-    rng = np.random.default_rng(seed)
-    m = _start(rng)
-    one, two, n = {k: 0 * v for k, v in m.items()}, {k: 0 * v for k, v in m.items()}, 0
-    for epoch in range(rounds):
-        order = rng.permutation(len(bags))
-        step = rate * (1 - epoch / rounds) + rate * 0.02
+Weights = dict[str, np.ndarray]
+
+
+def _fresh(seed: int = 3) -> list[Weights]:
+    """The weights to begin with, and the two moments of their gradients."""
+    m = _start(np.random.default_rng(seed))
+    return [m, {k: 0 * v for k, v in m.items()}, {k: 0 * v for k, v in m.items()}]
+
+
+def descend(state: list[Weights], bags: list[np.ndarray], y: np.ndarray, epochs: range, steps: int, rate: float = 3e-3, decay: float = 1e-4, batch: int = 64) -> tuple[list[Weights], int]:
+    """Weights and moments after some epochs over scaled bags, and the count of steps, of which ``steps`` were made before."""
+    m, one, two = ({k: v.copy() for k, v in part.items()} for part in state)
+    for epoch in epochs:
+        order = np.random.default_rng(epoch).permutation(len(bags))
+        step = rate * (1 - epoch / (ROUNDS * EPOCHS)) + rate * 0.02
         for a in range(0, len(order), batch):
             mine = order[a : a + batch]
             at = np.cumsum([0, *(len(bags[i]) for i in mine)])[:-1]
-            n += 1
+            steps += 1
             for k, g in gradients(m, np.concatenate([bags[i] for i in mine]), at, y[mine]).items():
                 g = g + decay * m[k]
                 one[k], two[k] = 0.9 * one[k] + 0.1 * g, 0.999 * two[k] + 0.001 * g * g
-                m[k] = (m[k] - step * (one[k] / (1 - 0.9**n)) / (np.sqrt(two[k] / (1 - 0.999**n)) + 1e-8)).astype(np.float32)
-    return m | rest
+                m[k] = (m[k] - step * (one[k] / (1 - 0.9**steps)) / (np.sqrt(two[k] / (1 - 0.999**steps)) + 1e-8)).astype(np.float32)
+    return [m, one, two], steps
 
 
 def score(m: dict[str, np.ndarray], bags: list[np.ndarray]) -> np.ndarray:
@@ -148,22 +152,77 @@ def _bags(batch: pa.RecordBatch, column: str = "text") -> list[np.ndarray]:
     return [passages(np.frombuffer((t or "").encode(), dtype=np.uint8)) for t in batch.column(column).to_pylist()]
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> dict[str, np.ndarray]:
+def _packed(state: list[Weights]) -> bytes:
+    return b"".join(part[k].astype("<f4").tobytes() for part in state for k in sorted(part))
+
+
+def _averaged(found: list[tuple[int, bytes]], like: list[Weights]) -> list[Weights]:
+    """The mean of packed states, by counts."""
+    counts = np.array([n for n, _ in found], dtype=float)
+    mean = counts @ np.stack([np.frombuffer(x, "<f4") for _, x in found]) / counts.sum()
+    out, at = [], 0
+    for part in like:
+        out.append({})
+        for k in sorted(part):
+            out[-1][k] = mean[at : at + part[k].size].reshape(part[k].shape).astype(np.float32)
+            at += part[k].size
+    return out
+
+
+def _matrices(part: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype="<f2").astype(np.float32).reshape(-1, WIDTH) for x in part.column("x").to_pylist()]
+
+
+def _round(state: list[Weights], steps: int, epochs: range, mean: np.ndarray, scale: np.ndarray) -> Callable[[pa.Table], pa.Table]:
+    """What a task does in a round: it descends from the common state over its own documents."""
+
+    def run(part: pa.Table) -> pa.Table:
+        part = part.sort_by("id")
+        bags = [(b - mean) * scale for b in _matrices(part)]
+        after, done = descend(state, bags, part.column("y").to_numpy().astype(np.float32), epochs, steps)
+        return pa.table({"part": [part.column("part")[0].as_py()], "n": [len(bags)], "steps": [done], "state": [_packed(after)]})
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Weights:
     """Fits on at most ``sample`` of the labelled documents given."""
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y is not null")
-    known = known.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
+    known = cut(known.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample))
+    groups = max(1, -(-known.count() // PART))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            some = [b[np.linspace(0, len(b) - 1, min(len(b), TAUGHT)).astype(int)].astype("<f2").tobytes() for b in _bags(batch)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "y", "h")), pa.array(some, pa.binary())], names=["id", "y", "h", "x"])
+            whole = [b.astype("<f2").tobytes() for b in _bags(batch)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "y", "h")), pa.array(whole, pa.binary())], names=["id", "y", "h", "x"])
 
     rows = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id")
     kind = rows.schema["id"].dataType.simpleString()
     coded = rows.select("id", "y", F.xxhash64("text").alias("h"), "text").mapInArrow(encode, f"id {kind}, y int, h long, x binary")
-    found = coded.groupBy("id").agg(F.min_by(F.struct("y", "x"), "h").alias("r")).select("id", "r.*").toArrow().sort_by([("id", "ascending")])
-    bags = [np.frombuffer(x, dtype="<f2").astype(np.float32).reshape(-1, WIDTH) for x in found.column("x").to_pylist()]
-    return fit(bags, np.array(found.column("y").to_pylist()))
+    taught = coded.groupBy("id").agg(F.min_by(F.struct("y", "x"), "h").alias("r")).select("id", "r.*", F.pmod(F.xxhash64("id"), F.lit(groups)).alias("part"))
+    taught, path = tables.written(taught, "bags")
+
+    def sums(part: pa.Table) -> pa.Table:
+        every = np.concatenate(_matrices(part.sort_by("id"))).astype(float)
+        y = part.column("y").to_numpy()
+        total = np.stack((every.sum(axis=0), (every**2).sum(axis=0)))
+        return pa.table({"part": [part.column("part")[0].as_py()], "n": [len(y)], "ones": [int(y.sum())], "passages": [len(every)], "total": [total.tobytes()]})
+
+    found = sorted(taught.groupBy("part").applyInArrow(sums, "part long, n long, ones long, passages long, total binary").collect(), key=lambda r: r["part"])
+    n, ones = (sum(r[c] for r in found) for c in ("n", "ones"))
+    rest = {"share": np.array([ones / n if n else 1.0], dtype=np.float32)}
+    if 0 < ones < n:
+        passages_ = sum(r["passages"] for r in found)
+        mean, square = sum(np.frombuffer(r["total"]).reshape(2, -1) for r in found) / passages_
+        rest |= {"mean": mean.astype(np.float32), "scale": (1 / (np.sqrt(np.maximum(square - mean**2, 0)) + 1e-2)).astype(np.float32)}
+        state, steps = _fresh(), 0
+        for k in range(ROUNDS):
+            run = _round(state, steps, range(k * EPOCHS, (k + 1) * EPOCHS), rest["mean"], rest["scale"])
+            found = sorted(taught.groupBy("part").applyInArrow(run, "part long, n long, steps long, state binary").collect(), key=lambda r: r["part"])
+            state, steps = _averaged([(r["n"], r["state"]) for r in found], state), max(r["steps"] for r in found)
+        rest |= state[0]
+    tables.remove(path)
+    return rest
 
 
 def predict(docs: DataFrame, model: dict[str, np.ndarray], doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -647,3 +647,56 @@ def test_long_words_are_fitted_whole():
         assert np.allclose(got, want, rtol=1e-9, atol=1e-12)
     long = "".join(rng.choice("etaoin") for _ in range(3000))
     assert langid.fit({"▁" + long: 2}, path).max() > 1 / size
+
+
+# ---- quality, slowly --------------------------------------------------------------------------------------------
+
+
+def slow_encoding(text):
+    """The encoding of each passage, word by word; hashes of words are those of the fast path."""
+    data = text.encode()
+    words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    hashes = [int(common.word_hashes(np.frombuffer(data[a:b], np.uint8))[2][0]) for a, b in words]
+    n, size = max(1, -(-len(words) // quality.PASSAGE)), quality.PASSAGE
+    out, had = [], set()
+    cuts = [0, *(words[k * size][0] for k in range(1, n)), len(data)] if words else [0, len(data)]
+    for k in range(n):
+        part = data[cuts[k] : cuts[k + 1]]
+        row = [0.0] * quality.WIDTH
+        for byte in part:
+            row[quality._CLASS[byte]] += 1 / len(part)
+        mine, inside = range(k * size, min((k + 1) * size, len(words))), set()
+        for i in mine:
+            a, b = words[i]
+            gram = tuple(hashes[i : i + 3]) if i + 3 <= len(words) or len(words) < 3 else None
+            if len(words) < 3 and i:
+                gram = None
+            flags = [(b - a) / 10, min(b - a, 40) ** 2 / 400, 65 <= data[a] <= 90, i > 0 and hashes[i] == hashes[i - 1], gram in had if gram else False, hashes[i] not in inside, b - a > 15]
+            for f, v in enumerate(flags):
+                row[quality.CLASSES + f] += v / len(mine)
+            row[quality.CLASSES + 8 + hashes[i] % quality.BAG] += 1 / len(mine)
+            inside.add(hashes[i])
+            had |= {gram} - {None}
+        row[quality.CLASSES + 7] = len(mine) / size
+        out.append(row)
+    return np.array(out)
+
+
+def test_passages_and_scores_as_by_slow_code():
+    rng = random.Random(8)
+    texts_ = ["", " \n", "one", "one two", "a b c a b c a b c"] + [" ".join(rng.choice(["the", "The", "é", "x" * 50, "1,2", "cat."]) + rng.choice(["", "\n"]) for _ in range(rng.randint(1, 400))) for _ in range(20)]
+    m = {k: v.astype(np.float64) for k, v in quality._start(np.random.default_rng(1)).items()}
+    whole = m | {"mean": np.full(quality.WIDTH, 0.1), "scale": np.full(quality.WIDTH, 2.0)}
+    bags = [quality.passages(np.frombuffer(t.encode(), np.uint8)) for t in texts_]
+    for t, bag in zip(texts_, bags):
+        assert np.allclose(bag, slow_encoding(t), atol=1e-5), t[:40]
+    for bag, got in zip(bags, quality.score(whole, bags)):
+        hidden, energy = [], []
+        for row in (bag - 0.1) * 2.0:
+            h = [np.tanh(sum(row[i] * m["W"][i, j] for i in range(len(row))) + m["b"][j]) for j in range(quality.HIDDEN)]
+            gate = [np.tanh(np.dot(h, m["V"][:, j])) / (1 + np.exp(-np.dot(h, m["U"][:, j]))) for j in range(quality.HIDDEN)]
+            hidden.append(h)
+            energy.append(np.dot(gate, m["w"][:, 0]))
+        weight = np.exp(np.array(energy)) / np.exp(np.array(energy)).sum()
+        z = weight @ np.array(hidden)
+        assert got == pytest.approx(1 / (1 + np.exp(-(z @ m["c"][:, 0] + m["d"][0]))), abs=1e-4)
