@@ -39,6 +39,7 @@ ROUNDS, PRIOR, UNKNOWN, SMALLEST = 4, 0.05, 1e-7, 1e-280
 LONGEST = 64  #: characters of a word that has a place in a lattice of many words
 CACHED, HELD = 400_000, 32 << 20  #: runs or words that a worker knows, and their characters
 # Letters are what Unicode calls so: of the characters of words without digits and low lines, not fractions, signs and numerals.
+ASCII_LETTERS = re.compile("[A-Za-z]+")
 LETTERS = re.compile("[^\\W\\d_%s]+" % "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()))
 MARK = "▁"
 _SIDE = LONGEST + 1  #: places in a word
@@ -56,7 +57,9 @@ def pieces(path: str) -> tuple[dict[str, int], int]:
 
 def words_of(token: str) -> list[str]:
     """The words in a lower-cased run without white space, marked."""
-    return [MARK + w for w in LETTERS.findall(token)]
+    if token.isalpha():
+        return [MARK + token]
+    return [MARK + w for w in (ASCII_LETTERS if token.isascii() else LETTERS).findall(token)]
 
 
 def edges_of(word: str, path: str) -> list[tuple[int, int, int]]:
