@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from lineweave.operators.numbering import numbered, numbered_within
 from lineweave.operators.polygons import points_in
 from lineweave.operators.quantiles import quantiles
 from lineweave.operators.repair import repair
+from lineweave.operators.stages import Stages
 from lineweave.operators.transects import polygon_stretches
 from lineweave.plans.exchange import place
 from lineweave.plans.registry import query, table
@@ -167,3 +170,31 @@ def closed_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = l.select("l_orderkey", "l_linenumber", x.alias("cx"), y.alias("cy"), F.lit(0.0).alias("ux"), F.lit(1.0).alias("uy"), F.lit(250.0).alias("half"), F.array(F.when(side == 3, notch).otherwise(plain)).alias("g"))
     found = polygon_stretches(rows.drop("g"), rows.select("g"), "g", ["l_orderkey", "l_linenumber"])
     return found
+
+
+# ---- stages ------------------------------------------------------------------------------------------------------
+
+
+@query(
+    """with o as (select o_custkey, count(*) as n, sum(o_totalprice) as s from orders group by 1), c as (select c_nationkey, sum(s) as s from customer join o on c_custkey = o_custkey group by 1),
+    k as (select (select count(*) from o) as per_customer, (select count(*) from c) as per_nation, (select count(distinct n_regionkey) from nation) as regions)
+    select u.run, u.stage, u.made, if(u.stage = 'regions', regions, if(u.stage = 'per_customer', per_customer, per_nation)) as n from k, (values
+        (1, 'per_customer', true), (1, 'per_nation', true), (1, 'regions', true), (2, 'per_customer', false), (2, 'per_nation', false), (2, 'regions', false),
+        (3, 'per_customer', true), (3, 'per_nation', false), (3, 'regions', false), (4, 'per_customer', true), (4, 'per_nation', true), (4, 'regions', false)) u(run, stage, made)"""
+)
+def stale_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs of three stages: new; with nothing changed; with changes in a column that the first stage drops; with other prices."""
+    folder, ran = place(spark, "stages"), []
+    orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    per_customer = lambda o: o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round("o_totalprice", 2).cast("decimal(18,2)")).alias("s"))
+    per_nation = lambda c, o: c.join(o, F.col("c_custkey") == F.col("o_custkey")).groupBy("c_nationkey").agg(F.sum("s").alias("s"))
+    late = orders.withColumn("o_orderdate", F.date_add("o_orderdate", 1))
+    dear = orders.withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(0))
+    for run, changed in enumerate((orders, orders, late, dear), 1):
+        stages = Stages(spark, folder)
+        a = stages.table("per_customer", per_customer, stages.source(changed))
+        b = stages.table("per_nation", per_nation, stages.source(customer), a)
+        c = stages.table("regions", lambda n: n.select("n_regionkey").distinct(), stages.source(nation))
+        for name, t in (("per_customer", a), ("per_nation", b), ("regions", c)):
+            ran.append(t.df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(run).alias("run"), F.lit(name).alias("stage"), F.lit(name in stages.made).alias("made"), "n"))
+    return functools.reduce(DataFrame.unionByName, ran)

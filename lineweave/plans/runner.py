@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,45 +12,50 @@ from lineweave.functions.semantics import any_known, count_where, rnd, tier
 from lineweave.functions.simplify import simplify
 from lineweave.operators import aggregates as A
 from lineweave.operators import graph
+from lineweave.operators.stages import Stages, Table
 from lineweave.plans import city, report, streets
 from lineweave.sources import files, geojson, layers
 
 
-def kept(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFrame:
-    """The table as Parquet below the folder, where later stages and readers find it."""
-    path = f"{folder}/tables/{name}.parquet"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def measure(spark: SparkSession, layer: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Runs all stages over the layers; each table is written once and read by the stages behind it."""
-    keep = lambda name, df: kept(spark, df, folder, name)
-    t: dict[str, DataFrame] = {}
-    seg = t["seg"] = keep("seg", city.city_segments(layer["streets"], layer["boundary"]))
-    pms = t["sections"] = keep("sections", city.city_sections(layer["pms"], layer["boundary"]))
-    widths = t["row_width"] = keep("row_width", streets.row_widths(seg, layer["lots"]))
-    by_street = city.sections_by_street(pms)
-    t["segment"] = keep("segment", city.street_segments(seg, by_street, A.rollup_stations(widths, "seg"), layer["unimproved"]))
-    t["street"] = keep("street", city.street_summary(t["segment"]))
-    members = t["block_member"] = keep("block_member", city.block_members(layer["streets"]))
-    block = t["block"] = keep("block", city.blocks(members, t["segment"], city.block_attributes(members, t["segment"], pms)))
-    t["narrow_block"] = keep("narrow_block", city.narrow_blocks(block))
-    narrow = t["narrow_residential"] = keep("narrow_residential", city.narrow_residential(members, seg, pms, city.residential_segments(seg, layer["zoning"]), block))
-    t["convertible"] = keep("convertible", city.convertible(narrow))
-    widest = by_street.select("localid", F.col("road_max_ft").alias("road_ft"), F.col("pave_ft"))
-    stations = streets.curb_stations(seg.join(widest, "localid", "left"), graph.end_classes(layer["streets"], "seg", "f_node", "t_node"))
-    gaps = t["curb_gap"] = keep("curb_gap", streets.curb_gaps(stations, layer["curbs"]))
-    t["segment_curb"] = keep("segment_curb", streets.curb_profile(gaps, ["seg"]))
-    by_block = streets.curb_profile(gaps.join(members, "seg"), ["block_id"]).join(block.select("block_id", "len_ft"), "block_id")
-    t["block_curb"] = keep("block_curb", by_block)
-    t["edge_line"] = keep("edge_line", city.edge_lines(t["block_curb"]))
-    named = block.select("block_id", "full_name", "functional_class")
-    t["narrowing"] = keep("narrowing", streets.narrowings(gaps).join(members, "seg", "left").join(named, "block_id", "left"))
-    t["curb_offset"] = keep("curb_offset", city.curb_offsets(layer["curbs"].dropDuplicates(["curb"]), seg))
-    t["site"] = keep("site", city.site_blocks(t["convertible"], narrow, block, t["block_curb"]))
-    t["totals"] = city.totals(t["convertible"], narrow, t["narrowing"], block)
-    return t
+    """Runs all stages over the layers. Each table is written once and read by the stages behind it; a second run over the same
+    folder makes only those tables again whose layers have changed."""
+    stages = Stages(spark, f"{folder}/tables")
+    of = {name: stages.source(df) for name, df in layer.items()}
+    t: dict[str, Table] = {}
+
+    def keep(name: str, make: Callable[..., DataFrame], *inputs: Table) -> Table:
+        t[name] = stages.table(name, make, *inputs)
+        return t[name]
+
+    seg = keep("seg", city.city_segments, of["streets"], of["boundary"])
+    pms = keep("sections", city.city_sections, of["pms"], of["boundary"])
+    widths = keep("row_width", streets.row_widths, seg, of["lots"])
+    segment = keep("segment", lambda s, p, w, u: city.street_segments(s, city.sections_by_street(p), A.rollup_stations(w, "seg"), u), seg, pms, widths, of["unimproved"])
+    keep("street", city.street_summary, segment)
+    members = keep("block_member", city.block_members, of["streets"])
+    block = keep("block", lambda m, s, p: city.blocks(m, s, city.block_attributes(m, s, p)), members, segment, pms)
+    keep("narrow_block", city.narrow_blocks, block)
+    narrow = keep("narrow_residential", lambda m, s, p, z, b: city.narrow_residential(m, s, p, city.residential_segments(s, z), b), members, seg, pms, of["zoning"], block)
+    convertible = keep("convertible", city.convertible, narrow)
+
+    def gaps_of(s: DataFrame, p: DataFrame, all_streets: DataFrame, curbs: DataFrame) -> DataFrame:
+        widest = city.sections_by_street(p).select("localid", F.col("road_max_ft").alias("road_ft"), F.col("pave_ft"))
+        ends = graph.end_classes(all_streets, "seg", "f_node", "t_node")
+        return streets.curb_gaps(streets.curb_stations(s.join(widest, "localid", "left"), ends), curbs)
+
+    gaps = keep("curb_gap", gaps_of, seg, pms, of["streets"], of["curbs"])
+    keep("segment_curb", lambda g: streets.curb_profile(g, ["seg"]), gaps)
+    by_block = lambda g, m, b: streets.curb_profile(g.join(m, "seg"), ["block_id"]).join(b.select("block_id", "len_ft"), "block_id")
+    curb = keep("block_curb", by_block, gaps, members, block)
+    keep("edge_line", city.edge_lines, curb)
+    named = lambda b: b.select("block_id", "full_name", "functional_class")
+    narrowing = keep("narrowing", lambda g, m, b: streets.narrowings(g).join(m, "seg", "left").join(named(b), "block_id", "left"), gaps, members, block)
+    keep("curb_offset", lambda c, s: city.curb_offsets(c.dropDuplicates(["curb"]), s), of["curbs"], seg)
+    keep("site", city.site_blocks, convertible, narrow, block, curb)
+    found = {name: table.df for name, table in t.items()}
+    found["totals"] = city.totals(*(x.df for x in (convertible, narrow, narrowing, block)))
+    return found
 
 
 # ---- map layers -------------------------------------------------------------------------------------------------
