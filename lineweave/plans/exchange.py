@@ -28,7 +28,7 @@ STREET = "o_orderkey as seg, (o_orderkey % 100) * 1000 + 100.0::double as x1, fl
 PROPERTIES = T.StructType([T.StructField("seg", T.LongType()), T.StructField("road_ft", T.DoubleType())])
 
 
-def _ends(rows: DataFrame) -> DataFrame:
+def line_ends(rows: DataFrame) -> DataFrame:
     p = lambda k: F.get(F.get("g", F.lit(0)), F.lit(k))
     return rows.select("kind", "seg", "road_ft", p(0)["x"].alias("x1"), p(0)["y"].alias("y1"), p(1)["x"].alias("x2"), p(1)["y"].alias("y2"))
 
@@ -42,7 +42,7 @@ def geojson_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streets written as features on lines, nulls kept, and read back."""
     path = place(spark, "lines")
     geojson.write_lines(street_grid(spark, sf_dir, True), path, F.lit("LineString"), "g", ["seg", "road_ft"])
-    return _ends(geojson.read_lines(spark, path, PROPERTIES))
+    return line_ends(geojson.read_lines(spark, path, PROPERTIES))
 
 
 @query(ENDS)
@@ -50,7 +50,7 @@ def geojson_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streets written as one collection in order and read back."""
     path = place(spark, "collection")
     geojson.write_collection(street_grid(spark, sf_dir, True), path, F.lit("LineString"), "g", ["seg", "road_ft"], ["seg"])
-    return _ends(geojson.read_layer(spark, f"{path}/*.txt", PROPERTIES))
+    return line_ends(geojson.read_layer(spark, f"{path}/*.txt", PROPERTIES))
 
 
 @query("select n_name, n_regionkey, case when n_nationkey % 5 > 0 then n_nationkey / 8 end as part, row_number() over (order by n_regionkey, n_name desc) as line from nation")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 
+from pyarrow.fs import FileSelector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,11 +18,13 @@ from lineweave.operators.quantiles import quantiles
 from lineweave.operators.repair import repair
 from lineweave.operators.stages import Stages
 from lineweave.operators.transects import polygon_stretches
-from lineweave.plans.exchange import place
+from lineweave.plans.exchange import ENDS, PROPERTIES, line_ends, place
 from lineweave.plans.registry import query, table
 from lineweave.plans.streets import street_grid
 from lineweave.sources import geojson
-from lineweave.sources.split import read_split
+from lineweave.sources.geopackage import read_geopackage, write_geopackage
+from lineweave.sources.paged import fetch_pages
+from lineweave.sources.split import read_split, store
 
 # Eight kinds of polygon by order: sound; a bow-tie; a repeated point; a hole that touches its shell in a corner; a spike out
 # and back; a hole as large as its shell; two rings that overlap; a ring that touches itself in a corner.
@@ -198,3 +201,50 @@ def stale_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, t in (("per_customer", a), ("per_nation", b), ("regions", c)):
             ran.append(t.df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(run).alias("run"), F.lit(name).alias("stage"), F.lit(name in stages.made).alias("made"), "n"))
     return functools.reduce(DataFrame.unionByName, ran)
+
+
+# ---- GeoPackage --------------------------------------------------------------------------------------------------
+
+
+@query(
+    f"""select *, b.x2 >= 20000 and b.x1 <= 30000 and greatest(b.y1, b.y2) >= 500 and least(b.y1, b.y2) <= 50000 as in_box from ({ENDS}) b"""
+)
+def geopackage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streets written as GeoPackages, a file for each task, and read back, all and those that the R-tree finds in a box."""
+    path = place(spark, "gpkg")
+    write_geopackage(street_grid(spark, sf_dir, True).repartition(3), path, "street lines", F.lit("LineString"), "g", ["seg", "road_ft"], 2913)
+    ends = lambda box: line_ends(read_geopackage(spark, path, "street lines", PROPERTIES, box))
+    inside = ends((20000.0, 30000.0, 500.0, 50000.0)).select("seg", F.lit(True).alias("in_box"))
+    return ends(None).join(inside, "seg", "left").withColumn("in_box", F.coalesce("in_box", F.lit(False)))
+
+
+# ---- pages -------------------------------------------------------------------------------------------------------
+
+
+@query(
+    """with p as (select o_orderkey % 12 as page, count(*) as n, sum(o_custkey) as customers from orders group by 1)
+    select page, if(page % 5 = 4, 'failed', 'fetched') as state, case page % 5 when 4 then 3 when 3 then 2 else 1 end as tries, if(page % 5 = 4, 'fetched', 'kept') as then_state, n, customers from p"""
+)
+def paged_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a service gives them, in twelve pages, of which some fail once and some until the next call."""
+    served, folder = place(spark, "service"), place(spark, "pages")
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select((key % 12).alias("page"), F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(key.alias("seg"), F.col("o_custkey").alias("road_ft")).alias("properties"))).alias("value"))
+    whole = F.concat(F.lit('{"features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}"))
+    rows.groupBy("page").agg(whole.alias("value")).repartition(1, "page").sortWithinPartitions("page").write.partitionBy("page").text(served)
+
+    def ask(down: bool):
+        def fetch(page: int, attempt: int) -> bytes:
+            if page % 5 == 4 and down or page % 5 == 3 and attempt == 0:
+                raise OSError("the service is down")
+            system, root = store(served)
+            name = next(f.path for f in system.get_file_info(FileSelector(f"{root}/page={page}")) if f.base_name.startswith("part"))
+            with system.open_input_file(name) as f:
+                return f.read()
+
+        return fetch
+
+    first = fetch_pages(spark, 12, ask(True), folder, wait=0.01).select("page", "state", "tries")
+    then = fetch_pages(spark, 12, ask(False), folder, wait=0.01).select("page", F.col("state").alias("then_state"))
+    read = read_split(spark, folder, PROPERTIES).groupBy((F.col("seg") % 12).alias("page")).agg(F.count(F.lit(1)).alias("n"), F.sum("road_ft").cast("long").alias("customers"))
+    return first.join(then, "page").join(read, "page")
