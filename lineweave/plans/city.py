@@ -7,7 +7,7 @@ inspection_year, g), ``unimproved`` (localid), ``zoning`` (is_residential, g), `
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineweave.functions import geometry as G
@@ -15,7 +15,8 @@ from lineweave.functions.semantics import any_known, count_where, known, miles,
 from lineweave.functions.simplify import simplify
 from lineweave.operators import aggregates as A
 from lineweave.operators import graph
-from lineweave.operators.joins import box_join, nearest
+from lineweave.operators.joins import box_join, mixed_box_join, nearest
+from lineweave.operators.polygons import points_in
 from lineweave.plans.streets import BOX
 
 LOCAL = "UL"  #: Fixed value: the functional class of local streets
@@ -23,13 +24,12 @@ NARROW = 18
 
 
 def _inside(df: DataFrame, boundary: DataFrame, point: Column) -> DataFrame:
-    """Rows whose point is inside the one polygon: its box is a filter, its edges one small row for every task."""
-    edges = boundary.select(G.sides(F.col("g")).alias("_e"), *(c.alias(f"_{k}") for k, c in G.bounds(F.col("g")).items())).limit(2)
-    edges = edges.withColumn("_one", F.count(F.lit(1)).over(Window.partitionBy()))
-    edges = edges.where(F.when(F.col("_one") == 1, True).otherwise(F.raise_error(F.lit("the boundary must be one row")).cast("boolean"))).drop("_one")
-    rows = df.withColumn("_p", point).crossJoin(F.broadcast(edges))
-    rows = rows.where((F.col("_p.x") >= F.col("_xmin")) & (F.col("_p.x") <= F.col("_xmax")) & (F.col("_p.y") >= F.col("_ymin")) & (F.col("_p.y") <= F.col("_ymax")))
-    return rows.where(G.covers(F.col("_e"), F.col("_p.x"), F.col("_p.y"))).select(*df.columns)
+    """Rows whose point is inside the one polygon, which may have any number of corners."""
+    rows = boundary.limit(2).count()
+    if rows > 1:
+        raise ValueError("the boundary must be one row")
+    asked = df.withColumns({"_polygon": F.lit(1), "_p": point}).withColumns({"_x": F.col("_p.x"), "_y": F.col("_p.y")}).drop("_p")
+    return points_in(asked, boundary.select(F.lit(1).alias("_polygon"), "g"), "_polygon", "_x", "_y").select(*df.columns)
 
 
 def city_segments(streets: DataFrame, boundary: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def residential_segments(seg: DataFrame, zoning: DataFrame, reach: float = 60.0,
     """(seg, is_residential): whether a residential zone lies within reach of the segment."""
     lines = seg.withColumns(G.bounds(F.col("g"))).select("seg", G.edges(F.col("g")).alias("e"), *((F.col(k) - reach).alias(f"l{k}") for k in ("xmin", "ymin")), *((F.col(k) + reach).alias(f"l{k}") for k in ("xmax", "ymax")))
     zones = zoning.where("is_residential").withColumns(G.bounds(F.col("g"))).select(G.sides(F.col("g")).alias("z"), *(c for b in BOX for c in b))
-    near = box_join(lines, zones, [("lxmin", "lxmax"), ("lymin", "lymax")], BOX, tile).where(G.within(F.col("e"), F.col("z"), reach))
+    near = mixed_box_join(lines, zones, [("lxmin", "lxmax"), ("lymin", "lymax")], BOX, tile).where(G.within(F.col("e"), F.col("z"), reach))
     near = near.select("seg").distinct().withColumn("is_residential", F.lit(True))
     return seg.select("seg").join(near, "seg", "left").withColumn("is_residential", known(F.col("is_residential")))
 

@@ -12,6 +12,7 @@ from lineweave.functions.semantics import any_known, count_where, rnd, tier
 from lineweave.functions.simplify import simplify
 from lineweave.operators import aggregates as A
 from lineweave.operators import graph
+from lineweave.operators.quantiles import quantiles
 from lineweave.operators.stages import Stages, Table
 from lineweave.plans import city, report, streets
 from lineweave.sources import files, geojson, layers
@@ -112,7 +113,8 @@ def reports(t: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:
     each = F.col("each_side_ft")
     funnel = [("pavement on record", F.col("n_missing_pave") == 0), ("18 ft or less", F.col("pave_max_ft") <= city.NARROW), ("two-way", F.col("cond_two_way")), ("residence", F.col("cond_residence"))]
     share = lambda df, by: df.groupBy(by).agg(F.count(F.lit(1)).alias("blocks"), length(df)).orderBy(F.desc("blocks"))
-    offsets = t["curb_offset"].groupBy("kind").agg(F.count(F.lit(1)).alias("curbs"), *(rnd(F.percentile("offset_ft", q), 1).alias(f"p{int(100 * q)}") for q in (0.05, 0.5, 0.95)))
+    places = {f"p{int(100 * q)}": q for q in (0.05, 0.5, 0.95)}
+    offsets = quantiles(t["curb_offset"], ["kind"], "offset_ft", places).select("kind", F.col("n").alias("curbs"), *(rnd(F.col(c), 1).alias(c) for c in places))
     return city.validation(t["segment"]) + [
         ("blocks", b.agg(F.count(F.lit(1)).alias("blocks"), length(b), count_where(F.col("n_missing_road") > 0).alias("untestable"), F.max("n_segments").alias("most_segments"))),
         ("narrow blocks by class", share(t["narrow_block"], F.coalesce("functional_class", F.lit("?")).alias("class"))),
