@@ -25,6 +25,7 @@ from lineweave.sources import geojson
 from lineweave.sources.geopackage import read_geopackage, write_geopackage
 from lineweave.sources.paged import fetch_pages
 from lineweave.sources.split import read_split, store
+from lineweave.sources.tiles import World, clipped, read_tiles, write_tiles
 
 # Eight kinds of polygon by order: sound; a bow-tie; a repeated point; a hole that touches its shell in a corner; a spike out
 # and back; a hole as large as its shell; two rings that overlap; a ring that touches itself in a corner.
@@ -248,3 +249,21 @@ def paged_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     then = fetch_pages(spark, 12, ask(False), folder, wait=0.01).select("page", F.col("state").alias("then_state"))
     read = read_split(spark, folder, PROPERTIES).groupBy((F.col("seg") % 12).alias("page")).agg(F.count(F.lit(1)).alias("n"), F.sum("road_ft").cast("long").alias("customers"))
     return first.join(then, "page").join(read, "page")
+
+
+# ---- tiles -------------------------------------------------------------------------------------------------------
+
+
+@query(
+    """with s as (select o_orderkey as seg, (o_orderkey % 100) * 1000 + 100.0::double as x1, floor(o_orderkey / 100) * 1000 + 500.0::double as y1, o_totalprice / 1000 as dx, o_custkey % 21 - 10.0::double as dy from orders),
+    p as (select *, list_sort(list_distinct(list_concat([0.0::double, 1.0::double], [t for t in list_concat([(k * 4096 - x1) / dx for k in range(0, 65)], if(dy = 0, [], [(k * 4096 - y1) / dy for k in range(0, 65)])) if t > 0 and t < 1]))) as ts from s),
+    q as (select seg, x1, y1, dx, dy, ts[i] as a, ts[i + 1] as b from p, unnest(range(1, len(ts))) as u(i)),
+    t as (select *, floor((x1 + (a + b) / 2 * dx) / 4096)::bigint as tx, floor((y1 + (a + b) / 2 * dy) / 4096)::bigint as ty from q)
+    select 6 as z, tx, ty, seg::varchar as seg, round(x1 + a * dx, 3) as x1, round(y1 + a * dy, 3) as y1, round(x1 + b * dx, 3) as x2, round(y1 + b * dy, 3) as y2 from t
+    where tx between 5 and 15 and ty between 0 and 30"""
+)
+def tile_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streets cut into tiles of three zooms, and those of a box at one zoom read back by ranges."""
+    path, world = place(spark, "tiles"), World(0.0, 0.0, 64 * 4096.0)
+    write_tiles(clipped(street_grid(spark, sf_dir, True), "seg", "g", world, [0, 3, 6]), path, "seg")
+    return read_tiles(spark, path, world, 6, (5.5 * 4096, 15.5 * 4096, 10.0, 30.5 * 4096), "seg")

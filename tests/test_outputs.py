@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from lineweave.functions import geometry as G
 from lineweave.operators import stages
-from lineweave.sources import geojson, geopackage, paged, split
+from lineweave.sources import geojson, geopackage, paged, split, tiles
 
 SHAPES = [
     ("Point", [[(1, 2)]]), ("LineString", [[(0, 0), (3, 4)]]), ("MultiLineString", [[(0, 0), (1, 1)], [(5, 5), (6, 7), (8, 8)]]), ("Polygon", [[(0, 0), (4, 0), (4, 4), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 1)]]),
@@ -114,3 +114,38 @@ def test_collections_in_parts_are_one_when_put_together(spark, tmp_path):
     assert len(parts) > 1 and [f["properties"]["id"] for f in whole["features"]] == sorted(k % 40 for k in range(100))
     geojson.write_collection(df.limit(0), path, F.lit("Point"), "g", ["id"], ["id"])
     assert json.loads("".join(p.read_text() for p in (tmp_path / "c").glob("part*")))["features"] == []
+
+
+def test_tiles_are_numbered_along_a_curve(spark):
+    cells = [(z, x, y) for z in range(5) for x in range(1 << z) for y in range(1 << z)]
+    df = spark.createDataFrame(cells, "z int, x long, y long")
+    got = {r["n"]: (r["z"], r["x"], r["y"]) for r in df.select("*", tiles.number(F.col("z"), F.col("x"), F.col("y")).alias("n")).collect()}
+    assert sorted(got) == list(range(len(cells))) and all(tiles.place(n) == cell for n, cell in got.items())
+    order = [got[n][1:] for n in sorted(got) if got[n][0] == 4]
+    assert all(abs(a[0] - b[0]) + abs(a[1] - b[1]) == 1 for a, b in zip(order, order[1:]))
+
+
+def test_archives_share_equal_tiles_and_clip_lines(spark, tmp_path):
+    world = tiles.World(-8.0, -8.0, 16.0)
+    lines = [(1, [(-7.5, -7.5), (7.5, -7.5), (7.5, 7.5)]), (2, [(-100.0, 1.0), (100.0, 1.0)]), (3, [(3.0, 3.0), (3.0, 3.0)]), (4, [(90.0, 90.0), (99.0, 99.0)])]
+    df = spark.createDataFrame([(k, [[{"x": x, "y": y} for x, y in p]]) for k, p in lines], f"id int, g {G.PARTS}")
+    parts = tiles.clipped(df, "id", "g", world, [2])
+    path = str(tmp_path / "tiles")
+    assert len(tiles.write_tiles(parts, path, "id")) >= 1
+    got = sorted(tuple(r) for r in tiles.read_tiles(spark, path, world, 2, (-8.0, 8.0, -8.0, 8.0), "id").collect())
+    assert [r for r in got if r[3] == "2"] == [(2, k, 2, "2", 4.0 * k - 8, 1.0, 4.0 * k - 4, 1.0) for k in range(4)]
+    assert len([r for r in got if r[3] == "1"]) == 4 + 4 and {r[3] for r in got} == {"1", "2"}
+    some = tiles.read_tiles(spark, path, world, 2, (0.0, 1.0, 0.0, 1.0), "id").collect()
+    assert [(r["tx"], r["ty"], r["id"]) for r in some] == [(2, 2, "2")]
+    # Equal payloads side by side on the curve are one entry.
+    rows = [(3, x, y, 5, 0.0, 0.0, 1.0, 1.0) for x in range(8) for y in range(8)]
+    same = spark.createDataFrame(rows, "z int, tx long, ty long, id int, x1 double, y1 double, x2 double, y2 double").coalesce(1)
+    names = tiles.write_tiles(same, str(tmp_path / "same"), "id")
+    entries = []
+    for name in names:
+        file = tmp_path / "same" / name
+        with split.store(str(file))[0].open_input_file(str(file)) as f:
+            entries += tiles.directory(f, file.stat().st_size)
+    assert len(entries) == len(names) and sum(run for _, run, _, _ in entries) == 64
+    back = tiles.read_tiles(spark, str(tmp_path / "same"), world, 3, (-8.0, 7.9, -8.0, 7.9), "id").collect()
+    assert {(r["tx"], r["ty"]) for r in back} == {(x, y) for x in range(8) for y in range(8)}
