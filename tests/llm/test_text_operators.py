@@ -700,3 +700,48 @@ def test_passages_and_scores_as_by_slow_code():
         weight = np.exp(np.array(energy)) / np.exp(np.array(energy)).sum()
         z = weight @ np.array(hidden)
         assert got == pytest.approx(1 / (1 + np.exp(-(z @ m["c"][:, 0] + m["d"][0]))), abs=1e-4)
+
+
+# ---- audio, slowly ----------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [64, 300, 2500])
+def test_audio_as_by_direct_convolution_and_frames(n):
+    p, rate = media.Features(), 8000
+    x = np.random.default_rng(n).integers(0, 256, n, dtype=np.uint8)
+    size = p.up * p.taps
+    at = [k - (size - 1) / 2 for k in range(size)]
+    low = [(np.sin(np.pi * t / max(p.up, p.down)) / (np.pi * t / max(p.up, p.down)) if t else 1.0) * (0.54 - 0.46 * np.cos(2 * np.pi * k / (size - 1))) for k, t in enumerate(at)]
+    h = np.array(low) / sum(low) * p.up
+
+    def direct(samples):
+        spread = np.zeros(len(samples) * p.up)
+        spread[:: p.up] = (samples.astype(float) - 128) / 128
+        return np.convolve(spread, h)[: len(samples) * p.up : p.down]
+
+    got = np.concatenate(list(media.resample(x, p)))
+    assert len(got) == -(-n * p.up // p.down) and np.allclose(got, direct(x)[: len(got)], atol=1e-4)
+    y = direct(np.concatenate((x, np.full(p.taps, 128, np.uint8))))
+    new = rate * p.up / p.down
+    frame, hop = int(new * p.frame_ms / 1000), int(new * p.hop_ms / 1000)
+    fft = 1
+    while fft < frame:
+        fft *= 2
+    starts = list(range(0, len(y) - frame + 1, hop))
+    if not starts or len(y) - starts[-1] - hop > frame - hop:
+        starts.append(starts[-1] + hop if starts else 0)
+    mel = lambda hz: 2595 * np.log10(1 + hz / 700)
+    edges = [700 * (10 ** ((mel(20.0) + k * (mel(new / 2) - mel(20.0)) / (p.mels + 1)) / 2595) - 1) for k in range(p.mels + 2)]
+    mels, energy = media.log_mel(x, rate, p)
+    assert len(mels) == len(energy) == len(starts)
+    wave = np.exp(-2j * np.pi * np.outer(np.arange(fft // 2 + 1), np.arange(frame)) / fft)
+    for k in {0, len(starts) // 2, len(starts) - 1}:
+        part = np.pad(y[starts[k] : starts[k] + frame], (0, max(0, starts[k] + frame - len(y))))
+        power = np.abs(wave @ (part * [0.5 - 0.5 * np.cos(2 * np.pi * i / (frame - 1)) for i in range(frame)])) ** 2
+        for j in range(p.mels):
+            total = 0.0
+            for i, v in enumerate(power):
+                hz = i * new / fft
+                total += v * max(0.0, min((hz - edges[j]) / (edges[j + 1] - edges[j]), (edges[j + 2] - hz) / (edges[j + 2] - edges[j + 1])))
+            assert mels[k, j] == pytest.approx(np.log(total + 1e-6), abs=2e-2)
+        assert energy[k] == pytest.approx(10 * np.log10(np.mean(part**2) + 1e-9), abs=1e-2)
