@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lineweave.plans import exchange, layers, network, relational, spatial, streets  # noqa: F401  they register their queries
+from lineweave.plans import exchange, layers, network, relational, spatial, streets, tables  # noqa: F401  they register their queries
 from lineweave.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
