@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from lineweave import catalogue
+HERE = str(Path(__file__).resolve().parent)
+sys.path.insert(0, HERE)
+
+from lineweave import catalogue  # noqa: E402
 
 HEADLINE = ["interval_overlay_full", "curb_profile_full", "curb_narrowings", "interval_edges", "station_rollup", "adaptive_sampling", "profile_summary", "tile_bbox_join", "tile_bbox_join_2d", "nearest_match", "gaps_islands", "component_rollup", "line_poly_intervals"]
 
 
 def main() -> None:
     sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, (HERE, os.environ.get("PYTHONPATH"))))  # for Python workers, wherever this is started
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", str(2 * cpus)).config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").getOrCreate()
