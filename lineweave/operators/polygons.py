@@ -46,9 +46,11 @@ def slab_of(y: Column) -> Column:
     return F.least(F.greatest(F.when(F.col("step") > 0, F.floor((y - F.col("low")) / F.col("step"))).otherwise(0), F.lit(0)), F.col("slabs") - 1).cast("long")
 
 
-def points_in(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, g: str = "g", edges: int = EDGES) -> DataFrame:
+def points_in(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, g: str = "g", edges: int = EDGES, closed: bool = True) -> DataFrame:
     """Pairs of a point's row and the ``key`` of each polygon that it is in or on the boundary of.
 
+    Without ``closed`` a place on the boundary counts by halves, as in ``G.contains``, so polygons side by side share no point.
+
     ``points`` may have a column named ``key``: each point is then tested against that polygon only. Otherwise polygons are
     found by their boxes. Points with an unknown place are in none.
     """
@@ -62,5 +64,5 @@ def points_in(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str,
         asked = mixed_box_join(asks, plan, [("_px", "_px"), ("_py", "_py")], [("lowx", "highx"), ("lowy", "highy")], finest or 1.0)
     u, v = F.when(F.col("turned"), F.col(y)).otherwise(F.col(x)), F.when(F.col("turned"), F.col(x)).otherwise(F.col(y))
     asked = asked.withColumns({"_u": u, "_v": v}).withColumn("slab", slab_of(F.col("_v")))
-    inside = asked.join(slabs, [key, "slab"]).where(G.covers(F.col("e"), F.col("_u"), F.col("_v")))
+    inside = asked.join(slabs, [key, "slab"]).where((G.covers if closed else G.contains)(F.col("e"), F.col("_u"), F.col("_v")))
     return inside.select(*points.columns, *([] if key in points.columns else [key]))

@@ -188,3 +188,12 @@ def test_nearest_with_an_outlier_and_a_hot_place(spark):
         if d <= 5.0:
             want[i] = (j, d)
     assert got == want
+
+
+def test_places_on_a_skyline_are_beside_it(spark):
+    """A skyline 10 over even and 13 over odd places: a dot on it is not inside, one on the ground is."""
+    ring = [(float(k), 10.0 + 3 * (k % 2)) for k in range(40)] + [(39.0, 0.0), (0.0, 0.0), (0.0, 10.0)]
+    dots = spark.createDataFrame([(k, float(k), 10.0 + 3 * (k % 2)) for k in range(39)] + [(100 + k, k + 0.5, 11.5) for k in range(39)] + [(200 + k, float(k), 0.0) for k in range(39)], "p int, x double, y double")
+    got = {r["p"] for r in points_in(dots, rows_of(spark, [(1, [ring])]), "id", "x", "y", edges=4, closed=False).collect()}
+    assert got == set(range(200, 239))
+    assert len(points_in(dots, rows_of(spark, [(1, [ring])]), "id", "x", "y", edges=4).collect()) == 117
