@@ -164,3 +164,15 @@ def test_stations_lie_along_their_lines(spark):
     assert got[:4] == [(1, 0, 0.0, 0.0, 0.0, 1.0), (1, 1, 10.0, 0.0, -half, half), (1, 2, 10.0, 10.0, -1.0, 0.0), (1, 3, 10.0, 20.0, -1.0, 0.0)]
     assert [g[2:4] for g in got if g[0] == 2] == [(0.0, 0.0), (pytest.approx(7 / 3), 0.0), (4.0, pytest.approx(2 / 3)), (4.0, 3.0)]
     assert not [g for g in got if g[0] == 3] and len([g for g in got if g[0] == 4]) == 4
+
+
+def test_places_on_a_boundary_are_known_exactly(spark):
+    """Corners of a third of a length, where a share of the edge times its length isn't the place."""
+    ring = F.array(*(G.point(F.lit(x), F.lit(y)) for x, y in ((0.0, 0.0), (41.0, 0.0), (41.0, 23.0), (0.0, 23.0), (0.0, 0.0))))
+    edge = [(float(k), 23.0) for k in range(42)] + [(41.0, float(k)) for k in range(24)]
+    df = spark.createDataFrame([(x, y, y + 8.0) for x, y in edge], "x double, y double, v double").withColumn("e", G.sides(F.array(ring)))
+    dot = lambda x, y: G.sides(G.line(G.point(F.col(x), F.col(y)), G.point(F.col(x), F.col(y))))
+    level = F.col("y") == 23.0
+    rows = df.select(G.covers(F.col("e"), F.col("x"), F.col("y")).alias("on"), G.contains(F.col("e"), F.col("x"), F.col("y")).alias("half"), G.within(dot("x", "v"), F.col("e"), 8.0).alias("up"), level.alias("level"))
+    found = rows.collect()
+    assert all(r["on"] for r in found) and not any(r["half"] for r in found) and all(r["up"] for r in found if r["level"])
