@@ -176,3 +176,13 @@ def test_places_on_a_boundary_are_known_exactly(spark):
     rows = df.select(G.covers(F.col("e"), F.col("x"), F.col("y")).alias("on"), G.contains(F.col("e"), F.col("x"), F.col("y")).alias("half"), G.within(dot("x", "v"), F.col("e"), 8.0).alias("up"), level.alias("level"))
     found = rows.collect()
     assert all(r["on"] for r in found) and not any(r["half"] for r in found) and all(r["up"] for r in found if r["level"])
+
+
+def test_a_transect_along_an_edge_is_in_the_lot_to_its_right(spark):
+    """Lots to the left and right of x = 0, and a transect up along their edge, by either rule."""
+    stations = spark.createDataFrame([(k, x, 0.0, 0.0, 1.0, 250.0) for k, x in enumerate((0.0, 40.0, -40.0))], "k int, cx double, cy double, ux double, uy double, half double")
+    box = lambda x, y: F.array(G.box_ring(F.lit(x), F.lit(y), F.lit(x + 40), F.lit(y + 50)))
+    lots = spark.range(1).select(F.explode(F.array(box(-40.0, 20.0), box(0.0, 30.0))).alias("g"))
+    ends = lambda closed: {r["k"]: r["right_edge"] for r in X.polygon_edges(stations, lots, "g", closed=closed).collect()}
+    assert ends(True) == {0: 20.0, 1: 30.0, 2: 20.0}
+    assert ends(False) == {0: 30.0, 1: None, 2: 20.0}
