@@ -18,6 +18,7 @@ from lineweave.plans import city
 from lineweave.plans.registry import query, table
 from lineweave.plans.streets import SIDE, street_grid
 from lineweave.sources import files, geojson
+from lineweave.sources.split import read_split
 
 
 def place(spark: SparkSession, what: str) -> str:
@@ -50,7 +51,7 @@ def geojson_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streets written as one collection in order and read back."""
     path = place(spark, "collection")
     geojson.write_collection(street_grid(spark, sf_dir, True), path, F.lit("LineString"), "g", ["seg", "road_ft"], ["seg"])
-    return line_ends(geojson.read_layer(spark, f"{path}/*.txt", PROPERTIES))
+    return line_ends(read_split(spark, path, PROPERTIES))
 
 
 @query("select n_name, n_regionkey, case when n_nationkey % 5 > 0 then n_nationkey / 8 end as part, row_number() over (order by n_regionkey, n_name desc) as line from nation")

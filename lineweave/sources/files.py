@@ -2,10 +2,49 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def store(path: str) -> tuple[FileSystem, str]:
+    return FileSystem.from_uri(path) if ":/" in path else (FileSystem.from_uri("file://" + os.path.abspath(path))[0], os.path.abspath(path))
+
+
+def put_together(spark: SparkSession, parts: str, path: str, name: str) -> None:
+    """The files of the folder ``parts`` one after another, in the order of their names, as the one file of the folder ``path``.
+
+    One task copies a megabyte at a time and renames what is whole; the parts are gone then.
+    """
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            (from_, below), (to, folder) = store(parts), store(path)
+            hidden = f"{folder}/_{uuid.uuid4().hex}"
+            with to.open_output_stream(hidden) as out:
+                for f in sorted(from_.get_file_info(FileSelector(below)), key=lambda f: f.base_name):
+                    if f.type == FileType.File and not f.base_name.startswith(("_", ".")):
+                        with from_.open_input_stream(f.path) as one:
+                            shutil.copyfileobj(one, out, 1 << 20)
+            to.move(hidden, f"{folder}/{name}")
+            yield batch
+
+    system, folder = store(path)
+    system.create_dir(folder, recursive=True)
+    system.delete_dir_contents(folder)
+    spark.range(0, 1, 1, 1).mapInArrow(copy, "id long").collect()
+    system, below = store(parts)
+    system.delete_dir(below)
+
+
 def write_csv(df: DataFrame, path: str, order: list | None = None) -> None:
     """CSV with a header; in one ordered file if an order is given."""
     out = df.coalesce(1).sortWithinPartitions(*order) if order else df

@@ -7,11 +7,15 @@ behind the scan; a feature per line is split like any text.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineweave.operators.numbering import numbered
+from lineweave.operators.tables import shared_dir
+from lineweave.sources.files import put_together
 
 _POINT, _LINE, _PARTS, _MANY = "array<double>", "array<array<double>>", "array<array<array<double>>>", "array<array<array<array<double>>>>"
 
@@ -86,8 +90,8 @@ def write_lines(df: DataFrame, path: str, kind: Column, g: str, properties: list
 def write_collection(df: DataFrame, path: str, kind: Column, g: str, properties: list[str], order: list[str], places: int | None = None, files: int | None = 1) -> None:
     """One FeatureCollection in order: one file, or several parts that are one when put one after another in the order of their names.
 
-    Features are numbered by ranges, so only the writing of a single file is left to one task, which holds a feature at a
-    time. ``files=None`` leaves their number to Spark.
+    Features are numbered, sorted and written by ranges. What is left to one task for a single file is to copy the ranges' parts
+    into it, some bytes at a time. ``files=None`` leaves the number of parts to Spark.
     """
     by = [F.col(c).alias(f"_{k}") for k, c in enumerate(order)]
     rows, _ = numbered(df.select(*by, feature(kind, F.col(g), properties, places).alias("value")), [f"_{k}" for k in range(len(order))], "_line")
@@ -95,5 +99,8 @@ def write_collection(df: DataFrame, path: str, kind: Column, g: str, properties:
     rows = rows.select("_line", F.concat(F.when(F.col("_line") > 0, ",").otherwise(""), "value").alias("value"))
     ends = df.sparkSession.createDataFrame([(-1, '{"type":"FeatureCollection","features":['), ((1 << 62), "]}")], "_line long, value string")
     lines = rows.unionByName(ends)
-    lines = lines.coalesce(1) if files == 1 else lines.repartitionByRange(files, "_line") if files else lines.repartitionByRange("_line")
-    lines.sortWithinPartitions("_line").select("value").write.mode("overwrite").text(path)
+    lines = lines.repartitionByRange(files, "_line") if files and files > 1 else lines.repartitionByRange("_line")
+    parts = f"{shared_dir(df.sparkSession)}/parts-{uuid.uuid4().hex}" if files == 1 else path
+    lines.sortWithinPartitions("_line").select("value").write.mode("overwrite").text(parts)
+    if files == 1:
+        put_together(df.sparkSession, parts, path, "part-00000.txt")

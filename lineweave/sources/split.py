@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow.fs import FileSelector, FileSystem, FileType
+from pyarrow.fs import FileSelector, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lineweave.sources.files import store
 from lineweave.sources.geojson import decoded, feature_type
 
 RANGE = 32 << 20
@@ -31,10 +32,6 @@ _TURN[[ord("{"), ord("[")]] = 1
 _TURN[[ord("}"), ord("]")]] = -1
 
 
-def store(path: str) -> tuple[FileSystem, str]:
-    return FileSystem.from_uri(path) if ":/" in path else (FileSystem.from_uri("file://" + path)[0], path)
-
-
 def files(path: str | list[str]) -> list[tuple[str, int]]:
     """(path, size) of a file, a list of files or all files of a folder, in order."""
     found = []
@@ -122,7 +119,7 @@ def _objects(file, data: np.ndarray, raw: bytes, end: int, inside: bool, depth:
 
 
 def read_split(spark: SparkSession, path: str | list[str], properties: T.StructType, size: int = RANGE) -> DataFrame:
-    """Rows (kind, g, the properties) of collections, read by a task for each ``size`` bytes.
+    """Rows (kind, g, the properties) of collections, read in ranges of ``size`` bytes, a task for each or for some.
 
     ``path`` is a file, a folder or a list of them, as a local path or with the scheme of a store that pyarrow can read. Objects
     of other lists beside the features, and files without features, give no row.
@@ -155,8 +152,11 @@ def read_split(spark: SparkSession, path: str | list[str], properties: T.StructT
                             texts, held = [], 0
                     yield pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
 
+    # A task for each range, or for several small ones, which it reads one after another.
+    tasks = min(len(ranges), max(4 * spark.sparkContext.defaultParallelism, sum(b - a for _, a, b in ranges) // RANGE + 1))
+
     def dealt(rows: list[tuple], kind: str) -> DataFrame:
-        return spark.createDataFrame(rows, kind).repartitionByRange(len(rows), "no")  # a task for each range
+        return spark.createDataFrame(rows, kind).repartitionByRange(tasks, "no")
 
     found = dealt([(k, *r) for k, r in enumerate(ranges)], "no long, file string, a long, b long").mapInArrow(sums, "no long, odd boolean, outside long, within long").collect()
     states, inside, depth, last = [], False, 0, None

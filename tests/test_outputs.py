@@ -1,6 +1,7 @@
 """GeoPackages, pages and stages: what files hold, and what a broken run leaves for the next."""
 
 import json
+from pathlib import Path
 import sqlite3
 
 import pytest
@@ -149,3 +150,22 @@ def test_archives_share_equal_tiles_and_clip_lines(spark, tmp_path):
     assert len(entries) == len(names) and sum(run for _, run, _, _ in entries) == 64
     back = tiles.read_tiles(spark, str(tmp_path / "same"), world, 3, (-8.0, 7.9, -8.0, 7.9), "id").collect()
     assert {(r["tx"], r["ty"]) for r in back} == {(x, y) for x in range(8) for y in range(8)}
+
+
+def test_one_file_is_put_together_from_sorted_parts(spark, tmp_path):
+    """No task sorts or holds the whole collection, and small ranges share tasks."""
+    df = spark.range(0, 5000, 1, 7).select(((F.col("id") * 37) % 5000).alias("id"), F.lit(None).cast(G.PARTS).alias("g"))
+    path = str(tmp_path / "one")
+    seen = []
+    together = geojson.put_together
+    geojson.put_together = lambda s, parts, *more: (seen.append(len(list(Path(parts.removeprefix("file:")).glob("part*")))), together(s, parts, *more))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        geojson.write_collection(df, path, F.lit("Point"), "g", ["id"], ["id"])
+    finally:
+        geojson.put_together = together
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (name,) = (p.name for p in (tmp_path / "one").iterdir() if not p.name.startswith("."))
+    assert seen[0] > 1 and [f["properties"]["id"] for f in json.loads((tmp_path / "one" / name).read_text())["features"]] == list(range(5000))
+    rows = split.read_split(spark, path, T.StructType.fromDDL("id long"), 500)
+    assert rows.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism and sorted(r["id"] for r in rows.collect()) == list(range(5000))
