@@ -115,3 +115,24 @@ def test_sides_are_edges_without_lengths(spark):
     ring = "array(array(named_struct('x', 0d, 'y', 0d), named_struct('x', 3d, 'y', 4d), named_struct('x', 0d, 'y', 4d)), array(named_struct('x', 1d, 'y', 1d)), cast(array() as array<struct<x:double,y:double>>))"
     r = spark.range(1).select(F.expr(ring).alias("g")).select(G.sides(F.col("g")).alias("s"), G.edges(F.col("g")).alias("e")).first()
     assert [tuple(x) for x in r["s"]] == [tuple(x)[:4] for x in r["e"]] == [(0.0, 0.0, 3.0, 4.0), (3.0, 4.0, 0.0, 4.0)]
+
+
+def test_rows_that_share_a_box_are_met_once(spark, monkeypatch):
+    left = [(k, float(k % 3), k % 3 + 1.0) for k in range(60)] + [(60, None, None), (61, 99.0, 99.5)]
+    right = [(k, k % 5 + 0.5, k % 5 + 0.75) for k in range(50)]
+    a, b = spark.createDataFrame(left, "i long, a double, b double"), spark.createDataFrame(right, "j long, c double, d double")
+    sizes, axes = [], ([("a", "b")], [("c", "d")])
+
+    def meet(x, y, *more):
+        sizes.append((x.count(), y.count()))
+        return J.box_join(x, y, *more, 4.0)
+
+    got = sorted((r["i"], r["n"], r["least"], r["most"]) for r in J.met(a, b, *axes, "j", meet).collect())
+    pairs = sorted((i, j) for i, p, q in left for j, c, d in right if p is not None and q >= c and p <= d)
+    of = {i: [j for k, j in pairs if k == i] for i, _ in pairs}
+    assert got == sorted((i, len(js), min(js), max(js)) for i, js in of.items()) and sizes == [(5, 5)]
+    monkeypatch.setattr(J, "LISTED", 4)
+    lists = [J.listed(a, axes[0], "i"), J.listed(b, axes[1], "j")]
+    assert max(len(r["i"]) for r in lists[0].collect()) < 20
+    met = J.box_join(*lists, *axes, 4.0).select(F.explode("i").alias("i"), "j").select("i", F.explode("j").alias("j"))
+    assert sorted(map(tuple, met.collect())) == pairs
