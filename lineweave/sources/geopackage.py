@@ -1,12 +1,13 @@
-"""GeoPackage sink and scan: one file for each partition, each a whole GeoPackage with an R-tree.
+"""GeoPackage sink and scan: one file for each partition, or several of a large one, each a whole GeoPackage with an R-tree.
 
 A task builds its file in a folder of its own, copies it to the output folder under a name that readers pass over, and
-renames it, so a lost task leaves no file that counts, and one that runs twice leaves one file. A scan reads files as
-Spark's binary source lists them, and asks the R-tree where a box is given.
+renames it, so a lost task leaves no file that counts, and one that runs twice leaves one file. A scan copies a file at a time
+to a folder of the task, a megabyte at once, and asks the R-tree where a box is given.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import shutil
 import sqlite3
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineweave.functions import geometry as G
-from lineweave.sources.split import store
+from lineweave.sources.files import store
+from lineweave.sources.split import files
 
 # Fixed values of the format: numbers of geometry types, application id and version, tables that every file has.
 KINDS = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6}
@@ -34,6 +36,7 @@ create table gpkg_geometry_columns (table_name text not null, column_name text n
 create table gpkg_extensions (table_name text, column_name text, extension_name text not null, definition text not null, scope text not null);
 """
 SQL_TYPES = {"string": "TEXT", "double": "DOUBLE", "float": "DOUBLE", "boolean": "BOOLEAN"}
+FEATURES = 250_000  #: of a file, at most
 HEAD = struct.Struct("<2sBBi4d")
 
 Ring = list[dict[str, float]]
@@ -99,7 +102,7 @@ def unpack(data: bytes) -> tuple[str, list[Ring]]:
 
 
 def write_geopackage(df: DataFrame, path: str, layer: str, kind: Column, g: str, properties: list[str], srs: int = 4326) -> list[str]:
-    """Writes a file for each partition that has rows and gives their names; an unknown geometry is kept as null, out of the R-tree."""
+    """Writes a file for each partition that has rows, or for each ``FEATURES`` of them, and gives their names; an unknown geometry is kept as null, out of the R-tree."""
     names = {c: SQL_TYPES.get(df.schema[c].dataType.simpleString(), "INTEGER") for c in properties}
     quoted = lambda name: '"' + name.replace('"', '""') + '"'
     rows = df.select(kind.alias("kind"), F.col(g).alias("g"), F.to_json(F.struct(*(F.col(f"`{c}`") for c in properties)), {"ignoreNullFields": "false"}).alias("properties"))
@@ -114,14 +117,16 @@ def write_geopackage(df: DataFrame, path: str, layer: str, kind: Column, g: str,
                 data, box = blob(row["kind"], row["g"], srs) if known else (None, None)
                 yield data, box, [json.loads(row["properties"])[c] for c in properties]
 
-    def build(place: str, batches: Iterator[pa.RecordBatch]) -> int:
+    most = FEATURES
+
+    def build(place: str, some: Iterator[tuple]) -> int:
         with sqlite3.connect(place) as c:
             c.executescript(f"pragma application_id = {APPLICATION}; pragma user_version = {VERSION};{TABLES}")
             c.execute("insert into gpkg_spatial_ref_sys values (?, ?, 'EPSG', ?, 'undefined', null)", (f"EPSG:{srs}", srs, srs))
             c.execute(f"create table {table} (fid integer primary key autoincrement, geom geometry{''.join(f', {quoted(n)} {k}' for n, k in names.items())})")
             c.execute(f"create virtual table {quoted(f'rtree_{layer}_geom')} using rtree(id, minx, maxx, miny, maxy)")
             n, whole = 0, None
-            for n, (data, box, values) in enumerate(features(batches), 1):
+            for n, (data, box, values) in enumerate(some, 1):
                 c.execute(f"insert into {table} values (?, ?{', ?' * len(values)})", (n, data, *values))
                 if box:
                     c.execute(f"insert into {quoted(f'rtree_{layer}_geom')} values (?, ?, ?, ?, ?)", (n, *box))
@@ -134,19 +139,22 @@ def write_geopackage(df: DataFrame, path: str, layer: str, kind: Column, g: str,
         return n
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        own = tempfile.mkdtemp()
-        try:
-            n = build(f"{own}/part.gpkg", batches)
-            if n:
-                name, hidden = f"part-{part:05d}.gpkg", f"_{uuid.uuid4().hex}"
+        part, rest = TaskContext.get().partitionId(), features(batches)
+        for k in itertools.count():
+            first = next(rest, None)
+            if first is None:
+                return
+            own = tempfile.mkdtemp()
+            try:
+                n = build(f"{own}/part.gpkg", itertools.chain([first], itertools.islice(rest, most - 1)))
+                name, hidden = f"part-{part:05d}-{k:03d}.gpkg", f"_{uuid.uuid4().hex}"
                 system, folder = store(path)
                 with open(f"{own}/part.gpkg", "rb") as from_, system.open_output_stream(f"{folder}/{hidden}") as to:
                     shutil.copyfileobj(from_, to, 1 << 20)
                 system.move(f"{folder}/{hidden}", f"{folder}/{name}")
                 yield pa.RecordBatch.from_pydict({"name": [name], "n": [n]})
-        finally:
-            shutil.rmtree(own, ignore_errors=True)
+            finally:
+                shutil.rmtree(own, ignore_errors=True)
 
     return sorted(r["name"] for r in rows.mapInArrow(write, "name string, n long").collect())
 
@@ -163,11 +171,12 @@ def read_geopackage(spark: SparkSession, path: str, layer: str, properties: T.St
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for name in batch.column("file").to_pylist():
                 own = tempfile.mkdtemp()
                 try:
-                    with open(f"{own}/part.gpkg", "wb") as f:
-                        f.write(content.as_py())
+                    system, place = store(name)
+                    with system.open_input_stream(place) as from_, open(f"{own}/part.gpkg", "wb") as to:
+                        shutil.copyfileobj(from_, to, 1 << 20)
                     c = sqlite3.connect(f"file:{own}/part.gpkg?immutable=1", uri=True)
                     c.row_factory = sqlite3.Row
                     cursor = c.execute(f"select * from {quoted(layer)}{where}", box or ())
@@ -182,8 +191,9 @@ def read_geopackage(spark: SparkSession, path: str, layer: str, properties: T.St
                     shutil.rmtree(own, ignore_errors=True)
 
     ring = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg").load(path).select("content")
-    rows = files.mapInArrow(read, f"kind string, g {G.PARTS}, properties string")
+    found = [(name,) for name, _ in files(path) if name.endswith(".gpkg")]
+    listed = spark.createDataFrame(found, "file string").repartition(max(len(found), 1))
+    rows = listed.mapInArrow(read, f"kind string, g {G.PARTS}, properties string")
     # SQLite has no type of its own for truth.
     plain = T.StructType([T.StructField(f.name, T.IntegerType() if isinstance(f.dataType, T.BooleanType) else f.dataType) for f in properties])
     found = rows.select("kind", "g", F.from_json("properties", plain).alias("p"))

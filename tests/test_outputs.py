@@ -169,3 +169,14 @@ def test_one_file_is_put_together_from_sorted_parts(spark, tmp_path):
     assert seen[0] > 1 and [f["properties"]["id"] for f in json.loads((tmp_path / "one" / name).read_text())["features"]] == list(range(5000))
     rows = split.read_split(spark, path, T.StructType.fromDDL("id long"), 500)
     assert rows.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism and sorted(r["id"] for r in rows.collect()) == list(range(5000))
+
+
+def test_a_large_partition_fills_several_geopackages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(geopackage, "FEATURES", 30)
+    df = spark.range(100).select("id", F.array(F.array(G.point(F.col("id"), F.lit(0)), G.point(F.col("id"), F.lit(1)))).alias("g")).coalesce(1)
+    path = str(tmp_path / "many")
+    names = geopackage.write_geopackage(df, path, "l", F.lit("LineString"), "g", ["id"])
+    assert len(names) == 4
+    kinds = T.StructType.fromDDL("id long")
+    assert sorted(r["id"] for r in geopackage.read_geopackage(spark, path, "l", kinds).collect()) == list(range(100))
+    assert sorted(r["id"] for r in geopackage.read_geopackage(spark, path, "l", kinds, (10.0, 40.0, 0.0, 1.0)).collect()) == list(range(10, 41))
