@@ -34,8 +34,10 @@ def _inside(df: DataFrame, boundary: DataFrame, point: Column) -> DataFrame:
 
 def city_segments(streets: DataFrame, boundary: DataFrame) -> DataFrame:
     """Segments whose middle is in the city."""
-    e = G.edges(F.col("g"))
-    return _inside(streets.withColumn("len_ft", G.length(e)), boundary, G.along(e, G.length(e) / 2))
+    # Edges are built once for a row; each use of an expression would build them again.
+    middle = G.bind(G.edges(F.col("g")), lambda e: G.bind(G.length(e), lambda n: F.struct(n.alias("len"), G.along(e, n / 2).alias("p"))))
+    found = streets.withColumn("_m", middle).withColumn("len_ft", F.col("_m.len"))
+    return _inside(found, boundary, F.col("_m.p")).drop("_m")
 
 
 def city_sections(pms: DataFrame, boundary: DataFrame) -> DataFrame:

@@ -138,3 +138,11 @@ def test_layers_are_read_in_degrees(spark, layers, tmp_path):
         back = {r["seg"]: r for r in source_layers.read(spark, "streets", place).collect()}
         assert sorted(back) == [1, 2, 3, 11, 12, 13]
         assert abs(back[1]["g"][0][1]["x"] - 300) < 1e-3 and abs(back[12]["g"][0][0]["x"] - 300) < 1e-3 and back[3]["full_name"] == " "
+
+
+def test_edges_are_built_once_for_a_row(spark, layers):
+    """Each use of an expression would build them again."""
+    built = lambda df: df._jdf.queryExecution().analyzed().toString().upper().count("SQRT(")
+    once = built(layers["streets"].select(G.edges(F.col("g")).alias("e")))
+    assert once > 0 and built(layers["streets"].select(G.line_centroid(G.edges(F.col("g"))).alias("p"))) == once
+    assert built(city.city_segments(layers["streets"], layers["boundary"])) == once
