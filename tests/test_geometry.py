@@ -4,11 +4,14 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lineweave import catalogue
 from lineweave.functions import geometry as G
 from lineweave.functions.simplify import keep_points
 from lineweave.operators import graph
@@ -186,3 +189,49 @@ def test_a_transect_along_an_edge_is_in_the_lot_to_its_right(spark):
     ends = lambda closed: {r["k"]: r["right_edge"] for r in X.polygon_edges(stations, lots, "g", closed=closed).collect()}
     assert ends(True) == {0: 20.0, 1: 30.0, 2: 20.0}
     assert ends(False) == {0: 30.0, 1: None, 2: 20.0}
+
+
+def test_whole_segments_are_measured_as_their_stations_are(spark):
+    """Random bent lines of all lengths, also in crowded groups, against the profile and pinches of single stations."""
+    draw = random.Random(12)
+    at = lambda x, y: {"x": x, "y": y}
+    segs, curbs = [], []
+    for k in range(60):
+        x, y, long_ = draw.uniform(0, 3000), draw.uniform(0, 3000), draw.choice((12.0, 150.0, 150.0, 5000.0))
+        g = [[at(x, y), at(x + long_ * 0.4, y + long_ * 0.3), at(x + long_, y + draw.choice((0.0, long_)))]]
+        segs.append((k, k % 9, (k + 1) % 9, draw.choice((None, 20.0, 60.0)), None, g))
+    for k in range(400):
+        x, y, kind = draw.uniform(0, 3500), draw.uniform(0, 3500), draw.choice((3110, 3110, 3120, 3130, 3140, 3150))
+        curbs.append(((k // 2,), kind, [[at(x, y), at(x + draw.uniform(20, 900), y + draw.choice((0.0, 300.0))), at(x + 900.0, y + 500.0)]]))
+    for k in range(0, 60, 2):  # street curbs beside lines, with a pinch
+        (a, b, c), = segs[k][5]
+        for n, side in enumerate((-14.0, 14.0)):
+            move = lambda p, s: at(p["x"], p["y"] + s)
+            curbs.append(((1000 + 2 * k + n,), 3110, [[move(a, side), move(b, side), move(c, side)]]))
+            curbs.append(((2000 + 2 * k + n,), 3120, [[at(a["x"] + 40, a["y"] + 25 + side / 2), at(a["x"] + 60, a["y"] + 40 + side / 2)]]))
+    part = "array<array<struct<x:double,y:double>>>"
+    s = spark.createDataFrame(segs, f"seg long, f_node long, t_node long, road_ft double, pave_ft double, g {part}")
+    c = spark.createDataFrame(curbs, f"curb struct<id:long>, kind int, g {part}")
+    ends = spark.createDataFrame([(k, k % 3 == 0, k % 4 == 0) for k in range(60)], "seg long, from_end boolean, to_end boolean")
+    gaps = streets.curb_gaps(streets.curb_stations(s, ends), c).cache()
+    plain = lambda df: sorted((tuple(sorted(r.asDict().items())) for r in df.collect()), key=repr)
+    wanted, pinches = plain(streets.curb_profile(gaps, ["seg"])), plain(streets.narrowings(gaps))
+    assert len(wanted) == 60 and pinches and plain(streets.segment_profiles(s, ends, c)) == wanted and plain(streets.segment_narrowings(s, ends, c)) == pinches
+    by = c.select(F.struct("curb", "kind").alias("by"), "g")
+    lines, n = streets._reaching(s, streets.Curb())
+    shape = T.StructType([T.StructField("seg", T.LongType()), T.StructField("n", T.LongType()), T.StructField("r", T.DoubleType()), T.StructField("l", T.DoubleType())])
+    stations = gaps.groupBy("seg").agg(F.count("d").alias("n"), F.sum("right_ft").alias("r"), F.sum("left_ft").alias("l")).collect()
+
+    def sums(t, met):
+        of = lambda v: np.bincount(met.k, np.nan_to_num(v), t.num_rows).astype(float)
+        return pa.table([t.column("seg"), pa.array(np.bincount(met.k, minlength=t.num_rows)), pa.array(of(met.right)), pa.array(of(met.left))], names=["seg", "n", "r", "l"])
+
+    for tile, group in ((50.0, 40), (700.0, 3000)):
+        got = {r[0]: r[1:] for r in X.along_lines(lines, "g", n, 10.0, ["seg", "len", "half"], by, "by", "g", 0.5, sums, shape, 70.0, tile, group).collect()}
+        assert len(got) == 60 and all(got[r["seg"]] == pytest.approx((r["n"], r["r"] or 0.0, r["l"] or 0.0)) for r in stations)
+
+
+def test_stations_of_curbs_leave_no_task(spark):
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    for name in ("curb_profile_full", "curb_narrowings"):
+        assert "sample_no" not in plan(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
