@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from lineweave import catalogue
 from lineweave.functions import geometry as G
+from lineweave.functions import simplify as simplifier
 from lineweave.functions.simplify import keep_points
 from lineweave.operators import graph
 from lineweave.operators import transects as X
@@ -235,3 +236,22 @@ def test_stations_of_curbs_leave_no_task(spark):
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     for name in ("curb_profile_full", "curb_narrowings"):
         assert "sample_no" not in plan(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_many_lines_are_simplified_as_one_by_one(spark):
+    draw = random.Random(4)
+    lines = [[(float(k), draw.choice((0.0, 1.0, 3.0, draw.uniform(0, 9)))) for k in range(n)] for n in [0, 1, 2, 3, 3, 40, 500, *(draw.randrange(30) for _ in range(200))]]
+    lines += [[(0.0, 0.0), (3.0, 4.0), (0.0, 0.0), (9.0, 0.0), (0.0, 0.0)], [(0.0, 0.0), (1.0, 5.0), (2.0, 5.0), (3.0, 0.0)]]
+    begin = np.cumsum([0, *map(len, lines)])
+    x, y = (np.array([p[c] for q in lines for p in q]) for c in (0, 1))
+    for tolerance in (0.0, 0.5, 2.0, 5.0):
+        wanted = np.concatenate([keep_points(np.array(q), tolerance) for q in lines if q])
+        assert (simplifier.kept(begin, x, y, tolerance) == wanted).all()
+    shape = "id long, g array<array<struct<x:double,y:double>>>"
+    at = lambda q: [{"x": a, "y": b} for a, b in q]
+    rows = [(0, None), (1, []), (2, [None, at(lines[5])]), (3, [[], at(lines[6])]), (4, None), *((k + 5, [at(q), at(q[:3])]) for k, q in enumerate(lines))]
+    df = spark.createDataFrame(rows, shape).coalesce(1)
+    got = {r["id"]: r["s"] for r in df.select("id", simplifier.simplify(F.col("g"), 2.0).alias("s")).collect()}
+    one = lambda q: q if not q else [p for p, k in zip(q, keep_points(np.array([[p["x"], p["y"]] for p in q]), 2.0)) if k]
+    plain = lambda g: None if g is None else [None if q is None else [(p["x"], p["y"]) for p in q] for q in g]
+    assert all(plain(got[k]) == plain(None if g is None else [one(q) for q in g]) for k, g in rows)
