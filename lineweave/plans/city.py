@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineweave.functions import geometry as G
+from lineweave.functions.nearness import within
 from lineweave.functions.semantics import any_known, count_where, known, miles, rnd, tier, where
 from lineweave.functions.simplify import simplify
 from lineweave.operators import aggregates as A
-from lineweave.operators import graph
+from lineweave.operators import graph, tables
 from lineweave.operators.joins import box_join, mixed_box_join, nearest
 from lineweave.operators.polygons import points_in
 from lineweave.plans.streets import BOX
@@ -124,9 +125,12 @@ def narrow_blocks(block: DataFrame) -> DataFrame:
 
 def residential_segments(seg: DataFrame, zoning: DataFrame, reach: float = 60.0, tile: float = 300.0) -> DataFrame:
     """(seg, is_residential): whether a residential zone lies within reach of the segment."""
-    lines = seg.withColumns(G.bounds(F.col("g"))).select("seg", G.edges(F.col("g")).alias("e"), *((F.col(k) - reach).alias(f"l{k}") for k in ("xmin", "ymin")), *((F.col(k) + reach).alias(f"l{k}") for k in ("xmax", "ymax")))
-    zones = zoning.where("is_residential").withColumns(G.bounds(F.col("g"))).select(G.sides(F.col("g")).alias("z"), *(c for b in BOX for c in b))
-    near = mixed_box_join(lines, zones, [("lxmin", "lxmax"), ("lymin", "lymax")], BOX, tile).where(G.within(F.col("e"), F.col("z"), reach))
+    # Boxes and edges are made once for a row; the join's levels and cells name them many times.
+    boxes = G.bounds(F.col("g"))
+    out = {f"l{k}": v + (reach if k.endswith("max") else -reach) for k, v in boxes.items()}
+    lines = tables.once(seg.select("seg", "g"), {"e": G.sides(F.col("g")), **out}).drop("g")
+    zones = tables.once(zoning.where("is_residential").select("g"), {"z": G.sides(F.col("g")), **boxes}).drop("g")
+    near = mixed_box_join(lines, zones, [("lxmin", "lxmax"), ("lymin", "lymax")], BOX, tile).where(within(F.col("e"), F.col("z"), reach))
     near = near.select("seg").distinct().withColumn("is_residential", F.lit(True))
     return seg.select("seg").join(near, "seg", "left").withColumn("is_residential", known(F.col("is_residential")))
 

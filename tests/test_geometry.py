@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from lineweave import catalogue
 from lineweave.functions import geometry as G
+from lineweave.functions import nearness
 from lineweave.functions import simplify as simplifier
 from lineweave.functions.simplify import keep_points
 from lineweave.operators import graph
@@ -255,3 +256,34 @@ def test_many_lines_are_simplified_as_one_by_one(spark):
     one = lambda q: q if not q else [p for p, k in zip(q, keep_points(np.array([[p["x"], p["y"]] for p in q]), 2.0)) if k]
     plain = lambda g: None if g is None else [None if q is None else [(p["x"], p["y"]) for p in q] for q in g]
     assert all(plain(got[k]) == plain(None if g is None else [one(q) for q in g]) for k, g in rows)
+
+
+def test_distances_from_level_edges_are_those_of_the_other_axis(spark):
+    """60 feet beside an edge whose length is no whole number are 60 feet, by both forms."""
+    draw = random.Random(9)
+    rows = [(100.0, 500.0, 100.0 + draw.uniform(1, 400), 560.0) for _ in range(300)]
+    df = spark.createDataFrame(rows, "x double, y double, x2 double, v double")
+    edge = lambda flip: G.sides(G.line(G.point(*(F.col(c) for c in flip("x", "y"))), G.point(*(F.col(c) for c in flip("x2", "y")))))
+    middle = (F.col("x") + F.col("x2")) / 2
+    for flip, at in ((lambda a, b: (a, b), (middle, F.col("v"))), (lambda a, b: (b, a), (F.col("v"), middle))):
+        dot = G.sides(G.line(G.point(*at), G.point(*at)))
+        got = df.select(G.point_distance(edge(flip), *at).alias("d"), G.within(dot, edge(flip), 60.0).alias("a"), nearness.within(dot, edge(flip), 60.0).alias("b")).collect()
+        assert {tuple(r) for r in got} == {(60.0, True, True)}
+
+
+def test_lines_near_polygons_by_arrays_as_by_columns(spark, monkeypatch):
+    draw = random.Random(3)
+    at = lambda a, b: {"x": a, "y": b}
+    dot = lambda: at(float(draw.randrange(30)), float(draw.randrange(30)))
+    ring = lambda n: (lambda q: [*q, q[0]])([dot() for _ in range(n)])
+    rows = [([[dot() for _ in range(draw.choice((2, 2, 3, 9)))] for _ in range(draw.choice((1, 1, 2)))], [ring(draw.choice((3, 4, 12))) for _ in range(draw.choice((1, 2)))]) for _ in range(300)]
+    rows += [(None, rows[0][1]), (rows[0][0], None), ([], rows[0][1]), ([[dot()]], rows[0][1])]
+    shape = "g array<array<struct<x:double,y:double>>>, h array<array<struct<x:double,y:double>>>"
+    df = spark.createDataFrame(rows, shape).select(G.sides(F.col("g")).alias("l"), G.sides(F.col("h")).alias("p"))
+    for d in (0.0, 2.0, 5.0):
+        found = df.select(F.coalesce(G.within(F.col("l"), F.col("p"), d), F.lit(False)).alias("a"), F.coalesce(nearness.within(F.col("l"), F.col("p"), d), F.lit(False)).alias("b")).collect()
+        assert all(r["a"] == r["b"] for r in found) and any(r["a"] for r in found) and not all(r["a"] for r in found)
+    lines, polygons = (pa.array([r[c] for r in df.collect()], pa.list_(pa.struct([(k, pa.float64()) for k in ("x1", "y1", "x2", "y2")]))) for c in ("l", "p"))
+    wanted = nearness.near(lines, polygons, 2.0)
+    monkeypatch.setattr(nearness, "PAIRS", 7)
+    assert (nearness.near(lines, polygons, 2.0) == wanted).all()
