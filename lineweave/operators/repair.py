@@ -4,6 +4,7 @@ The edges of all polygons are put side by side and met with those of their own p
 of many points is noded by many tasks and no ring is compared with itself edge by edge. Edges are split where they meet;
 stretches that lie on each other an even number of times cancel, as no side of them differs under the even-odd rule. What
 remains bounds the polygon's even-odd area, and is traced into simple rings, which is the only work done polygon by polygon.
+Polygons of few points need no join: the edges of a batch of them meet by array arithmetic in their task.
 """
 
 from __future__ import annotations
@@ -13,14 +14,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lineweave.functions import geometry as G
 from lineweave.operators import tables
 from lineweave.operators.joins import box_join
 
 Point = tuple[float, float]
+FEW = 64  #: points of a polygon that is repaired in its row
 
 
 def _cross(o: dict[str, Column], x: Column, y: Column) -> Column:
@@ -40,6 +44,21 @@ def numbered_edges(df: DataFrame, key: str, g: str) -> DataFrame:
     return edges.select(key, "ring", "at", "of", "e.*")
 
 
+def _crossing_of(e: dict[str, Column], f: dict[str, Column]) -> Column:
+    """``_crossing`` on columns."""
+
+    def level(o: dict[str, Column]) -> Column:
+        turned = (o["x1"] > o["x2"]) | ((o["x1"] == o["x2"]) & (o["y1"] > o["y2"]))
+        return F.struct(*(F.when(turned, o[a]).otherwise(o[b]).alias(b) for a, b in (("x2", "x1"), ("y2", "y1"), ("x1", "x2"), ("y1", "y2"))))
+
+    def of(s: Column) -> Column:
+        p, q = s["p"], s["q"]
+        t1, t2 = (_cross(q, p[f"x{n}"], p[f"y{n}"]) for n in (1, 2))
+        return G.bind(t1 / (t1 - t2), lambda t: F.struct((p["x1"] + t * (p["x2"] - p["x1"])).alias("x"), (p["y1"] + t * (p["y2"] - p["y1"])).alias("y")))
+
+    return G.bind(F.struct(F.least(level(e), level(f)).alias("p"), F.greatest(level(e), level(f)).alias("q")), of)
+
+
 def meetings(edges: DataFrame, key: str, size: float) -> DataFrame:
     """(key, ring, at, x, y, how): the points where an edge meets another one of its polygon.
 
@@ -54,9 +73,8 @@ def meetings(edges: DataFrame, key: str, size: float) -> DataFrame:
     e, f = ({c: F.col(p + c) for c in ("x1", "y1", "x2", "y2")} for p in ("", "o_"))
     sides = {"s1": _cross(e, f["x1"], f["y1"]), "s2": _cross(e, f["x2"], f["y2"]), "t1": _cross(f, e["x1"], e["y1"]), "t2": _cross(f, e["x2"], e["y2"])}
     pairs = pairs.withColumns(sides)
-    t = F.col("t1") / (F.col("t1") - F.col("t2"))
     proper = (F.signum("s1") * F.signum("s2") < 0) & (F.signum("t1") * F.signum("t2") < 0)
-    both = F.struct((e["x1"] + t * (e["x2"] - e["x1"])).alias("x"), (e["y1"] + t * (e["y2"] - e["y1"])).alias("y"))
+    both = _crossing_of(e, f)
 
     def on(side: str, p: str, n: int, q: str) -> Column:
         """Corner n of the edge q, where it lies inside the edge p."""
@@ -106,6 +124,9 @@ def trace(a: np.ndarray, b: np.ndarray) -> list[list[Point]]:
     def inside(p: Point, q: Point) -> bool:
         """Whether the area is left of the step from p to q, which isn't level: by the stretches to the right of its middle."""
         x, y = (p[0] + q[0]) / 2, (p[1] + q[1]) / 2
+        if len(ends) <= FEW:
+            past = [u for u, v in ends if (u[1] > y) != (v[1] > y) and u[0] + (y - u[1]) / (v[1] - u[1]) * (v[0] - u[0]) > x and (u, v) != (p, q) and (u, v) != (q, p)]
+            return (len(past) % 2 == 1) != (q[1] > p[1])
         spans = (a[:, 1] > y) != (b[:, 1] > y)
         u, v = a[spans], b[spans]
         own = ((u == p).all(1) & (v == q).all(1)) | ((u == q).all(1) & (v == p).all(1))
@@ -155,14 +176,141 @@ def traced(stretches: DataFrame, key: str) -> DataFrame:
     return rows.mapInArrow(run, f"{key} {kind}, g {G.PARTS}")
 
 
-def repair(df: DataFrame, key: str, g: str = "g", size: float = 50.0) -> DataFrame:
+def _runs(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each range of whole numbers, its end left out, its row and each number in it."""
+    n = np.maximum(high - low, 0)
+    row = np.repeat(np.arange(len(n)), n)
+    return row, low[row] + np.arange(len(row)) - (np.cumsum(n) - n)[row]
+
+
+def _edges_of(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """``numbered_edges`` of a batch: (row, ring, edges of the ring, x1, y1, x2, y2), rings numbered through."""
+    each = lambda c: pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    rings = column.flatten()
+    points = rings.flatten()
+    x, y = (pc.struct_field(points, c).to_numpy(zero_copy_only=False) for c in "xy")
+    of, n = np.repeat(np.arange(len(column)), each(column)), each(rings)
+    begin = np.cumsum(n) - n
+    of, n, begin = of[n > 1], n[n > 1], begin[n > 1]
+    last = begin + n - 1
+    ring, at = _runs(np.zeros(len(n), dtype=np.int64), n + ((x[begin] != x[last]) | (y[begin] != y[last])))
+    at = begin[ring] + at % n[ring]
+    x, y = x[at], y[at]
+    fresh = np.concatenate(([True], (np.diff(ring) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)))[: len(x)]
+    x, y, ring = x[fresh], y[fresh], ring[fresh]
+    k = np.flatnonzero(np.diff(ring) == 0)
+    return of[ring[k]], ring[k], (np.bincount(ring, minlength=len(n)) - 1)[ring[k]], x[k], y[k], x[k + 1], y[k + 1]
+
+
+def _crossing(i: np.ndarray, j: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where edges cross: the same to the last bit whichever way they run and whichever is named first, so that stretches of edges
+    that lie on each other still do when both are cut."""
+    turned = (ends[:, 0] > ends[:, 2]) | ((ends[:, 0] == ends[:, 2]) & (ends[:, 1] > ends[:, 3]))
+    ends = np.where(turned[:, None], ends[:, [2, 3, 0, 1]], ends)
+    rank = np.empty(len(ends), dtype=np.int64)
+    rank[np.lexsort(ends.T)] = np.arange(len(ends))
+    e, f = (ends[np.where((rank[i] < rank[j]) == first, i, j)].T for first in (True, False))
+    t1, t2 = ((f[2] - f[0]) * (e[n + 1] - f[1]) - (f[3] - f[1]) * (e[n] - f[0]) for n in (0, 2))
+    t = t1 / (t1 - t2)
+    return e[0] + t * (e[2] - e[0]), e[1] + t * (e[3] - e[1])
+
+
+def _hits(row: np.ndarray, ring: np.ndarray, x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``meetings`` of a batch: (edge, x, y) where edges are to be split, and the rows that aren't valid by how edges meet."""
+    i, j = _runs(np.arange(len(row)) + 1, np.searchsorted(row, row, side="right"))
+    a0, a1, b0, b1 = np.minimum(x1, x2), np.maximum(x1, x2), np.minimum(y1, y2), np.maximum(y1, y2)
+    near = (a1[i] >= a0[j]) & (a0[i] <= a1[j]) & (b1[i] >= b0[j]) & (b0[i] <= b1[j])
+    i, j = i[near], j[near]
+    cross = lambda e, x, y: (x2[e] - x1[e]) * (y - y1[e]) - (y2[e] - y1[e]) * (x - x1[e])
+    s1, s2, t1, t2 = cross(i, x1[j], y1[j]), cross(i, x2[j], y2[j]), cross(j, x1[i], y1[i]), cross(j, x2[i], y2[i])
+    same = ring[i] == ring[j]
+    k = np.flatnonzero((np.sign(s1) * np.sign(s2) < 0) & (np.sign(t1) * np.sign(t2) < 0))
+    px, py = _crossing(i[k], j[k], np.column_stack((x1, y1, x2, y2)))
+    found, bad = [(i[k], px, py), (j[k], px, py)], [row[i[k]]]
+    for side, e, x, y in ((s1, i, x1[j], y1[j]), (s2, i, x2[j], y2[j]), (t1, j, x1[i], y1[i]), (t2, j, x2[i], y2[i])):
+        inside = (side == 0) & (x >= a0[e]) & (x <= a1[e]) & (y >= b0[e]) & (y <= b1[e])
+        inside &= ~(((x == x1[e]) & (y == y1[e])) | ((x == x2[e]) & (y == y2[e])))
+        found.append((e[inside], x[inside], y[inside]))
+        bad.append(row[e[inside & same]])
+    bad.append(row[i[same & (x1[i] == x1[j]) & (y1[i] == y1[j])]])
+    return *(np.concatenate(v) for v in zip(*found)), np.concatenate(bad)
+
+
+def _stretches(row: np.ndarray, ends: tuple[np.ndarray, ...], hits: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """``boundary`` of a batch: (row, ax, ay, bx, by, how often), rows rising."""
+    x1, y1, x2, y2 = ends
+    e, x, y = hits
+    every, none = np.arange(len(row)), np.zeros(len(row))
+    of, rank = np.concatenate((every, e, every)), np.repeat((0, 1, 2), (len(row), len(e), len(row)))
+    d = np.concatenate((none, (x - x1[e]) * (x2[e] - x1[e]) + (y - y1[e]) * (y2[e] - y1[e]), none))
+    x, y = np.concatenate((x1, x, x2)), np.concatenate((y1, y, y2))
+    order = np.lexsort((y, x, d, rank, of))
+    of, x, y = of[order], x[order], y[order]
+    k = np.flatnonzero((np.diff(of) == 0) & ((np.diff(x) != 0) | (np.diff(y) != 0)))
+    turned = (x[k] > x[k + 1]) | ((x[k] == x[k + 1]) & (y[k] > y[k + 1]))
+    a, b = np.where(turned, k + 1, k), np.where(turned, k, k + 1)
+    found = [row[of[k]], x[a], y[a], x[b], y[b]]
+    order = np.lexsort(found[::-1])
+    found = [v[order] for v in found]
+    new = np.concatenate(([True], np.any([np.diff(v) != 0 for v in found], axis=0)))[: len(k)]
+    first = np.flatnonzero(new)
+    return *(v[first] for v in found), np.diff(np.append(first, len(k)))
+
+
+def _repaired(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Polygons of a batch, repaired where they aren't valid, and which of them were."""
+    row, ring, of, *ends = _edges_of(column)
+    e, x, y, crossed = _hits(row, ring, *ends)
+    at, ax, ay, bx, by, n = _stretches(row, tuple(ends), (e, x, y))
+    bad = np.zeros(len(column), dtype=bool)
+    bad[np.concatenate((crossed, at[n > 1], row[of < 3])).astype(np.int64)] = True
+    keep = np.flatnonzero((n % 2 == 1) & bad[at])
+    at, a, b = at[keep], np.column_stack((ax[keep], ay[keep])), np.column_stack((bx[keep], by[keep]))
+    wrong = np.flatnonzero(bad)
+    first, last = np.searchsorted(at, wrong, side="left"), np.searchsorted(at, wrong, side="right")
+    rings = [trace(a[p:q], b[p:q]) for p, q in zip(first.tolist(), last.tolist())]
+    points = np.array([v for g in rings for r in g for v in r], dtype=float).reshape(-1, 2)
+    starts = lambda sizes: pa.array(np.cumsum([0, *sizes]), pa.int32())
+    flat = pa.StructArray.from_arrays([pa.array(points[:, 0]), pa.array(points[:, 1])], names=["x", "y"])
+    mended = pa.ListArray.from_arrays(starts(map(len, rings)), pa.ListArray.from_arrays(starts(len(r) for g in rings for r in g), flat))
+    pick = np.arange(len(column))
+    pick[wrong] = len(column) + np.arange(len(wrong))
+    return pa.concat_arrays([column, mended.cast(column.type)]).take(pa.array(pick)), bad
+
+
+def repair_small(df: DataFrame, g: str) -> DataFrame:
+    """``repair`` of polygons of few points, each in its row: edges of a batch meet by arrays, and nothing is shuffled."""
+
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mended, bad = _repaired(batch.column(g))
+            columns = [mended if c == g else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(bad)], names=[*names, "was_repaired"])
+
+    kinds = [T.StructField(f.name, f.dataType) for f in df.schema]
+    return df.mapInArrow(run, T.StructType([*kinds, T.StructField("was_repaired", T.BooleanType())]))
+
+
+def repair(df: DataFrame, key: str, g: str = "g", size: float = 50.0, few: int = FEW) -> DataFrame:
     """Adds ``was_repaired`` and replaces the geometry of polygons that aren't valid by rings around its even-odd area.
 
     Not valid are rings that cross or touch themselves, rings that cross or overlap each other, and rings without area. A ring
     that touches another in a point, or repeats a point in place, is valid and stays as it is. ``key`` is unique; ``size`` is
     the side of the grid's cells, somewhat above the length of most edges. A polygon without area left has no rings; an
-    unknown geometry stays unknown.
+    unknown geometry stays unknown. Polygons of up to ``few`` points are repaired in their rows, others by joins.
     """
+    sound = lambda p: (F.abs(p["x"]) < float("inf")) & (F.abs(p["y"]) < float("inf"))
+    small = F.coalesce((F.size(F.flatten(g)) <= few) & F.forall(g, lambda r: F.forall(r, sound)), F.lit(False))
+    marked = tables.once(df, {"_small": small})
+    large, names = marked.where("not _small").drop("_small"), [*df.columns, "was_repaired"]
+    mended = repair_small(marked.where("_small").drop("_small"), g).select(*names)
+    return mended if large.isEmpty() else mended.unionByName(repair_large(large, key, g, size).select(*names))
+
+
+def repair_large(df: DataFrame, key: str, g: str, size: float) -> DataFrame:
+    """``repair`` by joins, for polygons of any number of points."""
     edges, _ = tables.written(numbered_edges(df, key, g), "edges")
     hits, _ = tables.written(meetings(edges, key, size), "meetings")
     noded, _ = tables.written(boundary(edges, hits, key), "noded")

@@ -197,3 +197,30 @@ def test_places_on_a_skyline_are_beside_it(spark):
     got = {r["p"] for r in points_in(dots, rows_of(spark, [(1, [ring])]), "id", "x", "y", edges=4, closed=False).collect()}
     assert got == set(range(200, 239))
     assert len(points_in(dots, rows_of(spark, [(1, [ring])]), "id", "x", "y", edges=4).collect()) == 117
+
+
+def test_polygons_of_few_points_are_repaired_in_their_rows_as_by_joins(spark):
+    draw = random.Random(21)
+    at = lambda: {"x": draw.uniform(0, 7), "y": draw.uniform(0, 7)}
+
+    def ring(n):
+        points = [at() for _ in range(n)]
+        points = [p for p in points for _ in range(draw.choice((1, 1, 1, 2)))]
+        return points + points[: draw.choice((0, 1, 1))]
+
+    rows = [(k, [ring(draw.randrange(6)) for _ in range(draw.choice((0, 1, 1, 2, 3)))], "x") for k in range(250)]
+    box = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (4, 0), (4, 4), (0, 4), (0, 0))]
+    rows += [(300, None, "n"), (301, [box, box], "twice"), (302, [[*box, None]], "unknown point"), (303, [box[:2] * 40, box], "many"), (304, [None, box], "unknown ring"), (305, [box, box, box], "thrice")]
+    df = spark.createDataFrame(rows, "id long, g array<array<struct<x:double,y:double>>>, note string")
+    both = [{r["id"]: r for r in repair(df, "id", size=3.0, few=n).collect()} for n in (-1, 64)]
+    assert all(len(b) == len(rows) and b[0].asDict().keys() == {"id", "g", "note", "was_repaired"} for b in both)
+
+    def twice(g):
+        return None if g is None else sum(p["x"] * q["y"] - q["x"] * p["y"] for r in g if r for p, q in zip(r, r[1:]) if p and q)
+
+    for k, _, _ in rows:
+        a, b = both[0][k], both[1][k]
+        assert a["was_repaired"] == b["was_repaired"], (k, rows[k])
+        assert twice(a["g"]) == pytest.approx(twice(b["g"]), abs=1e-9), (k, rows[k][1], a["g"], b["g"])
+        assert a["was_repaired"] or a["g"] == b["g"]
+    assert "Join" not in repair(df.where("id < 300"), "id")._jdf.queryExecution().executedPlan().toString()
