@@ -239,6 +239,49 @@ def test_stations_of_curbs_leave_no_task(spark):
         assert "sample_no" not in plan(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
 
 
+def test_edges_of_curbs_are_made_without_lambdas(spark):
+    at = lambda *q: [None if p is None else {"x": p[0], "y": p[1]} for p in q]
+    two, three = at((1.0, 2.0), (3.0, 5.0)), at((9.0, 2.0), (8.0, 5.0), (7.0, 4.0))
+    rows = [None, [], [None], [[]], [at((1.0, 2.0))], [at((1.0, 2.0), None, (3.0, 4.0))], [at((1.0, None), (2.0, 3.0))], [two], [two, three], [two, [], three], [two, None]]
+    df = spark.createDataFrame(list(enumerate(rows)), "k long, g array<array<struct<x:double,y:double>>>")
+    edges = X._boxed_edges(df, "k", "g")
+    e = [F.col(f"e.{c}") for c in ("x1", "y1", "x2", "y2")]
+    wanted = df.select("k", F.explode(G.sides(F.col("g"))).alias("e")).select("k", *e, F.least(e[0], e[2]), F.greatest(e[0], e[2]), F.least(e[1], e[3]), F.greatest(e[1], e[3]))
+    found = sorted(map(tuple, edges.collect()), key=repr)
+    assert found == sorted((tuple(r) for r in wanted.collect() if r[5] is not None and r[7] is not None), key=repr) and len(found) == 10
+    assert "lambda" not in edges._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("origin", [0.0, 3e7])
+def test_stations_of_a_straight_line_meet_only_edges_across_them(origin):
+    draw = random.Random(7)
+    straight = [[[(0.0, 0.0), (draw.uniform(1, 400), draw.choice((0.0, draw.uniform(-300, 300))))]] for _ in range(40)]
+    bent = [[[(10.0 * k, draw.uniform(0, 30)) for k in range(20)]], [[(0.0, 0.0), (90.0, 0.0)], [(90.0, 40.0), (180.0, 40.0)]], [[(0.0, 0.0), (80.0, 0.0), (0.0, 0.0)]]]
+    lines = [[], [[]], *straight[:9], [[(5.0, 5.0)]], *bent, *straight[9:]]
+    at = lambda p: {"x": p[0] + origin, "y": p[1] + origin}
+    parts = pa.array([[[at(p) for p in q] for q in g] for g in lines], pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
+    made = X._Lines(parts)
+    size = np.array([made.size[a:b].sum() for a, b in zip(made.begin, made.begin[1:])])
+    place = X._placed(made, np.maximum(2, (size / 5).astype(np.int64) + 1), np.zeros(len(lines)), size, 10.0)
+    k, _, _, cx, cy, ux, uy = place
+    assert set(k.tolist()) == {i for i, g in enumerate(lines) if any(len(q) > 1 for q in g)}
+    chunks = X._Chunks(place, np.full(len(k), 30.0))
+    ends = np.array([[draw.uniform(-50, 400), draw.uniform(-300, 300), draw.uniform(-50, 400), draw.uniform(-300, 300)] for _ in range(60)]) + origin
+    ends[:20, 3] = ends[:20, 1]
+    c, e = (v.ravel() for v in np.meshgrid(np.arange(len(chunks.begin)), np.arange(len(ends))))
+    first, last = chunks.facing(c, *ends[e].T)
+    looked = hits = 0
+    for n in range(len(c)):
+        i = np.arange(chunks.begin[c[n]], chunks.end[c[n]])
+        x1, y1, x2, y2 = ends[e[n]]
+        a, b = ux[i] * (y1 - cy[i]) - uy[i] * (x1 - cx[i]), ux[i] * (y2 - cy[i]) - uy[i] * (x2 - cx[i])
+        hit = i[a * b <= 0]
+        assert not len(hit) or first[n] <= hit[0] and hit[-1] <= last[n]
+        if chunks.straight[c[n]]:
+            looked, hits = looked + last[n] - first[n] + 1, hits + len(hit)
+    assert 0 < hits <= looked <= 1.05 * hits + 1 and chunks.straight.any() and not chunks.straight.all()
+
+
 def test_many_lines_are_simplified_as_one_by_one(spark):
     draw = random.Random(4)
     lines = [[(float(k), draw.choice((0.0, 1.0, 3.0, draw.uniform(0, 9)))) for k in range(n)] for n in [0, 1, 2, 3, 3, 40, 500, *(draw.randrange(30) for _ in range(200))]]
