@@ -62,3 +62,13 @@ def test_distance_to_a_set_looks_at_every_part(spark):
     balances = [r[0] for r in spark.read.parquet(f"{sf}/supplier.parquet").select("s_acctbal").collect()]
     least = {r["p_partkey"]: min(abs(r["p_retailprice"] * 3 - b) for b in balances) for r in spark.read.parquet(f"{sf}/part.parquet").collect()}
     assert len(least) == 2000 and got == pytest.approx({k: d for k, d in least.items() if d <= 200}, abs=1e-6) and len(got) > 400
+
+
+def test_points_on_notched_corners_count_as_in_sql(spark, duck, tmp_path):
+    """Keys of many residues, by which points lie on edges and corners of their polygons."""
+    orders = spark.range(101 * 830).selectExpr("id as o_orderkey", "id div 101 * 12 as o_custkey")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    sql = catalogue.ORACLES["pip_parity"].replace("from orders", f"from read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    wanted = duck.execute(sql).fetchall()
+    found = catalogue.QUERIES["pip_parity"](spark, str(tmp_path)).collect()
+    assert len(wanted) == 101 * 830 and sorted(map(tuple, found)) == sorted(wanted)
