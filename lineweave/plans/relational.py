@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lineweave.functions.semantics import any_known, count_where, counting, known, least_by, miles, ratio, rnd, share_of_total, tier, where, whole
 from lineweave.operators import aggregates as A
 from lineweave.operators import joins as J
+from lineweave.operators.overlaps import overlapped
 from lineweave.plans.registry import query, table
 
 # ---- interval edges and station widths (A20, P4, P5, P11, J2) ---------------------------------------------------
@@ -450,9 +451,8 @@ def sampled(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def tile_bbox_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("a"), (F.col("o_totalprice") + 40).alias("b"))
     l = table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_extendedprice") * 4).alias("c"), (F.col("l_extendedprice") * 4 + F.col("l_quantity")).alias("d"))  # noqa: E741
-    found = J.met(o, l, [("a", "b")], [("c", "d")], "l_partkey", lambda *sides: J.box_join(*sides, 300.0))
-    # An order is a row of its own; orders with one key would be one row.
-    return found.groupBy("o_orderkey").agg(F.sum("n").alias("n"), F.min("least").alias("least_part"), F.max("most").alias("most_part"))
+    found = overlapped(o, l, "o_orderkey", [("a", "b")], [("c", "d")], "l_partkey", lambda *sides: J.box_join(*sides, 300.0))
+    return found.withColumnsRenamed({"least": "least_part", "most": "most_part"})
 
 
 @query(
