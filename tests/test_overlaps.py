@@ -78,3 +78,27 @@ def test_all_boxes_in_one_place(spark, tmp_path, name, tables):
         for t in tables.split():
             sql = sql.replace(f"from {t}", f"from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
         assert tuple(found) == duckdb.sql(f"select count(*), sum(n)::bigint, min(least_part), max(most_part) from ({sql})").fetchall()[0]
+
+
+def test_pairs_by_clusters_and_lists_as_sql(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "LISTED", 9)  # so that cells and boxes come in several lists
+    a = odd_boxes(spark, f"{tmp_path}/a", 300, ["i", "x0", "x1", "y0", "y1"], 3, 12).where("x1 = x1 and y0 > double('-inf')")
+    b = odd_boxes(spark, f"{tmp_path}/b", 200, ["j", "u0", "u1", "v0", "v1"], 4, 90).where("u1 = u1 and v0 > double('-inf')")
+    a, b = (x.unionByName(x.limit(40)).unionByName(x.limit(40)) for x in (a.where("x0 <= x1 and y0 <= y1"), b))
+    for name, x in (("c", a), ("d", b)):
+        x.write.parquet(f"{tmp_path}/{name}")
+    got = J.listed_pairs(spark.read.parquet(f"{tmp_path}/c"), spark.read.parquet(f"{tmp_path}/d"), [("x0", "x1"), ("y0", "y1")], [("u0", "u1"), ("v0", "v1")], "i", "j", 7.0)
+    sql = f"select i, j from '{tmp_path}/c/*.parquet' join '{tmp_path}/d/*.parquet' on x1 >= u0 and x0 <= u1 and y1 >= v0 and y0 <= v1"
+    wanted = duckdb.sql(sql).fetchall()
+    assert len(wanted) > 3000 and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, wanted))
+
+
+def test_unknown_keys_are_in_pairs(spark, tmp_path):
+    spark.range(300).selectExpr("nullif(id % 100, 7) as o_orderkey", "1000.0D + id / 4 as o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(60).selectExpr("nullif(id % 20, 3) as p_partkey", "10 + id % 30 * 0.01D as p_retailprice", "int(40 + id % 5) as p_size").write.parquet(f"{tmp_path}/part.parquet")
+    sql = catalogue.ORACLES["tile_bbox_join_2d"]
+    for t in ("orders", "part"):
+        sql = sql.replace(f"from {t}", f"from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    wanted = duckdb.sql(sql).fetchall()
+    found = catalogue.QUERIES["tile_bbox_join_2d"](spark, str(tmp_path)).collect()
+    assert any(i is None for i, _ in wanted) and any(j is None for _, j in wanted) and sorted(map(str, map(tuple, found))) == sorted(map(str, wanted))
